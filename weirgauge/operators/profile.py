@@ -82,7 +82,7 @@ def duplicate_rows(df: DataFrame, names=None) -> DataFrame:
     ).withColumn("duplicate_rows", F.col("rows") - F.col("distinct_rows"))
 
 
-def distinct_estimates(df: DataFrame, names=None, rsd: float = 0.02) -> DataFrame:
+def distinct_estimates(df: DataFrame, names=None, rsd: float = 0.05) -> DataFrame:
     """HyperLogLog++ distinct count and null count per column, one scan."""
     names = list(names or df.columns)
     aggs, cells = [F.count(F.lit(1)).alias("rows")], {}
