@@ -1,6 +1,6 @@
 """All named queries, grouped by topic."""
 
-from . import events, quality  # noqa: F401
+from . import events, examples, quality, scalars  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
