@@ -255,14 +255,18 @@ RULES = {
 }
 
 
-def judged(spark, sf, rule: str):
-    """Every event with its ground truth and the prediction of a rule."""
+def judged(spark, sf):
+    """Every event with its ground truth and the prediction of every rule."""
     return i.table(spark, sf, "events").select(
         F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("truth"),
-        F.when(F.expr(RULES[rule]), 1.0).otherwise(0.0).alias("prediction"),
+        *[F.when(F.expr(text), 1.0).otherwise(0.0).alias(name) for name, text in RULES.items()],
     )
 
 
+def evaluations(spark, sf):
+    return evaluate.evaluate_all(judged(spark, sf), "truth", {name: name for name in RULES})
+
+
 def cells_sql(rule: str, name: str) -> str:
     hit, error = f"({RULES[rule]})", "event_type = 'error'"
     return f"""{name} AS (SELECT *, (tn + tp) / n::DOUBLE AS accuracy,
@@ -284,7 +288,7 @@ FROM (SELECT count(*) FILTER (NOT {hit} AND NOT {error}) AS tn,
     f"WITH {cells_sql('baseline', 'e')} SELECT tn, fp, fn, tp, n AS rows FROM e",
 )
 def _(spark, sf):
-    return evaluate.confusion(judged(spark, sf, "baseline"), "truth")
+    return evaluate.confusions(judged(spark, sf), "truth", {"": "baseline"}).drop("model")
 
 
 @query(
@@ -295,7 +299,7 @@ def _(spark, sf):
     + ", round(1 - attack_recall, 6) AS attack_miss_rate FROM e",
 )
 def _(spark, sf):
-    return i.shown(evaluate.evaluate(judged(spark, sf, "baseline"), "truth"))
+    return i.shown(evaluate.evaluate(judged(spark, sf), "truth", "baseline"))
 
 
 @query(
@@ -308,8 +312,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    sides = [evaluate.evaluate(judged(spark, sf, r), "truth") for r in ("baseline", "stricter")]
-    return i.shown(evaluate.compare(*sides))
+    return i.shown(evaluate.compare(evaluations(spark, sf), "baseline", "stricter"))
 
 
 @query(
@@ -331,13 +334,10 @@ FROM b, {r} c"""
 )
 def _(spark, sf):
     """One clear gain, one clear loss and one trade-off against the same baseline."""
-    base = evaluate.evaluate(judged(spark, sf, "baseline"), "truth")
-    decided = None
+    scored, decided = evaluations(spark, sf), None
     for rule in ("stricter", "informed", "contrary"):
-        side = evaluate.evaluate(judged(spark, sf, rule), "truth")
-        one = evaluate.promotion(evaluate.compare(base, side)).withColumn(
-            "candidate_rule", F.lit(rule)
-        )
+        compared = evaluate.compare(scored, "baseline", rule)
+        one = evaluate.promotion(compared).withColumn("candidate_rule", F.lit(rule))
         decided = one if decided is None else decided.unionByName(one)
     return i.shown(decided)
 
@@ -353,7 +353,7 @@ UNION ALL SELECT 'not_measured', 1.0::DOUBLE, NULL, false""",
 )
 def _(spark, sf):
     """Counts must agree exactly, rates within a millionth."""
-    found = evaluate.evaluate(judged(spark, sf, "baseline"), "truth")
+    found = evaluate.evaluate(judged(spark, sf), "truth", "baseline")
     names = ("tp", "fp", "attack_recall", "accuracy")
     actual = counts_to_rows(
         found.select(*[F.col(n).cast("double").alias(n) for n in names]),

@@ -24,24 +24,28 @@ KEEP_BASELINE = "BASELINE REMAINS BETTER"
 TRADE_OFF = "MODEL TRADE-OFF — DECISION REQUIRED"
 
 
-def confusion(df: DataFrame, truth: str, guess: str = "prediction") -> DataFrame:
-    """Four cells in one aggregate; rows outside the four cells fail the query."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[
-            F.count_if((ref(truth) == t) & (ref(guess) == g)).alias(cell)
-            for cell, (t, g) in CELLS.items()
-        ],
-    )
+def confusions(df: DataFrame, truth: str, guesses: dict[str, str]) -> DataFrame:
+    """Four cells for every named prediction column, all in one scan.
+
+    Models that are to be compared are scored side by side on the same rows, so
+    the rows are read once.  Rows outside the four cells fail the query, and so
+    does an empty input.
+    """
+    aggs, cells = [F.count(F.lit(1)).alias("rows")], {}
+    for i, (name, guess) in enumerate(guesses.items()):
+        cells[name] = {"rows": "rows"}
+        for cell, (t, g) in CELLS.items():
+            aggs.append(F.count_if((ref(truth) == t) & (ref(guess) == g)).alias(f"{cell}{i}"))
+            cells[name][cell] = f"{cell}{i}"
+    counts = counts_to_rows(df.agg(*aggs), cells, "model")
     stray = F.col("rows") - sum((F.col(c) for c in CELLS), F.lit(0))
-    trouble = (
-        F.when(F.col("rows") == 0, F.lit("nothing to evaluate"))
-        .when(stray != 0, F.concat(stray.cast("string"), F.lit(" rows are not binary")))
+    trouble = F.when(F.col("rows") == 0, F.lit("nothing to evaluate")).when(
+        stray != 0, F.concat(stray.cast("string"), F.lit(" rows are not binary"))
     )
     checked = F.when(trouble.isNull(), F.col("rows")).otherwise(
         F.raise_error(trouble).cast("bigint")
     )
-    return counts.select(*CELLS, checked.alias("rows"))
+    return counts.select("model", *CELLS, checked.alias("rows"))
 
 
 def rates(cells: DataFrame) -> DataFrame:
@@ -66,19 +70,27 @@ def rates(cells: DataFrame) -> DataFrame:
     )
 
 
+def evaluate_all(df: DataFrame, truth: str, guesses: dict[str, str]) -> DataFrame:
+    """One row of cells and rates per model."""
+    return rates(confusions(df, truth, guesses))
+
+
 def evaluate(df: DataFrame, truth: str, guess: str = "prediction") -> DataFrame:
-    return rates(confusion(df, truth, guess))
+    return evaluate_all(df, truth, {"": guess}).drop("model")
 
 
-def long_rates(evaluation: DataFrame, value: str) -> DataFrame:
-    return counts_to_rows(evaluation, {m: {value: m} for m in RATES}, "metric")
+def compare(evaluations: DataFrame, baseline: str, candidate: str) -> DataFrame:
+    """Metric by metric, candidate minus baseline, from rows of ``evaluate_all``."""
+    long = evaluations.where(F.col("model").isin(baseline, candidate)).unpivot(
+        "model", list(RATES), "metric", "value"
+    )
 
+    def side(name):
+        return F.max(F.when(F.col("model") == name, F.col("value")))
 
-def compare(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
-    """Metric by metric, candidate minus baseline (seven rows a side)."""
     return (
-        long_rates(baseline, "baseline")
-        .join(long_rates(candidate, "candidate"), "metric")
+        long.groupBy("metric")
+        .agg(side(baseline).alias("baseline"), side(candidate).alias("candidate"))
         .withColumn("delta", F.col("candidate") - F.col("baseline"))
     )
 

@@ -64,12 +64,13 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     """First line of every file.
 
     Only the block that starts at offset 0 can hold it; within that block the
-    lines are read in order, so the smallest row id is the first line.
+    lines are read in order, so the smallest row id is the first line.  One
+    candidate per map task and file crosses the network.
     """
     first = csv_lines(spark, path).where(F.col("block") == 0)
-    return first.groupBy("file").agg(
-        F.min_by("value", F.monotonically_increasing_id()).alias("header")
-    )
+    numbered = first.withColumn("row", F.monotonically_increasing_id())
+    line = F.regexp_replace(F.col("value"), "^\ufeff", "")
+    return numbered.groupBy("file").agg(F.min_by(line, F.col("row")).alias("header"))
 
 
 def audit_headers(spark: SparkSession, path: str, required) -> DataFrame:
