@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..contracts import ContractError, FlowContract
 from ..operators import clean, evaluate, examples, forest
 from ..plans import training
-from ..session import scratch
+from ..session import scratch, written
 from . import inputs as i
 from .registry import query
 from .stored import flow_files
@@ -42,7 +42,7 @@ SPLIT_SQL = f"""embedded AS (SELECT vec_id, label,
 @lru_cache(maxsize=None)
 def _models(app_id: str, spark, sf: str) -> dict:
     """Baseline and class-weighted forest; fitted once per session."""
-    train = embedded(spark, sf).where(F.col("split") == "train")
+    train = written(embedded(spark, sf).where(F.col("split") == "train"), "train")
     weighted = examples.add_class_weight(train, "binary_label")
     return {
         "baseline": forest.fit_forest(train, EMBEDDED),
@@ -244,7 +244,7 @@ def _(spark, sf):
         F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("digits"),
         F.col("toxic").cast("double").alias("binary_label"),
     )
-    ready = clean.add_vector(rows, contract)
+    ready = clean.add_vector(written(rows, "text-counts"), contract)
     fitted = forest.fit_forest(
         examples.add_class_weight(ready, "binary_label"), contract, "class_weight"
     )

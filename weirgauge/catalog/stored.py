@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from ..contracts import ContractError
+from ..contracts import ContractError, FlowContract
 from ..functions.labels import label_is_known
 from ..operators import alerts as alert_ops
 from ..operators import ingest, replay, windows
@@ -396,8 +396,8 @@ def _(spark, sf):
 
 
 def keyed_flows(spark, sf):
-    """Raw flows with a unique row number, spread over the key space of lineitem."""
-    lines = i.table(spark, sf, "orders").select(
+    """orders as raw flows with a unique row number."""
+    return i.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("row_id"),
         F.col("o_totalprice").cast("string").alias("qty"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "n/a")
@@ -409,10 +409,9 @@ def keyed_flows(spark, sf):
         .otherwise("XSS")
         .alias("Label"),
     )
-    return lines
 
 
-REPLAY = i.FlowContract(
+REPLAY = FlowContract(
     numeric=("qty", "price"), features=("qty", "price"), attacks=("DDOS-A", "XSS")
 )
 REPLAY_SQL = """
@@ -428,8 +427,9 @@ START = 1_704_067_200_000_000
 
 
 def numbered_replay(spark, sf):
+    """Rows with their position in their class, and the class sizes."""
     rows = replay.replay_rows(keyed_flows(spark, sf), REPLAY, keep=("row_id",))
-    return replay.numbered(rows, "row_id")
+    return replay.numbered(rows, "row_id"), replay.class_sizes(rows)
 
 
 @query(
@@ -473,8 +473,7 @@ JOIN pos ON pos.cls = slots.cls AND pos.p = turn % sizes.n""",
 )
 def _(spark, sf):
     """Normal and burst rows alternate; the shorter class starts over."""
-    rows = numbered_replay(spark, sf)
-    sizes = replay.class_sizes(rows)
+    rows, sizes = numbered_replay(spark, sf)
     mixed = replay.scenario_order(rows, "MIXED", 2 * max(sizes.values()), sizes)
     return mixed.select("slot", "replay_class", "row_id", "qty")
 
@@ -487,8 +486,7 @@ FROM pos WHERE cls = 'normal'""",
 )
 def _(spark, sf):
     """One cycle of normal rows at five events a second."""
-    rows = numbered_replay(spark, sf)
-    sizes = replay.class_sizes(rows)
+    rows, sizes = numbered_replay(spark, sf)
     ordered = replay.scenario_order(rows, "NORMAL", sizes["normal"], sizes)
     return i.shown(replay.schedule(ordered, START, 5.0).select("slot", "row_id", "due"))
 
@@ -512,8 +510,7 @@ JOIN pos ON pos.cls = want.cls AND pos.p = turn % sizes.n""",
 )
 def _(spark, sf):
     """Normal, burst, recovery and mixed segments, three seconds apart."""
-    rows = numbered_replay(spark, sf)
-    sizes = replay.class_sizes(rows)
+    rows, sizes = numbered_replay(spark, sf)
     events = max(sizes.values())
     script = [(s, 5.0, events, 3.0) for s in ("NORMAL", "DDOS_BURST", "NORMAL", "MIXED")]
     laid = replay.sequence(rows, script, START, sizes)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..contracts import FlowContract
 from ..operators import alerts as alert_ops
 from ..operators import clean, forest, ingest, windows
-from ..session import scratch, stream_session
+from ..session import scratch, stream_session, written
 from ..sources import history, records, snapshots
 from ..streaming import live, runner
 from . import inputs as i
@@ -276,7 +276,7 @@ def _(spark, sf):
     """A forest scores a stream exactly as it scores the same rows in batch."""
     contract = FlowContract(numeric=("value", "k"), features=("value", "k"), attacks=("DDOS-ERROR",))
     batch_records = i.log_records(i.table(spark, sf, "events"))
-    good, _ = ingest.split_records(batch_records, i.EVENTS)
+    good = written(ingest.split_records(batch_records, i.EVENTS)[0], "valid")
     labelled = good.withColumnRenamed("source_label", "Label")
     train = clean.clean(labelled, contract, labelled=True)
     scorer = live.forest_scorer(forest.fit_forest(train, contract), contract)

@@ -20,13 +20,14 @@ def ref(name: str) -> Column:
 
 def as_number(cell: Column) -> Column:
     """Cast that yields NULL instead of failing, also with ANSI mode on."""
-    return cell.cast("string").try_cast("double")
+    return cell.try_cast("double")
 
 
 def cell_problem(cell: Column) -> Column:
     """Name of the one problem a cell has, NULL for a finite number.
 
-    The five problems exclude each other, so one CASE decides all of them.
+    The five problems exclude each other, so one CASE decides all of them.  The
+    common case, a good cell, is decided first and parses its text once.
     """
     number = as_number(cell)
     tests = {
@@ -36,7 +37,10 @@ def cell_problem(cell: Column) -> Column:
         "positive_inf": number == INFINITY,
         "negative_inf": number == -INFINITY,
     }
-    return F.coalesce(*[F.when(tests[name], F.lit(name)) for name in PROBLEMS])
+    verdict = F.when(is_finite_cell(cell), F.lit(None).cast("string"))
+    for name in PROBLEMS:
+        verdict = verdict.when(tests[name], F.lit(name))
+    return verdict
 
 
 def is_finite_cell(cell: Column) -> Column:
@@ -53,14 +57,6 @@ def all_finite(names) -> Column:
     return reduce(and_, [is_finite_cell(ref(n)) for n in names], F.lit(True))
 
 
-def any_problem(names, problem: str) -> Column:
-    """Does at least one of the columns have this problem?"""
-    return F.coalesce(
-        *[F.when(cell_problem(ref(n)) == problem, F.lit(True)) for n in names],
-        F.lit(False),
-    )
-
-
 def ratio(part: Column, whole: Column) -> Column:
     """Share that is 0.0 where the whole is zero or missing."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

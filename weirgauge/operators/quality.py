@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PROBLEMS, FlowContract, require_columns
-from ..functions.cells import all_finite, any_problem, as_number, cell_problem, ratio, ref
+from ..functions.cells import all_finite, as_number, cell_problem, ratio, ref
 from ..functions.labels import label_is_known, tidy_label
 
 
@@ -49,9 +49,11 @@ def issue_profile(df: DataFrame, names, only_affected: bool = True) -> DataFrame
 
 def rows_by_problem(df: DataFrame, names) -> DataFrame:
     """Rows having each problem in at least one of the columns, in one scan."""
-    require_columns(df, names)
-    flags = df.select(*[any_problem(names, p).alias(p) for p in PROBLEMS])
-    totals = flags.agg(*[F.count_if(ref(p)).alias(p) for p in PROBLEMS])
+    judged = label_cells(df, names)
+    found = F.array(*[ref(f"p{i}") for i in range(len(names))])
+    totals = judged.select(found.alias("found")).agg(
+        *[F.count_if(F.array_contains("found", p)).alias(p) for p in PROBLEMS]
+    )
     return counts_to_rows(totals, {p: {"rows": p} for p in PROBLEMS}, "problem")
 
 

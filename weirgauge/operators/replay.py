@@ -110,9 +110,9 @@ def _repeat(rows: DataFrame, turns: Column, size: Column, out: str) -> DataFrame
     )
 
 
-def class_sizes(numbered_rows: DataFrame) -> dict[str, int]:
+def class_sizes(rows: DataFrame) -> dict[str, int]:
     """Rows per class on the driver: two numbers."""
-    sizes = numbered_rows.groupBy("replay_class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("replay_class").agg(F.count(F.lit(1)).alias("n"))
     return {r.replay_class: r.n for r in sizes.collect()}
 
 

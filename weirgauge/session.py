@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -34,6 +34,17 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/weirgauge/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in shared storage, read back.
+
+    For input that is read many times, such as training rows: the work before
+    it runs once, and a lost executor costs a re-read and not a recomputation.
+    """
+    path = scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """Session for one stream with its own number of state partitions.
 

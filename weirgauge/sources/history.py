@@ -106,6 +106,14 @@ def _for_storage(batch: DataFrame, table: HistoryTable, epoch: int, batch_id: in
 
 
 def _write(rows: DataFrame, root: str, table: HistoryTable) -> None:
+    """Replace exactly the day-and-commit folders that the rows belong to.
+
+    A backfill over many days is first gathered by day, which keeps the number
+    of files near the data size; adaptive execution cuts a day that is too big
+    for one task.  Micro-batches hold few days and are written as they come.
+    """
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", F.col("day"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
