@@ -75,30 +75,37 @@ def vector_json(df: DataFrame, contract: FlowContract, out: str = "features_json
     return df.withColumn(out, F.to_json(vector_to_array(F.col(contract.vector))))
 
 
-def funnel(df: DataFrame, contract: FlowContract) -> DataFrame:
-    """Rows before cleaning, after cleaning and after deduplication.
+def fold_examples(df: DataFrame, contract: FlowContract) -> DataFrame:
+    """Distinct usable examples with their number of copies, in one shuffle.
 
-    Rows are folded by example first; the counts of copies give the first two
-    numbers and the number of groups the last one, so one shuffle serves all.
+    All rows that cleaning rejects fold into a single row with ``keep`` false
+    and no values, so the copies still add up to the rows of the input.  Copies
+    are added up on the map side first: an example that makes up a third of the
+    table crosses the network once per task.
     """
-    flagged = df.select(
-        keep_rule(contract, True).alias("keep"),
-        *[as_number(ref(n)).alias(n) for n in contract.features],
-        binary_target(contract).alias(contract.target),
+    keep = keep_rule(contract, True)
+    judged = df.select(
+        keep.alias("keep"),
+        *[F.when(keep, as_number(ref(n))).alias(n) for n in contract.features],
+        F.when(keep, binary_target(contract)).alias(contract.target),
     )
-    blank = {n: F.when(F.col("keep"), ref(n)) for n in (*contract.features, contract.target)}
-    folded = (
-        flagged.withColumns(blank)
-        .groupBy("keep", *[ref(n) for n in blank])
-        .agg(F.count(F.lit(1)).alias("copies"))
+    return judged.groupBy(*[ref(n) for n in judged.columns]).agg(
+        F.count(F.lit(1)).alias("copies")
     )
-    totals = folded.agg(
-        F.sum("copies").alias("raw_rows"),
+
+
+def funnel_counts(folded: DataFrame) -> DataFrame:
+    return folded.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum(F.when(F.col("keep"), F.col("copies"))), F.lit(0)).alias("ready_rows"),
         F.count_if(F.col("keep")).alias("unique_rows"),
     )
+
+
+def funnel(df: DataFrame, contract: FlowContract) -> DataFrame:
+    """Rows before cleaning, after cleaning and after deduplication."""
     raw, ready, unique = F.col("raw_rows"), F.col("ready_rows"), F.col("unique_rows")
-    return totals.select(
+    return funnel_counts(fold_examples(df, contract)).select(
         raw,
         ready,
         unique,

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
+from ..functions.keys import split_name
 from ..operators import clean, evaluate, examples, forest
-from ..session import scratch
+from ..session import path_exists, scratch
 from ..sources import files
 
 SPLITS = ("train", "validation", "test")
+REJECTED = "rejected"
 
 
 @dataclass
@@ -31,21 +33,23 @@ class TrainingReport:
 def store_examples(raw: DataFrame, contract: FlowContract) -> str:
     """Cleaned, unique, split examples as a written table, one folder per split.
 
-    The table is read by every later step.  It lies in the shared folder, so a
-    lost executor costs a re-read and not the deduplication, and each split is
-    a partition-pruned scan.
+    This is the only scan of the source: the copies kept beside each example
+    give the row counts of every stage.  All later steps read the table.  It
+    lies in the shared folder, so a lost executor costs a re-read and not the
+    deduplication, and each split is a partition-pruned scan.
     """
-    ready = clean.clean(raw, contract, labelled=True, vector=False)
-    unique = examples.unique_examples(ready, contract)
-    key = (*contract.features, contract.target)
+    folded = clean.fold_examples(raw, contract)
+    chosen = split_name((*contract.features, contract.target))
+    split = F.when(F.col("keep"), chosen).otherwise(REJECTED).alias("split")
     path = scratch(raw.sparkSession, "examples")
-    examples.hash_split(unique, key).write.partitionBy("split").parquet(path)
+    folded.select("*", split).write.partitionBy("split").parquet(path)
     return path
 
 
 def read_split(spark: SparkSession, path: str, name: str, contract: FlowContract) -> DataFrame:
+    """Vectors and targets of one split."""
     rows = spark.read.parquet(path).where(F.col("split") == name)
-    return clean.add_vector(rows.drop("split"), contract)
+    return clean.add_vector(rows, contract).select(contract.vector, contract.target)
 
 
 def _guesses(rows: DataFrame, models: dict, contract: FlowContract) -> DataFrame:
@@ -67,8 +71,7 @@ def _by_model(evaluations: DataFrame) -> dict:
 
 
 def refuse_existing(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if path_exists(spark, path):
         raise ContractError(f"a model is already stored at {path}")
 
 
@@ -96,10 +99,10 @@ def train(
     table = store_examples(raw, contract)
     report = TrainingReport()
 
-    kept = F.count_if(clean.keep_rule(contract, True)).alias("ready_rows")
-    report.counts = raw.agg(F.count(F.lit(1)).alias("raw_rows"), kept).first().asDict()
     stored = spark.read.parquet(table)
-    spread = examples.split_distribution(stored, "split", contract.target).collect()
+    report.counts = clean.funnel_counts(stored).first().asDict()
+    usable = stored.where(F.col("split") != REJECTED)
+    spread = examples.split_distribution(usable, "split", contract.target).collect()
     by_split = {r["split"]: r for r in spread}
     for name in SPLITS:
         row = by_split.get(name)
@@ -108,7 +111,6 @@ def train(
         report.counts[f"{name}_rows"] = row["rows"]
         report.counts[f"{name}_normal"] = row["normal_rows"]
         report.counts[f"{name}_attack"] = row["attack_rows"]
-    report.counts["unique_rows"] = sum(r["rows"] for r in spread)
     if expected is not None:
         measured = [(k, float(v)) for k, v in report.counts.items()]
         actual = spark.createDataFrame(measured, "metric string, actual double")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=None)
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"weirgauge-{application}-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -24,9 +30,7 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="weirgauge-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
@@ -34,6 +38,11 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/weirgauge/{purpose}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in shared storage, read back.
 

@@ -25,6 +25,7 @@ from ..contracts import (
     ContractError,
 )
 from ..functions.times import iso_millis
+from ..session import path_exists
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,19 @@ def initialize(spark: SparkSession, root: str) -> None:
         empty.write.mode("ignore").partitionBy("day", "epoch", "batch").parquet(_path(root, table))
 
 
-def read_log(spark: SparkSession, root: str, table: HistoryTable) -> DataFrame:
-    """All stored rows with the commit that wrote them."""
-    return spark.read.schema(_stored_schema(table)).parquet(_path(root, table))
+def read_log(spark: SparkSession, root: str, table: HistoryTable, days=None) -> DataFrame:
+    """Stored rows with the commit that wrote them, of all days or of some.
+
+    Given days are opened by path, so that neither their number of commits nor
+    the age of the table adds to the file listing of the others.
+    """
+    base = _path(root, table)
+    paths = [base]
+    if days is not None:
+        paths = [p for p in (f"{base}/day={d.isoformat()}" for d in days) if path_exists(spark, p)]
+        if not paths:
+            return spark.createDataFrame([], _stored_schema(table))
+    return spark.read.schema(_stored_schema(table)).option("basePath", base).parquet(*paths)
 
 
 def read_table(spark: SparkSession, root: str, table: HistoryTable) -> DataFrame:
@@ -141,8 +152,7 @@ def insert_absent(
     if not days:
         return
     mine = (F.col("epoch") == epoch) & (F.col("batch") == batch_id)
-    log = read_log(batch.sparkSession, root, table)
-    stored = log.where(F.col("day").isin(days) & ~mine).select(*table.key)
+    stored = read_log(batch.sparkSession, root, table, days).where(~mine).select(*table.key)
     _write(rows.join(stored, list(table.key), "left_anti"), root, table)
 
 

@@ -16,6 +16,7 @@ from ..contracts import RECORD_KEY, SNAPSHOT_ALERTS, SNAPSHOT_WINDOWS, WINDOW_KE
 
 RECORDS = "record map<string,string>"
 DONE = "_SUCCESS"
+KEPT_VERSIONS = 10
 
 
 def latest_per_key(rows: DataFrame, key, sequence: str) -> DataFrame:
@@ -35,32 +36,36 @@ def newest_alerts(rows: DataFrame, sequence: str, limit: int = SNAPSHOT_ALERTS)
     return current.orderBy(*[F.desc(c) for c in ("event_timestamp", *RECORD_KEY)]).limit(limit)
 
 
-def _folders(spark: SparkSession, root: str) -> list[str]:
+def _folders(spark: SparkSession, root: str) -> list:
     """Completed publications, oldest first."""
-    jvm = spark.sparkContext._jvm
+    jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(base):
         return []
     paths = [status.getPath() for status in fs.listStatus(base)]
     done = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p, DONE))]
-    return sorted(p.toString() for p in done)
+    return sorted(done, key=lambda p: p.getName())
 
 
-def publish(rows: DataFrame, root: str) -> str:
-    """Write a bounded frame as one JSON list in a new folder."""
-    body = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+def _put(texts: DataFrame, root: str) -> str:
+    """Write a new version, then drop versions that no reader can still want."""
+    spark = texts.sparkSession
     path = f"{root}/v={time.time_ns():020d}"
-    body.write.text(path)
+    texts.write.text(path)
+    for old in _folders(spark, root)[:-KEPT_VERSIONS]:
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return path
 
 
+def publish(rows: DataFrame, root: str) -> str:
+    """Write a bounded frame as one JSON list in a new folder."""
+    return _put(rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")), root)
+
+
 def reset(spark: SparkSession, root: str) -> str:
     """Publish an empty list, so that an earlier run is not shown as current."""
-    empty = spark.createDataFrame([("[]",)], "value string")
-    path = f"{root}/v={time.time_ns():020d}"
-    empty.coalesce(1).write.text(path)
-    return path
+    return _put(spark.createDataFrame([("[]",)], "value string").coalesce(1), root)
 
 
 def parse_list(texts: DataFrame, column: str = "value") -> DataFrame:
@@ -75,4 +80,4 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     folders = _folders(spark, root)
     if not folders:
         return spark.createDataFrame([], RECORDS)
-    return parse_list(spark.read.option("wholetext", True).text(folders[-1]))
+    return parse_list(spark.read.option("wholetext", True).text(folders[-1].toString()))
