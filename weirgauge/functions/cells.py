@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..contracts import PROBLEMS
 
 INFINITY = float("inf")
+WIDE = 8
 
 
 def ref(name: str) -> Column:
@@ -54,7 +55,17 @@ def is_finite_cell(cell: Column) -> Column:
 
 
 def all_finite(names) -> Column:
-    return reduce(and_, [is_finite_cell(ref(n)) for n in names], F.lit(True))
+    """Every one of the columns holds a finite number.
+
+    A few columns are compared one by one inside the generated code.  Dozens of
+    them would make that code too long for the JVM to compile, which costs more
+    than the comparison itself; they are tested as an array instead.
+    """
+    cells = [ref(n) for n in names]
+    if len(cells) <= WIDE:
+        return reduce(and_, [is_finite_cell(c) for c in cells], F.lit(True))
+    numbers = F.array(*[as_number(c) for c in cells])
+    return F.coalesce(F.forall(numbers, lambda n: F.abs(n) < INFINITY), F.lit(False))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -83,11 +83,15 @@ def fold_examples(df: DataFrame, contract: FlowContract) -> DataFrame:
     are added up on the map side first: an example that makes up a third of the
     table crosses the network once per task.
     """
-    keep = keep_rule(contract, True)
-    judged = df.select(
-        keep.alias("keep"),
-        *[F.when(keep, as_number(ref(n))).alias(n) for n in contract.features],
-        F.when(keep, binary_target(contract)).alias(contract.target),
+    numbers = df.select(
+        *[as_number(ref(n)).alias(n) for n in contract.features],
+        F.when(label_is_known(contract), binary_target(contract)).alias(contract.target),
+    )
+    # Every cell is parsed once, above; the rule only compares the numbers.
+    keep = all_finite(contract.features) & ref(contract.target).isNotNull()
+    marked = numbers.withColumn("keep", keep)
+    judged = marked.select(
+        "keep", *[F.when(F.col("keep"), ref(n)).alias(n) for n in numbers.columns]
     )
     return judged.groupBy(*[ref(n) for n in judged.columns]).agg(
         F.count(F.lit(1)).alias("copies")

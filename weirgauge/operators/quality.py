@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contracts import PROBLEMS, FlowContract, require_columns
 from ..functions.cells import all_finite, as_number, cell_problem, ratio, ref
@@ -25,33 +26,51 @@ def counts_to_rows(one_row: DataFrame, cells: dict, key_name: str) -> DataFrame:
     return one_row.select(F.inline(rows))
 
 
-def label_cells(df: DataFrame, names) -> DataFrame:
-    """Raw columns replaced by the name of their problem, or NULL."""
+def cell_array(df: DataFrame, names) -> Column:
+    """The columns side by side: numbers if all are numeric, else their text."""
     require_columns(df, names)
-    return df.select(*[cell_problem(ref(n)).alias(f"p{i}") for i, n in enumerate(names)])
+    kinds = {f.name: f.dataType for f in df.schema}
+    numeric = all(isinstance(kinds[n], T.NumericType) for n in names)
+    return F.array(*[ref(n).cast("double" if numeric else "string") for n in names])
 
 
-def issue_profile(df: DataFrame, names, only_affected: bool = True) -> DataFrame:
-    """Rows per column and problem: one wide aggregate over one scan."""
-    judged = label_cells(df, names)
-    counters, cells = [], {}
-    for i, name in enumerate(names):
-        cells[name] = {}
-        for problem in PROBLEMS:
-            slot = f"p{i}_{problem}"
-            counters.append(F.count_if(ref(f"p{i}") == problem).alias(slot))
-            cells[name][problem] = slot
-    profile = counts_to_rows(judged.agg(*counters), cells, "column_name")
-    if only_affected:
-        profile = profile.where(F.greatest(*[ref(p) for p in PROBLEMS]) > 0)
-    return profile
+def bad_cells(df: DataFrame, names) -> DataFrame:
+    """One row per bad cell: column_name and problem.
+
+    Rows without any bad cell are dropped by the cheap test first.  In the
+    others every cell is judged inside its row and only bad ones leave it, so
+    what is counted grows with the faults and not with the columns.  The
+    judgement is written once and applied to each element, which keeps the plan
+    the same size for four columns and for forty.
+    """
+    df = df.where(~all_finite(names))
+    judged = F.transform(
+        cell_array(df, names),
+        lambda cell, i: F.struct(i.alias("i"), cell_problem(cell).alias("problem")),
+    )
+    bad = F.filter(judged, lambda c: c["problem"].isNotNull())
+    spelled = F.array(*[F.lit(n) for n in names])
+    # The outer form keeps the optimizer from testing the array for emptiness in a
+    # filter below, which would judge every cell a second time.
+    rows = df.select(F.inline_outer(bad)).where(F.col("problem").isNotNull())
+    return rows.select(F.get(spelled, F.col("i")).alias("column_name"), "problem")
+
+
+def issue_profile(df: DataFrame, names) -> DataFrame:
+    """Bad cells per column and problem; columns without any are left out."""
+    return (
+        bad_cells(df, names)
+        .groupBy("column_name")
+        .agg(*[F.count_if(F.col("problem") == p).alias(p) for p in PROBLEMS])
+    )
 
 
 def rows_by_problem(df: DataFrame, names) -> DataFrame:
     """Rows having each problem in at least one of the columns, in one scan."""
-    judged = label_cells(df, names)
-    found = F.array(*[ref(f"p{i}") for i in range(len(names))])
-    totals = judged.select(found.alias("found")).agg(
+    require_columns(df, names)
+    faulty = df.where(~all_finite(names))
+    found = F.transform(cell_array(faulty, names), cell_problem)
+    totals = faulty.select(found.alias("found")).agg(
         *[F.count_if(F.array_contains("found", p)).alias(p) for p in PROBLEMS]
     )
     return counts_to_rows(totals, {p: {"rows": p} for p in PROBLEMS}, "problem")
@@ -83,18 +102,11 @@ def column_null_counts(df: DataFrame, names=None) -> DataFrame:
 
 
 def non_finite_counts(df: DataFrame, names) -> DataFrame:
-    """NaN, +Inf and -Inf per column in one pass."""
+    """NaN, +Inf and -Inf per column in one pass, zeros included."""
     kinds = ("nan", "positive_inf", "negative_inf")
-    judged = df.select(*[cell_problem(ref(n)).alias(f"p{i}") for i, n in enumerate(names)])
-    totals = judged.agg(
-        *[
-            F.count_if(ref(f"p{i}") == kind).alias(f"p{i}_{kind}")
-            for i in range(len(names))
-            for kind in kinds
-        ]
-    )
-    cells = {n: {k: f"p{i}_{k}" for k in kinds} for i, n in enumerate(names)}
-    return counts_to_rows(totals, cells, "column_name")
+    listed = df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+    counted = listed.join(issue_profile(df, names), "column_name", "left")
+    return counted.select("column_name", *[F.coalesce(F.col(k), F.lit(0)).alias(k) for k in kinds])
 
 
 def text_number_quality(df: DataFrame, names) -> DataFrame:
