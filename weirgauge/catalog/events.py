@@ -52,7 +52,7 @@ FROM records""",
 def _(spark, sf):
     """Presence from the map view, types from the struct view."""
     views = ingest.parse_views(ingest.decode(records(spark, sf)), i.EVENTS)
-    given, value = F.col("__given"), F.col("__typed.value")
+    given, value = F.col("__given"), F.col("value")
     parsed = given.isNotNull()
     finite = F.coalesce(F.abs(value) < float("inf"), F.lit(False))
     return views.agg(
@@ -65,7 +65,7 @@ def _(spark, sf):
         F.count_if(parsed & value.isNull()).alias("value_untyped"),
         F.count_if(parsed & value.isNotNull() & ~finite).alias("value_not_finite"),
         F.round(F.sum(F.when(parsed & finite, value)), 2).alias("value_sum"),
-        F.sum(F.when(parsed, F.col("__typed.k"))).alias("k_sum"),
+        F.sum(F.when(parsed, F.col("k"))).alias("k_sum"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PROBLEMS
@@ -59,7 +59,7 @@ def all_finite(names) -> Column:
 
     A few columns are compared one by one inside the generated code.  Dozens of
     them would make that code too long for the JVM to compile, which costs more
-    than the comparison itself; they are tested as an array instead.
+    than the comparison itself; they are tested as arrays instead.
     """
     cells = [ref(n) for n in names]
     if len(cells) <= WIDE:
@@ -68,6 +68,18 @@ def all_finite(names) -> Column:
     return F.coalesce(F.forall(numbers, lambda n: F.abs(n) < INFINITY), F.lit(False))
 
 
+def settle(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a computed column that later filters use as it is.
+
+    A filter on an ordinary computed column is moved below the projection, which
+    evaluates the expression again there and lets the optimizer derive a new
+    constraint for every combination of the columns it mentions: hopeless for a
+    verdict over dozens of columns.  Filters do not move below a generator, so
+    the value is taken out of an array of one.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Share that is 0.0 where the whole is zero or missing."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +42,3 @@ def split_name(columns, shares=SPLIT_SHARES) -> Column:
         picks.append(F.when(point < int(round(upper, 9) * HASH_SPACE), F.lit(name)))
     return F.coalesce(*picks, F.lit(shares[-1][0]))
 
-
-def any_of(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import FlowContract, require_columns
-from ..functions.cells import all_finite, as_number, ratio, ref
+from ..functions.cells import all_finite, as_number, ratio, ref, settle
 from ..functions.labels import binary_target, label_is_known, tidy_label
 
 
@@ -23,7 +23,10 @@ def to_numbers(df: DataFrame, contract: FlowContract, need=None) -> DataFrame:
     require_columns(df, contract.numeric if need is None else need)
     numeric = frozenset(contract.numeric)
     return df.select(
-        *[as_number(ref(n)).alias(n) if n in numeric else ref(n) for n in df.columns]
+        *[
+            as_number(ref(n)).alias(n) if n in numeric and kind != "double" else ref(n)
+            for n, kind in df.dtypes
+        ]
     )
 
 
@@ -46,10 +49,15 @@ def add_vector(df: DataFrame, contract: FlowContract) -> DataFrame:
 def clean(
     df: DataFrame, contract: FlowContract, *, labelled: bool, vector: bool = True
 ) -> DataFrame:
-    """Drop unusable rows, cast, label and assemble.  No shuffle, no state."""
+    """Cast, drop unusable rows, label and assemble.  No shuffle, no state.
+
+    Cells are parsed once; the rule then looks at numbers only.
+    """
     need = contract.numeric if labelled else contract.features
     require_columns(df, [*need, contract.label] if labelled else need)
-    usable = to_numbers(df.where(keep_rule(contract, labelled)), contract, need)
+    numbers = to_numbers(df, contract, need)
+    usable = settle(numbers, "__keep", keep_rule(contract, labelled)).where("__keep")
+    usable = usable.drop("__keep")
     if labelled:
         usable = add_target(usable, contract)
     return add_vector(usable, contract) if vector else usable

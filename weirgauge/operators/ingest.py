@@ -12,8 +12,7 @@ from ..contracts import (
     EventContract,
     require_columns,
 )
-from ..functions.cells import INFINITY, ref
-from ..functions.keys import any_of
+from ..functions.cells import all_finite, ref, settle
 
 RECORD = ("topic", "partition", "offset", "kafka_timestamp")
 
@@ -34,28 +33,26 @@ def parse_views(decoded: DataFrame, contract: EventContract) -> DataFrame:
     The map view tells an absent or null field from one of the wrong type; the
     typed view turns a quoted number into NULL instead of accepting it.
 
-    Both views come out of one generator step that yields a single row.  A
-    filter on the verdict cannot be moved below a generator, whereas moving it
-    below a projection would copy the parser into every test of the filter and
-    parse each payload about a dozen times.
+    Both views come out of generator steps that yield one row each, the typed
+    one as plain columns.  Filters on what is derived from them stay above the
+    generators; a filter moved below a projection would copy the parser into
+    each of its tests and parse every payload about a dozen times.
     """
     text = F.col("raw_json")
     views = F.struct(
         F.from_json(text, "map<string,string>").alias("__given"),
         F.from_json(text, contract.schema).alias("__typed"),
     )
-    return decoded.select("*", F.inline(F.array(views))).select(
-        "*",
-        F.try_to_timestamp(F.col("__typed.event_time"), F.lit(EVENT_TIME_FORMAT)).alias(
-            "event_timestamp"
-        ),
-    )
+    both = decoded.select("*", F.inline(F.array(views)))
+    flat = both.select(*RECORD, "raw_json", "__given", F.inline(F.array("__typed")))
+    moment = F.try_to_timestamp(F.col("event_time"), F.lit(EVENT_TIME_FORMAT))
+    return flat.withColumn("event_timestamp", moment)
 
 
 def metadata_agrees(contract: EventContract) -> Column:
     """Scenario, ground truth and source label tell one consistent story."""
-    scenario, truth = F.col("__typed.scenario"), F.col("__typed.ground_truth")
-    source = F.col("__typed.source_label")
+    scenario, truth = F.col("scenario"), F.col("ground_truth")
+    source = F.col("source_label")
     quiet = (truth == "Normal") & (source == contract.normal)
     burst = (truth == "Attack") & source.startswith(contract.burst_prefix)
     return F.coalesce(
@@ -66,24 +63,21 @@ def metadata_agrees(contract: EventContract) -> Column:
 
 def rejection_rules(contract: EventContract) -> dict[str, Column]:
     """What each reason means, in the order in which reasons take precedence."""
-    given, typed = F.col("__given"), lambda n: F.col(f"__typed.`{n}`")
-    when = typed("event_time")
-
-    def unreadable(name):
-        return ~F.coalesce(F.abs(typed(name)) < INFINITY, F.lit(False))
+    given, when = F.col("__given"), F.col("event_time")
+    names = F.array(*[F.lit(n) for n in contract.required])
 
     def outside(name, allowed):
-        return ~F.coalesce(typed(name).isin(list(allowed)), F.lit(False))
+        return ~F.coalesce(F.col(name).isin(list(allowed)), F.lit(False))
 
     tests = (
         given.isNull(),
-        any_of([F.element_at(given, n).isNull() for n in contract.required]),
+        F.exists(names, lambda n: F.try_element_at(given, n).isNull()),
         F.col("event_timestamp").isNull()
         | ~F.coalesce(when.rlike(EVENT_TIME_SHAPE), F.lit(False)),
-        any_of([unreadable(n) for n in contract.features]),
+        ~all_finite(contract.features),
         outside("scenario", contract.scenarios),
         outside("ground_truth", contract.truths),
-        F.trim(typed("source_label")) == "",
+        F.trim("source_label") == "",
         ~metadata_agrees(contract),
     )
     return dict(zip(REASONS, tests))
@@ -92,18 +86,16 @@ def rejection_rules(contract: EventContract) -> dict[str, Column]:
 def judge(records: DataFrame, contract: EventContract) -> DataFrame:
     """Every record with the first reason to reject it, or NULL."""
     rules = rejection_rules(contract)
-    return parse_views(decode(records), contract).withColumn(
-        "invalid_reason", F.coalesce(*[F.when(test, F.lit(name)) for name, test in rules.items()])
-    )
+    reason = F.coalesce(*[F.when(test, F.lit(name)) for name, test in rules.items()])
+    return settle(parse_views(decode(records), contract), "invalid_reason", reason)
 
 
 def accepted(judged: DataFrame, contract: EventContract) -> DataFrame:
     return judged.where(F.col("invalid_reason").isNull()).select(
         *RECORD,
-        F.col("__typed.event_time").alias("event_time"),
+        "event_time",
         "event_timestamp",
-        *[F.col(f"__typed.`{n}`").alias(n) for n in contract.metadata if n != "event_time"],
-        *[F.col(f"__typed.`{n}`").alias(n) for n in contract.features],
+        *[ref(n) for n in contract.required if n != "event_time"],
     )
 
 
@@ -125,15 +117,3 @@ def publish_records(events: DataFrame, contract: EventContract, topic: str) -> D
     body = F.to_json(F.struct(*[ref(n) for n in contract.required]))
     return events.select(F.lit(topic).alias("topic"), body.cast("binary").alias("value"))
 
-
-__all__ = [
-    "accepted",
-    "decode",
-    "judge",
-    "metadata_agrees",
-    "parse_views",
-    "publish_records",
-    "quarantined",
-    "rejection_rules",
-    "split_records",
-]

@@ -37,21 +37,19 @@ def cell_array(df: DataFrame, names) -> Column:
 def bad_cells(df: DataFrame, names) -> DataFrame:
     """One row per bad cell: column_name and problem.
 
-    Rows without any bad cell are dropped by the cheap test first.  In the
-    others every cell is judged inside its row and only bad ones leave it, so
-    what is counted grows with the faults and not with the columns.  The
-    judgement is written once and applied to each element, which keeps the plan
-    the same size for four columns and for forty.
+    Rows pass the cheap test first.  Where it fails, every cell is judged inside
+    its row and only bad ones leave it, so what is counted grows with the faults
+    and not with the columns.  The judgement is written once and applied to each
+    element, which keeps the plan the same size for four columns and for forty.
+    The outer form keeps the optimizer from testing the array for emptiness in a
+    filter of its own, which would judge every cell a second time.
     """
-    df = df.where(~all_finite(names))
     judged = F.transform(
         cell_array(df, names),
         lambda cell, i: F.struct(i.alias("i"), cell_problem(cell).alias("problem")),
     )
-    bad = F.filter(judged, lambda c: c["problem"].isNotNull())
+    bad = F.when(~all_finite(names), F.filter(judged, lambda c: c["problem"].isNotNull()))
     spelled = F.array(*[F.lit(n) for n in names])
-    # The outer form keeps the optimizer from testing the array for emptiness in a
-    # filter below, which would judge every cell a second time.
     rows = df.select(F.inline_outer(bad)).where(F.col("problem").isNotNull())
     return rows.select(F.get(spelled, F.col("i")).alias("column_name"), "problem")
 
@@ -67,10 +65,8 @@ def issue_profile(df: DataFrame, names) -> DataFrame:
 
 def rows_by_problem(df: DataFrame, names) -> DataFrame:
     """Rows having each problem in at least one of the columns, in one scan."""
-    require_columns(df, names)
-    faulty = df.where(~all_finite(names))
-    found = F.transform(cell_array(faulty, names), cell_problem)
-    totals = faulty.select(found.alias("found")).agg(
+    found = F.when(~all_finite(names), F.transform(cell_array(df, names), cell_problem))
+    totals = df.select(found.alias("found")).agg(
         *[F.count_if(F.array_contains("found", p)).alias(p) for p in PROBLEMS]
     )
     return counts_to_rows(totals, {p: {"rows": p} for p in PROBLEMS}, "problem")

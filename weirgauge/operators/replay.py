@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import FlowContract
-from ..functions.cells import all_finite, as_number, ref
+from ..functions.cells import all_finite, as_number, ref, settle
 from ..functions.labels import label_is_known, tidy_label
 from .ordering import BUCKET, depth_buckets, positions
 
@@ -32,9 +32,8 @@ def replay_verdict(contract: FlowContract, burst_prefix: str = "DDOS-") -> Colum
 
 def replay_rows(df: DataFrame, contract: FlowContract, keep=()) -> DataFrame:
     """Rows that can be replayed, with numbers, tidy label and ground truth."""
-    kind = replay_verdict(contract)
     return (
-        df.withColumn("replay_class", kind)
+        settle(df, "replay_class", replay_verdict(contract))
         .where(F.col("replay_class").isin("normal", "burst"))
         .select(
             *[ref(k) for k in keep],
