@@ -10,8 +10,8 @@ from weirgauge.contracts import ContractError, FlowContract
 from weirgauge.functions.cells import cell_problem, is_finite_cell
 from weirgauge.operators import evaluate, examples, ordering, replay, windows
 from weirgauge.session import scratch
-from weirgauge.sources import history, snapshots
-from weirgauge.streaming import live
+from weirgauge.sources import history, records, snapshots
+from weirgauge.streaming import live, runner
 
 
 def test_cell_verdicts_agree(spark):
@@ -274,3 +274,30 @@ def test_broken_snapshot_reads_as_empty(spark):
     bad = spark.createDataFrame([("[{\"a\": 1",)], "value string")
     bad.coalesce(1).write.text(f"{root}/v=1")
     assert snapshots.read(spark, root).count() == 0
+
+
+# --- streams ------------------------------------------------------------------
+
+
+def test_console_sink_runs_to_the_end(spark, capfd):
+    source = scratch(spark, "arriving")
+    spark.range(3).write.parquet(source)
+    stream = records.file_stream(spark, source, "id bigint", files_per_batch=1)
+    query = runner.start_console(stream, scratch(spark, "checkpoint"), mode="append", name="seen")
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None and not query.isActive
+
+
+def test_rate_limit_makes_more_batches(spark):
+    source, sink = scratch(spark, "arriving"), scratch(spark, "sink")
+    spark.range(40).repartition(4).write.parquet(source)
+    stream = records.file_stream(spark, source, "id bigint", files_per_batch=1)
+    runner.drain(stream, scratch(spark, "checkpoint"), runner.batch_writer(sink))
+    kept = spark.read.parquet(sink)
+    assert kept.count() == 40 and kept.select("batch_id").distinct().count() == 4
+
+
+def test_topic_start_is_checked(spark):
+    with pytest.raises(ContractError):
+        records.topic_stream(spark, "localhost:1", "t", start="yesterday")

@@ -27,11 +27,6 @@ def column_kinds(df: DataFrame) -> dict[str, str]:
     }
 
 
-def row_count(df: DataFrame):
-    """Number of rows as a scalar subquery, to be used inside another plan."""
-    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-
 def value_shares(df: DataFrame, column: str, out: str = "share") -> DataFrame:
     """Count and share per value, most frequent first, ties by value.
 
