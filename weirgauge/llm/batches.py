@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch
 
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 512
 
 
 def raw(column: str) -> Column:
@@ -19,16 +20,19 @@ def raw(column: str) -> Column:
     return F.col(f"`{column}`").cast("binary")
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def slices(
+    texts: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS
+) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts) of short runs of a batch; NULL is read as empty text.
 
     Work arrays are many times larger than the text they describe, so they are
-    made for a few megabytes at a time.  A text is never cut.
+    made for a few megabytes, or a few hundred rows, at a time.  A text is
+    never cut.
     """
     first, size, run = 0, 0, []
     for value in texts:
         text = value.as_py() or b""
-        if run and size + len(text) > limit:
+        if run and (size + len(text) > limit or len(run) == rows):
             yield first, run
             first, size, run = first + len(run), 0, []
         run.append(text)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
+from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,7 @@ def query(name: str, sql: str | None = None):
 
     def register(body: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return body(prepare(spark), sf_dir.rstrip("/"))
 
         run.__name__, run.__doc__ = name, body.__doc__
