@@ -1,6 +1,6 @@
 """Imports every operator so that its query is registered."""
 
-from . import decontaminate, language, packing, quality, sharding, warc  # noqa: F401
+from . import decontaminate, language, packing, quality, sharding, simhash, warc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
