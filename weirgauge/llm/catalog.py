@@ -1,6 +1,6 @@
 """Imports every operator so that its query is registered."""
 
-from . import decontaminate, language, neighbours, packing, quality, sharding, simhash, substrings, warc  # noqa: F401
+from . import decontaminate, language, licences, neighbours, packing, quality, sharding, simhash, substrings, warc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
