@@ -26,16 +26,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .batches import raw, stored
+from .batches import fresh, raw, stored
 from .components import connected
 from .registry import query, table
 
 SEED = 42
 #: Trees are planned on at most so many fingerprints.
 PLAN_ROWS = 500_000
-#: Residents a shard should have, and rows after which it is split into blocks.
+#: Residents a shard should have, and rows of one kind after which it is split into blocks.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 60_000
+#: Half of the bits that may differ; from here on a half says little, and one tree over all bits serves.
+WIDE_BITS = 8
 CANDIDATES = 6
 WORK_CELLS = 1 << 22
 LOW = np.uint64(0xFFFFFFFF)
@@ -117,7 +119,9 @@ def distance(values: np.ndarray, point: int, mask: int) -> np.ndarray:
 def plan_tree(sample: np.ndarray, half: int, bits: int, most: int) -> Tree:
     """A tree whose leaves hold at most ``most`` of the sample, where it can be split."""
     tree, rng = Tree(), np.random.default_rng(half + 1)
-    metrics = [(HALVES[half], bits // 2), (HALVES[1 - half], bits)]
+    metrics = [(LOW | HALVES[1], bits)]
+    if bits < WIDE_BITS:
+        metrics = [(HALVES[half], bits // 2), (HALVES[1 - half], bits)]
 
     def grow(values: np.ndarray) -> int:
         best = None
@@ -236,10 +240,10 @@ def link(values: DataFrame, bits: int, both_bits: int | None = None) -> DataFram
     count = values.count()
     sample = values.orderBy(F.xxhash64("first", "second")).limit(PLAN_ROWS).select("first").toPandas()
     points = np.sort(sample["first"].to_numpy(np.int64)).view(np.uint64)
-    target = max(SHARD_ROWS, count // 64) if both_bits is not None else SHARD_ROWS
-    most = max(32, len(points) * target // max(1, count))
+    wide = bits >= WIDE_BITS
+    most = max(32, len(points) * (BLOCK_ROWS if wide else SHARD_ROWS) // max(1, count))
     trees = values.sparkSession.sparkContext.broadcast(
-        [plan_tree(points, half, bits, most) for half in range(2)]
+        [plan_tree(points, half, bits, most) for half in range(1 if wide else 2)]
     )
 
     def spread(batches) -> Iterator[pa.RecordBatch]:
@@ -264,17 +268,25 @@ def link(values: DataFrame, bits: int, both_bits: int | None = None) -> DataFram
         ),
         "shards",
     )
-    # One row per shard, and the number of shards is bounded by the planning rows.
-    sizes = routed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = (
-        routed.join(sizes, "shard")
-        .withColumn("mine", mine)
-        .select("shard", "home", "first", "second", "node", "mine", other)
-        .withColumn("low", F.least("mine", "other"))
-        .withColumn("high", F.greatest("mine", "other"))
+    # A shard's residents and guests are cut into blocks of bounded size; each block of residents
+    # meets each other block of residents and each block of guests in a group of its own.
+    sizes = routed.groupBy("shard").agg(
+        F.ceil(F.count_if("home") / BLOCK_ROWS).cast("int").alias("homes"),
+        F.ceil(F.count_if(~F.col("home")) / BLOCK_ROWS).cast("int").alias("guests"),
     )
+    block = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    key = lambda guest, low, high: F.struct(guest.alias("guest"), low.alias("low"), high.alias("high"))
+    yes, no = F.lit(True), F.lit(False)
+    mine, hosted = block("homes"), block("guests")
+    with_homes = F.transform(upto("homes"), lambda j: key(no, F.least(mine, j), F.greatest(mine, j)))
+    with_guests = F.transform(upto("guests"), lambda j: key(yes, mine, j))
+    # A single block of residents is compared with itself wherever it meets guests.
+    alone = (F.col("homes") == 1) & (F.col("guests") > 0)
+    resident = F.when(alone, with_guests).otherwise(F.concat(with_homes, with_guests))
+    visitor = F.transform(upto("homes"), lambda i: key(yes, i, hosted))
+    groups = F.explode(F.when(F.col("home"), resident).otherwise(visitor)).alias("group")
+    paired = routed.join(sizes, "shard").select("shard", groups, "home", "first", "second", "node")
 
     def compare(group: pa.Table) -> pa.Table:
         column = lambda name: group[name].to_numpy()
@@ -288,8 +300,7 @@ def link(values: DataFrame, bits: int, both_bits: int | None = None) -> DataFram
         )
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    kept = paired.select("shard", "low", "high", "home", "first", "second", "node")
-    return kept.groupBy("shard", "low", "high").applyInArrow(compare, "a bigint, b bigint")
+    return paired.groupBy("shard", "group").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(rows: DataFrame, bits: int, both_bits: int | None = None) -> DataFrame:
@@ -304,6 +315,24 @@ def near_duplicates(rows: DataFrame, bits: int, both_bits: int | None = None) ->
     return values.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def keep_one(docs: DataFrame, *, text: str = "text", width: int = 5, bits: int = 14, both_bits: int = 22) -> DataFrame:
+    """One document of every group of near copies, with all columns.
+
+    Near copies agree in all but ``bits`` places of one fingerprint and all but
+    ``both_bits`` of two, over shingles of five words: two in three pairs of
+    similarity 0.8, and all but one in a hundred of similarity 0.9.  Groups are
+    connected components; the first row of a group in the table's order stays.
+    Wordless texts are one group.  Repeated rows are copies like any others.
+    """
+    number = fresh(docs, "row")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "documents")
+    prints = rows.select(F.col(number).alias("row"), fingerprint(width)(raw(text)).alias("f"))
+    flat = stored(prints.select("row", F.col("f.first").alias("first"), F.col("f.second").alias("second")), "prints")
+    found = near_duplicates(flat, bits, both_bits).where("node = root")
+    kept = found.select(F.col("root").alias(number))
+    return rows.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, over three-word shingles."""
