@@ -355,12 +355,19 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     have no words.  Rows with one key are ordered among themselves at will; rows
     with NULL keys come last.
     """
-    rows = in_order(docs, key)
-    found = stored(changes(rows.select("pos", raw(text).alias("text"))), "changes")
-    changed = found.select("pos", "n_removed", F.col("kept").cast("string").alias("kept"))
-    own = [F.coalesce("kept", f"`{c}`").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    name = lambda c: F.col(f"`{c}`")
+    packed = docs.select(
+        F.struct(*[name(c) for c in docs.columns]).alias("doc"), name(key).alias("key"), raw(text).alias("text")
+    )
+    rows = in_order(packed, "key")
+    changed = stored(changes(rows.select("pos", "text")), "changes").select(
+        "pos", "n_removed", F.col("kept").cast("string").alias("kept")
+    )
+    whole = rows.drop("key", "text").join(changed, "pos", "left")
+    own = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c != text]
+    left = F.coalesce("kept", F.col(f"doc.`{text}`")).alias(text)
     removed = F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed")
-    return rows.join(changed, "pos", "left").select(*own, removed)
+    return whole.select(*own, left, removed).select(*[name(c) for c in docs.columns], "n_removed")
 
 
 def _digested(batches) -> Iterator[pa.RecordBatch]:
