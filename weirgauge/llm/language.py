@@ -95,10 +95,13 @@ def _sample(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
         ranked.where(F.col("rank") <= ROWS_PER_LANGUAGE)
         .groupBy("lang")
         .agg(F.max("at").alias("cut"))
+        .orderBy("lang")
+        .limit(ROWS_IN_ALL)
     )
     chosen = rows.select(name.alias("lang"), order.alias("at"), raw(text).alias("text"))
     return (
-        chosen.join(cuts, "lang").where(F.col("at") <= F.col("cut")).orderBy("at", "lang").limit(ROWS_IN_ALL)
+        # One number per language, and no more languages than the sample has rows.
+        chosen.join(F.broadcast(cuts), "lang").where(F.col("at") <= F.col("cut")).orderBy("at", "lang").limit(ROWS_IN_ALL)
     )
 
 

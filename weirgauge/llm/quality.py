@@ -25,7 +25,7 @@ CLASSES = 16
 SHAPE_DIMS = CLASSES**3
 DIMS = WORD_DIMS + SHAPE_DIMS
 #: The model is fitted on at most so many rated rows.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 ROUNDS = 150
 RIDGE = 5e-5
 #: A feature met in fewer rated rows is not learned.
@@ -168,9 +168,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str =
     # FIT_ROWS pairs of numbers: a size known before anything is read.
     sample = texts.join(F.broadcast(rated), "key").select("grade", "text")
     found = sample.mapInArrow(_featured, "grade int, place binary, value binary")
-    rows = sorted(
-        (r.grade, bytes(r.place), bytes(r.value)) for r in found.limit(2 * FIT_ROWS).collect()
-    )
+    rows = sorted((r.grade, bytes(r.place), bytes(r.value)) for r in found.limit(2 * FIT_ROWS).toLocalIterator())
     if not rows:
         return OrdinalModel(np.zeros(DIMS), np.full(GRADES - 1, -40.0))
     grades = np.array([g for g, _, _ in rows], np.int64)

@@ -9,7 +9,8 @@ same document.  Words of repeated windows are removed.
   equal anchors, so all their occurrences meet in one shard.  Anchors that occur
   once cannot belong to a repeated window.
 * Equal segments are collapsed.  All but the earliest are repeated as a whole.
-* The distinct segments of a shard are indexed, and each is streamed through
+* Where an anchor has several different segments, or one that may repeat within
+  itself, the segments of a shard are indexed, and each is streamed through
   backward search, which gives for every window the interval of its occurrences
   and so the earliest of them.
 * An anchor with very many distinct segments (a common line among ever new
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .batches import discard, raw, slices, stored
+from .batches import discard, raw, slices, store, stored
 from .fm_index import FMIndex
 from .registry import query, table
 
@@ -288,38 +289,55 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def changes(flat: DataFrame) -> DataFrame:
-    """(pos, n_words, n_removed, kept) of the documents that lose words.
+def changes(flat: DataFrame, digest: bool = False) -> DataFrame:
+    """(pos, n_words, n_removed, kept) of the documents that lose words, as a stored table.
 
     ``flat``: unique bigint ``pos`` in the order that decides which occurrence
-    is the first, and binary ``text``; NULL has no words.
+    is the first, and binary ``text``; NULL has no words.  ``kept`` is the text
+    that is left or, with ``digest``, its SHA-256.
     """
     spark = flat.sparkSession
     cut = flat.mapInArrow(_segmented, SEGMENT)
-    # Counted from the anchors alone, and joined to a second pass: the segments are never stored.
+    # Counted from the anchors alone, and joined to a second pass: only what is repeated is stored.
     twice = cut.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1").select("anchor")
-    found = stored(cut.drop("times").join(twice, "anchor", "left_semi"), "segments")
+    place = F.shiftleft(F.col("start").cast("bigint"), 32) + F.shiftleft(F.col("n").cast("bigint"), 2) + F.col("times")
+    narrow = cut.select("anchor", "content", "pos", place.alias("place"))
+    held = [store(narrow.join(twice, "anchor", "left_semi"), "segments")]
     release(spark)
 
-    same = found.groupBy("anchor", "content").agg(F.min(F.struct("pos", "start")).alias("first"))
-    crowded = same.groupBy("anchor").count().where(F.col("count") > CROWD).select("anchor", F.lit(True).alias("crowded"))
-    marked = stored(
-        found.join(same, ["anchor", "content"])
-        .join(crowded, "anchor", "left")
+    found = spark.read.schema("anchor bigint, content bigint, pos bigint, place bigint").parquet(held[0])
+    same = found.groupBy("anchor", "content").agg(
+        F.min(F.struct("pos", "place")).alias("first"), F.max(F.col("place").bitwiseAND(3)).alias("times")
+    )
+    kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("times").alias("times"))
+    # A single kind of segment that does not repeat itself holds nothing more to find.
+    several = kinds.where("kinds > 1 OR times > 1").select("anchor", "kinds")
+    marks = (
+        found.join(same.drop("times"), ["anchor", "content"])
+        .join(several, "anchor", "left")
         .select(
-            "anchor", "content", "pos", "start", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"),
-            (F.struct("pos", "start") == F.col("first")).alias("is_first"),
-        ),
-        "marked",
+            "anchor", "content", "pos",
+            F.shiftright("place", 32).cast("int").alias("start"),
+            F.shiftright(F.col("place").bitwiseAND(0xFFFFFFFF), 2).cast("int").alias("n"),
+            F.coalesce(F.col("kinds") > CROWD, F.lit(False)).alias("crowded"),
+            F.col("kinds").isNotNull().alias("several"),
+            (F.struct("pos", "place") == F.col("first")).alias("is_first"),
+        )
+        .where("several OR NOT is_first")
     )
+    held.append(store(marks, "marked"))
+    marked = spark.read.schema(marks.schema).parquet(held[-1])
+    discard(spark, held[0])
     # The texts that may change, and nothing else, are kept for the steps below.
-    texts = stored(flat.join(marked.select("pos").distinct(), "pos", "left_semi"), "texts")
+    held.append(store(flat.join(marked.select("pos").distinct(), "pos", "left_semi"), "texts"))
+    texts = spark.read.schema("pos bigint, text binary").parquet(held[-1])
     release(spark)
 
     wanted = marked.where("is_first").groupBy("pos").agg(
         F.collect_list(F.struct("anchor", "content", "start", "n", "crowded")).alias("wanted")
     )
-    pieces = stored(texts.join(wanted, "pos").select("pos", "text", "wanted").mapInArrow(_cut, CUT), "pieces")
+    held.append(store(texts.join(wanted, "pos").select("pos", "text", "wanted").mapInArrow(_cut, CUT), "pieces"))
+    pieces = spark.read.schema(CUT).parquet(held[-1])
     release(spark)
     total = pieces.where("words IS NOT NULL").agg(F.sum(F.col("n") + WINDOW)).first()[0] or 0
     shards = -(-total // SHARD_WORDS) or 1
@@ -344,7 +362,14 @@ def changes(flat: DataFrame) -> DataFrame:
         .groupBy("pos")
         .agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     )
-    return texts.join(runs, "pos").select("pos", "text", "runs").mapInArrow(_kept, KEPT)
+    result = texts.join(runs, "pos").select("pos", "text", "runs").mapInArrow(_kept, KEPT)
+    if digest:
+        result = result.select("pos", "n_words", "n_removed", F.sha2("kept", 256).alias("kept"))
+    result = stored(result, "changes")
+    for path in held[1:]:
+        discard(spark, path)
+    release(spark)
+    return result
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -360,7 +385,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         F.struct(*[name(c) for c in docs.columns]).alias("doc"), name(key).alias("key"), raw(text).alias("text")
     )
     rows = in_order(packed, "key")
-    changed = stored(changes(rows.select("pos", "text")), "changes").select(
+    changed = changes(rows.select("pos", "text")).select(
         "pos", "n_removed", F.col("kept").cast("string").alias("kept")
     )
     whole = rows.drop("key", "text").join(changed, "pos", "left")
@@ -407,10 +432,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = in_order(docs, "doc_id")
     flat = rows.select("pos", raw("text").alias("text"))
-    changed = stored(
-        changes(flat).select("pos", "n_removed", F.sha2("kept", 256).alias("left")), "changes"
-    )
-    release(spark)
+    changed = changes(flat, digest=True).select("pos", "n_removed", F.col("kept").alias("left"))
     whole = rows.select("pos", F.col("doc_id").alias("key"), raw("text").alias("text")).mapInArrow(
         _digested, "pos bigint, key bigint, n_words bigint, whole string"
     )
