@@ -29,13 +29,13 @@ def test_cell_verdicts_agree(spark):
     assert found[" 2 "] is None
 
 
-@pytest.mark.parametrize("per_bucket", [1, 7, 10_000])
-def test_positions_and_sums_do_not_depend_on_buckets(spark, per_bucket):
+@pytest.mark.parametrize("parts", [1, 7, 300])
+def test_positions_and_sums_do_not_depend_on_buckets(spark, parts):
     rng = random.Random(7)
     keys = rng.sample(range(1_000_000), 300)
     data = [(k, rng.choice("ab"), rng.randrange(10)) for k in keys]
     df = spark.createDataFrame(data, "k bigint, g string, v bigint").repartition(5)
-    cut = ordering.depth_buckets(df, "k", rows_per_bucket=per_bucket)
+    cut = ordering.range_buckets(df, "k", parts)
     got = {
         r.k: (r.pos, r.gpos, r.total)
         for r in ordering.running_sum(
@@ -213,21 +213,83 @@ def test_first_write_wins_over_runs_and_repeats(spark):
     root = scratch(spark, "history")
     history.initialize(spark, root)
 
-    def put(offsets, verdict, epoch, batch_id):
+    def put(offsets, verdict, run, batch_id, shift=0):
         rows = prediction_rows(spark, offsets, verdict)
-        history.insert_absent(
-            rows, root, history.PREDICTIONS, epoch=epoch, batch_id=batch_id
-        )
-
-    put([1, 2, 2], 0.0, 0, 0)
-    put([2, 3], 1.0, 0, 1)
-    put([2, 3], 1.0, 0, 1)
-    put([1, 2, 3, 4], 0.5, 1, 0)
-    put([], 0.5, 1, 1)
+        later = F.col("event_timestamp") + F.make_interval(days=F.lit(shift))
+        rows = rows.withColumn("event_timestamp", F.when(F.col("offset") != 5, later))
+        history.insert_absent(rows, root, history.PREDICTIONS, run=run, batch_id=batch_id)
+
+    put([1, 2, 2], 0.0, "a", 0)
+    put([2, 3], 1.0, "a", 1)
+    put([2, 3], 1.0, "a", 1)
+    put([1, 2, 3, 4, 5], 0.5, "b", 0, shift=3)
+    put([5, 4], 0.25, "c", 0, shift=9)
+    put([], 0.5, "b", 1)
+    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2027, 1, 1)) == 1
+    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2027, 1, 1)) == 0
+    put([1, 2, 3, 4, 5], 0.75, "d", 0)
     stored = history.read_table(spark, root, history.PREDICTIONS).collect()
     assert sorted((r.offset, r.prediction) for r in stored) == [
-        (1, 0.0), (2, 0.0), (3, 1.0), (4, 0.5)
+        (1, 0.0), (2, 0.0), (3, 1.0), (4, 0.5), (5, 0.5)
     ]
+    newest = history.recent(spark, root, history.PREDICTIONS, 2).collect()
+    assert [r.offset for r in newest] == [4, 3]
+
+
+def test_fuller_windows_win_over_later_commits(spark):
+    root = scratch(spark, "history")
+    history.initialize(spark, root)
+    at = datetime.datetime(2026, 1, 1)
+    for run, batch_id, count in (("a", 0, 3), ("a", 1, 9), ("b", 5, 4)):
+        row = (at, at, count, 1.0, count, 0, 1.0, 0.0, "Normal")
+        rows = spark.createDataFrame([row], history.METRICS.schema)
+        history.append_versions(rows, root, run=run, batch_id=batch_id)
+    assert [r.event_count for r in history.read_table(spark, root, history.METRICS).collect()] == [9]
+    history.compact(spark, root, history.METRICS, datetime.date(2027, 1, 1))
+    assert [r.event_count for r in history.read_table(spark, root, history.METRICS).collect()] == [9]
+
+
+def test_an_interrupted_compaction_is_finished_or_dropped(spark):
+    root = scratch(spark, "history")
+    history.initialize(spark, root)
+    for batch_id in range(2):
+        rows = prediction_rows(spark, [batch_id], 0.0)
+        history.insert_absent(rows, root, history.PREDICTIONS, run="a", batch_id=batch_id)
+    aside = f"{root}/_compaction/predictions"
+    whole = history.read_log(spark, root, history.PREDICTIONS).drop("run", "batch")
+    whole.where("offset = 0").write.partitionBy("span", "day").parquet(aside)
+    stage, files = history._files(spark, f"{aside}/_SUCCESS")
+    files.delete(stage, True)
+    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2020, 1, 1)) == 0
+    whole.write.partitionBy("span", "day").parquet(aside)
+    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2020, 1, 1)) == 1
+    log = history.read_log(spark, root, history.PREDICTIONS).collect()
+    assert sorted((r.offset, r.run) for r in log) == [(0, "compacted"), (1, "compacted")]
+
+
+def test_a_row_that_repeats_often_unfolds_in_many_tasks(spark):
+    from weirgauge.operators import replay
+
+    row = spark.createDataFrame([(7, "normal", 0)], "k int, replay_class string, position bigint")
+    spread = replay._repeat(row, F.lit(100_000), F.lit(1), "turn")
+    sizes = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 100_000 and len(sizes) > 3
+    assert spread.select("turn").distinct().count() == 100_000
+
+
+def test_publications_are_ordered_by_version_not_by_clock(spark, monkeypatch):
+    root = scratch(spark, "snapshot")
+    one = lambda n: spark.createDataFrame([(n,)], "n int")
+    snapshots.publish(one(1), root)
+    monkeypatch.setattr(snapshots.time, "time", lambda: 0.0)
+    snapshots.publish(one(2), root)
+    assert [r.record["n"] for r in snapshots.read(spark, root).collect()] == ["2"]
+    assert len(snapshots._folders(spark, root)) == 2
+    monkeypatch.undo()
+    snapshots._put(spark.createDataFrame([("[]",)], "value string"), root, keep_seconds=-5)
+    assert [done for _, _, done in snapshots._folders(spark, root)] == [True]
+    with pytest.raises(ContractError):
+        snapshots.publish(spark.range(3), root, most=2)
 
 
 def test_missing_table_is_an_error(spark):

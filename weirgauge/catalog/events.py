@@ -427,10 +427,10 @@ def _(spark, sf):
 SELECT window_end, CASE WHEN hour(window_start) = 3 THEN 'UNAVAILABLE'
     WHEN status = 'Normal' THEN 'SAFE' WHEN status = 'Warning' THEN 'WARNING'
     ELSE 'CRITICAL' END AS shown_status,
-  CASE WHEN hour(window_start) = 3 THEN 'The latest analytics status is not recognized'
-    WHEN status = 'Normal' THEN 'Network activity is within the normal range'
-    WHEN status = 'Warning' THEN 'Suspicious activity is present in the current window'
-    ELSE 'A high concentration of threats has been detected' END AS shown_message,
+  CASE WHEN hour(window_start) = 3 THEN 'No status of this name is known'
+    WHEN status = 'Normal' THEN 'Few or no events of this window look like attacks'
+    WHEN status = 'Warning' THEN 'A share of this window''s events looks like attacks'
+    ELSE 'Most events of this window look like attacks' END AS shown_message,
   round(greatest(0, least(100, attack_rate * 100)), 6) AS shown_percent FROM metrics""",
 )
 def _(spark, sf):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
@@ -15,38 +14,50 @@ from . import inputs as i
 from .registry import query
 from .stored import flow_files
 
-DIMENSIONS = 64
-EMBEDDED = FlowContract(
-    numeric=tuple(f"e{n}" for n in range(DIMENSIONS)),
-    features=tuple(f"e{n}" for n in range(DIMENSIONS)),
+RULED = FlowContract(
+    numeric=("qty", "disc", "tax", "price"),
+    features=("qty", "disc", "tax", "price"),
     attacks=("rest",),
 )
-
-
-def embedded(spark, sf):
-    """embeddings as examples: class 0 is normal (about one in ten), the rest attack."""
-    rows = i.table(spark, sf, "embeddings").select(
-        "vec_id",
-        F.when(F.col("label") == 0, 0.0).otherwise(1.0).alias("binary_label"),
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def ruled(spark, sf, rule: str):
+    """lineitem as examples whose class is a threshold of one feature.
+
+    A tree finds such a rule exactly, so every cell of a forest's confusion
+    matrix is known from the table alone.
+    """
+    rows = i.table(spark, sf, "lineitem").select(
+        *LINE,
+        F.col("l_quantity").alias("qty"),
+        F.col("l_discount").alias("disc"),
+        F.col("l_tax").alias("tax"),
+        F.col("l_extendedprice").alias("price"),
+        F.expr(f"CASE WHEN {rule} THEN 1.0D ELSE 0.0D END").alias("binary_label"),
     )
-    return examples.hash_split(rows, ("vec_id",))
+    return examples.hash_split(clean.add_vector(rows, RULED), LINE[:1])
 
 
-SPLIT_SQL = f"""embedded AS (SELECT vec_id, label,
-  CASE WHEN ('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT < {int(0.70 * 2**32)} THEN 'train'
-  WHEN ('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT < {int(0.85 * 2**32)} THEN 'validation'
-  ELSE 'test' END AS split FROM embeddings)"""
+ATTACKS, MISTAKEN = "l_discount >= 0.05", "l_tax >= 0.04"
+SPLIT_SQL = f"""lines AS (SELECT *, {ATTACKS} AS attack, {MISTAKEN} AS mistaken,
+  CASE WHEN ('0x' || substr(md5(l_orderkey::VARCHAR), 1, 8))::BIGINT < {int(0.70 * 2**32)} THEN 'train'
+  WHEN ('0x' || substr(md5(l_orderkey::VARCHAR), 1, 8))::BIGINT < {int(0.85 * 2**32)} THEN 'validation'
+  ELSE 'test' END AS split FROM lineitem)"""
 
 
 @lru_cache(maxsize=None)
 def _models(app_id: str, spark, sf: str) -> dict:
-    """Baseline and class-weighted forest; fitted once per session."""
-    train = written(embedded(spark, sf).where(F.col("split") == "train"), "train")
-    weighted = examples.add_class_weight(train, "binary_label")
+    """A baseline taught a wrong rule and a class-weighted candidate; fitted once per session."""
+
+    def train(rule):
+        kept = ruled(spark, sf, rule).where(F.col("split") == "train")
+        return written(kept.select("binary_label", "features"), "train")
+
+    weighted = examples.add_class_weight(train(ATTACKS), "binary_label")
     return {
-        "baseline": forest.fit_forest(train, EMBEDDED),
-        "candidate": forest.fit_forest(weighted, EMBEDDED, "class_weight"),
+        "baseline": forest.fit_forest(train(MISTAKEN), RULED),
+        "candidate": forest.fit_forest(weighted, RULED, "class_weight"),
     }
 
 
@@ -55,49 +66,51 @@ def models(spark, sf) -> dict:
 
 
 def judged(spark, sf, name: str):
-    """Cells of one model over validation and test, checked against each other."""
-    rows = embedded(spark, sf).where(F.col("split") != "train")
-    scored = forest.score(rows, models(spark, sf)[name])
-    found = evaluate.evaluate(scored, "binary_label")
-    return found.select(
-        "rows",
-        (F.col("tn") + F.col("fp")).alias("normal_rows"),
-        (F.col("fn") + F.col("tp")).alias("attack_rows"),
-        *[F.col(r).between(0, 1).alias(f"{r}_in_range") for r in evaluate.RATES],
-    )
-
-
-EVAL_SQL = f"""WITH {SPLIT_SQL}
-SELECT count(*) AS rows, count(*) FILTER (label = 0) AS normal_rows,
-  count(*) FILTER (label <> 0) AS attack_rows,
-""" + ", ".join(f"true AS {r}_in_range" for r in evaluate.RATES) + (
-    " FROM embedded WHERE split <> 'train'"
-)
-
-
-@query("q_rf_baseline_eval", EVAL_SQL)
+    """Cells and rates of one model over validation and test."""
+    rows = ruled(spark, sf, ATTACKS).where(F.col("split") != "train")
+    found = evaluate.evaluate(forest.score(rows, models(spark, sf)[name]), "binary_label")
+    return i.shown(found.select("rows", *evaluate.CELLS, *evaluate.RATES))
+
+
+def eval_sql(guess: str) -> str:
+    return f"""WITH {SPLIT_SQL}, c AS (SELECT count(*) AS rows,
+  count(*) FILTER (NOT attack AND NOT {guess}) AS tn, count(*) FILTER (NOT attack AND {guess}) AS fp,
+  count(*) FILTER (attack AND NOT {guess}) AS fn, count(*) FILTER (attack AND {guess}) AS tp
+  FROM lines WHERE split <> 'train'),
+r AS (SELECT *, (tn + tp) / rows AS accuracy, tp / (tp + fp) AS attack_precision,
+  tp / (tp + fn) AS attack_recall, tn / (tn + fp) AS normal_specificity, fp / (tn + fp)
+  AS false_positive_rate FROM c)
+SELECT rows, tn, fp, fn, tp, round(accuracy, 6) AS accuracy,
+  round(attack_precision, 6) AS attack_precision, round(attack_recall, 6) AS attack_recall,
+  round(2 * attack_precision * attack_recall / (attack_precision + attack_recall), 6) AS attack_f1,
+  round(normal_specificity, 6) AS normal_specificity,
+  round(false_positive_rate, 6) AS false_positive_rate,
+  round((attack_recall + normal_specificity) / 2, 6) AS balanced_accuracy FROM r"""
+
+
+@query("q_rf_baseline_eval", eval_sql("mistaken"))
 def _(spark, sf):
     return judged(spark, sf, "baseline")
 
 
-@query("q_rf_weighted_eval", EVAL_SQL)
+@query("q_rf_weighted_eval", eval_sql("attack"))
 def _(spark, sf):
     return judged(spark, sf, "candidate")
 
 
 @query(
     "q_rf_scored_rows",
-    """SELECT vec_id, true AS binary_prediction, true AS probability_sums_to_one,
-  true AS prediction_is_likelier_class FROM embeddings""",
+    f"""SELECT {", ".join(LINE)}, CASE WHEN {ATTACKS} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+  true AS probability_sums_to_one, true AS prediction_is_likelier_class FROM lineitem""",
 )
 def _(spark, sf):
     """Every row scored; probabilities and prediction agree."""
-    scored = forest.score(embedded(spark, sf), models(spark, sf)["baseline"])
+    scored = forest.score(ruled(spark, sf, ATTACKS), models(spark, sf)["candidate"])
     normal, attack = F.col("probability")[0], F.col("probability")[1]
     likelier = F.when(attack > normal, 1.0).otherwise(0.0)
     return scored.select(
-        "vec_id",
-        F.col("prediction").isin(0.0, 1.0).alias("binary_prediction"),
+        *LINE,
+        "prediction",
         (F.abs(normal + attack - 1.0) < 1e-9).alias("probability_sums_to_one"),
         (F.col("prediction") == likelier).alias("prediction_is_likelier_class"),
     )
@@ -105,45 +118,34 @@ def _(spark, sf):
 
 @query(
     "q_rf_gate",
-    f"""WITH {SPLIT_SQL}
-SELECT count(*) AS validation_rows, true AS same_rows_for_both, true AS decision_follows_deltas
-FROM embedded WHERE split = 'validation'""",
+    f"""WITH {SPLIT_SQL}, v AS (SELECT * FROM lines WHERE split = 'validation')
+SELECT count(*) AS validation_rows, 'promote' AS decision,
+  round(1 - count(*) FILTER (NOT attack AND NOT mistaken) / count(*) FILTER (NOT attack), 6)
+    AS specificity_delta,
+  round(1 - count(*) FILTER (attack AND mistaken) / count(*) FILTER (attack), 6) AS recall_delta
+FROM v""",
 )
 def _(spark, sf):
     """Both forests on the same validation rows, in one scan, and the decision."""
-    rows = embedded(spark, sf).where(F.col("split") == "validation")
-    found = training.judge_models(rows, models(spark, sf), EMBEDDED)
+    rows = ruled(spark, sf, ATTACKS).where(F.col("split") == "validation")
+    found = training.judge_models(rows, models(spark, sf), RULED)
     decided = evaluate.promotion(evaluate.compare(found, "baseline", "candidate"))
-    both = found.agg(
-        F.max("rows").alias("validation_rows"),
-        (F.min("rows") == F.max("rows")).alias("same_rows_for_both"),
-    )
-    s, r = F.col("specificity_delta"), F.col("recall_delta")
-    follows = (
-        F.when(F.col("decision") == evaluate.CLEAR_GAIN, (s > 0) & (r >= 0))
-        .when(F.col("decision") == evaluate.KEEP_BASELINE, (s <= 0) & (r <= 0))
-        .otherwise(((s > 0) & (r < 0)) | ((s <= 0) & (r > 0)))
+    total = found.agg(F.max("rows").alias("n")).scalar()
+    return i.shown(
+        decided.select(total.alias("validation_rows"), "decision", "specificity_delta", "recall_delta")
     )
-    return both.withColumn("decision_follows_deltas", decided.select(follows.alias("f")).scalar())
 
 
 @query(
     "q_feature_importances",
-    "SELECT 10::BIGINT AS features, true AS descending, true AS sum_at_most_one, true AS known_names",
+    "SELECT 'disc' AS top_feature, 4::BIGINT AS features, true AS descending, true AS sum_is_one",
 )
 def _(spark, sf):
-    """Top ten importances of the baseline forest."""
-    ranked = forest.importances(models(spark, sf)["baseline"], EMBEDDED)[:10]
+    """Importances of the candidate: the feature of its rule comes first."""
+    ranked = forest.importances(models(spark, sf)["candidate"], RULED)
     values = [v for _, v in ranked]
-    checks = (
-        len(ranked),
-        values == sorted(values, reverse=True),
-        sum(values) <= 1 + 1e-9,
-        all(n in EMBEDDED.features for n, _ in ranked),
-    )
-    return spark.createDataFrame(
-        [checks], "features bigint, descending boolean, sum_at_most_one boolean, known_names boolean"
-    )
+    row = (ranked[0][0], len(ranked), values == sorted(values, reverse=True), abs(sum(values) - 1) < 1e-9)
+    return spark.createDataFrame([row], "top_feature string, features bigint, descending boolean, sum_is_one boolean")
 
 
 @query(
@@ -156,9 +158,9 @@ def _(spark, sf):
     path = scratch(spark, "forest")
     models(spark, sf)["baseline"].write().save(path)
     cases = {
-        "saved forest": (path, EMBEDDED),
-        "other contract": (path, i.LINES),
-        "no forest there": (f"{path}-absent", EMBEDDED),
+        "saved forest": (path, RULED),
+        "other contract": (path, FlowContract(("a", "b"), ("a", "b"), ("rest",))),
+        "no forest there": (f"{path}-absent", RULED),
     }
     verdicts = []
     for name, (where, contract) in cases.items():
@@ -215,43 +217,53 @@ def _(spark, sf):
     )
 
 
-@query("q_sample_predictions")
+@query(
+    "q_sample_predictions",
+    f"""WITH {i.FLOWS_SQL}, few AS (SELECT target FROM ready
+  ORDER BY l_quantity, l_extendedprice, l_discount, l_tax, target LIMIT 5)
+SELECT count(*) AS rows, sum(target)::DOUBLE AS attacks, count(*)::DOUBLE AS probability_sum,
+  count(*) AS matching FROM few""",
+)
 def _(spark, sf):
     """Five predictions of the stored forest, as a check that it reloads."""
     path, _ = trained_job(spark, sf)
-    return training.sample_predictions(spark, flow_files(spark, sf), i.LINES, path, 5)
+    few = training.sample_predictions(spark, flow_files(spark, sf), i.LINES, path, 5)
+    chances = F.col("probability")
+    total = F.aggregate(chances, F.lit(0.0), lambda a, b: a + b)
+    likeliest = F.when(F.element_at(chances, 2) > F.element_at(chances, 1), 1.0).otherwise(0.0)
+    return few.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(i.LINES.target).alias("attacks"),
+        F.sum(total).alias("probability_sum"),
+        F.count_if(F.col("prediction") == likeliest).alias("matching"),
+    )
 
 
 @query(
     "q_text_forest_eval",
-    """SELECT count(*) AS rows, count(*) FILTER (toxic = 0) AS normal_rows,
-  count(*) FILTER (toxic = 1) AS attack_rows, true AS better_than_nothing
-FROM documents JOIN labels USING (doc_id)""",
+    """WITH t AS (SELECT regexp_matches(text, '[0-9]') AS attack,
+  ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT AS h
+  FROM documents JOIN labels USING (doc_id))
+SELECT count(*) AS rows, count(*) FILTER (NOT attack) AS tn, 0::BIGINT AS fp, 0::BIGINT AS fn,
+  count(*) FILTER (attack) AS tp FROM t WHERE h >= """ + str(int(0.70 * 2**32)),
 )
 def _(spark, sf):
-    """A class-weighted forest on whole-text counts of the labelled documents."""
+    """A class-weighted forest on whole-text counts, judged on documents it has not seen."""
     text = F.col("text")
-    words = F.size(F.split(text, r"\s+")).cast("double")
-    contract = FlowContract(
-        numeric=("chars", "words", "lines", "digits"),
-        features=("chars", "words", "lines", "digits"),
-        attacks=("toxic",),
-    )
-    rows = i.table(spark, sf, "documents").join(i.table(spark, sf, "labels"), "doc_id").select(
-        F.col("n_chars").cast("double").alias("chars"),
-        words.alias("words"),
-        F.size(F.split(text, "\n")).cast("double").alias("lines"),
-        F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("digits"),
-        F.col("toxic").cast("double").alias("binary_label"),
-    )
-    ready = clean.add_vector(written(rows, "text-counts"), contract)
-    fitted = forest.fit_forest(
-        examples.add_class_weight(ready, "binary_label"), contract, "class_weight"
-    )
-    found = evaluate.evaluate(forest.score(ready, fitted), "binary_label")
-    return found.select(
-        "rows",
-        (F.col("tn") + F.col("fp")).alias("normal_rows"),
-        (F.col("fn") + F.col("tp")).alias("attack_rows"),
-        (F.col("balanced_accuracy") >= 0.5).alias("better_than_nothing"),
+    counts = {
+        "chars": F.col("n_chars").cast("double"),
+        "words": F.size(F.split(text, r"\s+")).cast("double"),
+        "lines": F.size(F.split(text, "\n")).cast("double"),
+        "digits": F.least(F.length(F.regexp_replace(text, "[^0-9]", "")), F.lit(20)).cast("double"),
+    }
+    contract = FlowContract(numeric=tuple(counts), features=tuple(counts), attacks=("digits",))
+    labelled = i.table(spark, sf, "documents").join(i.table(spark, sf, "labels"), "doc_id")
+    rows = labelled.select("doc_id", *[c.alias(n) for n, c in counts.items()]).withColumn(
+        "binary_label", F.when(F.col("digits") > 0, 1.0).otherwise(0.0)
     )
+    split = examples.hash_split(clean.add_vector(rows, contract), ("doc_id",))
+    ready = written(split.select("split", "features", "binary_label"), "text-counts")
+    seen = examples.add_class_weight(ready.where(F.col("split") == "train"), "binary_label")
+    fitted = forest.fit_forest(seen, contract, "class_weight")
+    unseen = forest.score(ready.where(F.col("split") != "train"), fitted)
+    return evaluate.evaluate(unseen, "binary_label").select("rows", *evaluate.CELLS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import lru_cache
 
 from pyspark.sql import functions as F
@@ -33,6 +34,15 @@ def flipped(df):
     return alert_ops.name_predictions(other)
 
 
+def moved(df, last: int):
+    """Rows up to a day of the month carry the time of another day."""
+    at = F.col("event_timestamp")
+    return df.withColumn(
+        "event_timestamp",
+        F.when(F.dayofmonth(at) <= last, at + F.expr("INTERVAL 40 DAY")).otherwise(at),
+    )
+
+
 @query(
     "q_history_insert_ignore",
     f"""WITH {PREDS}
@@ -41,16 +51,21 @@ SELECT 'events' AS topic, part AS partition, event_id AS "offset", et AS event_t
 FROM preds""",
 )
 def _(spark, sf):
-    """Three overlapping batches, one of them repeated: the first write wins."""
+    """Overlapping batches, one repeated, one with known keys on other days: the first write wins.
+
+    Old days are compacted before the last batch.
+    """
     root, rows = scratch(spark, "history"), predictions(spark, sf)
     history.initialize(spark, root)
     for batch_id, batch in (
         (0, days(rows, 1, 15)),
-        (1, flipped(days(rows, 10, 25))),
+        (1, moved(flipped(days(rows, 10, 25)), 15)),
         (0, days(rows, 1, 15)),
         (2, days(rows, 20, 31)),
     ):
-        history.insert_absent(batch, root, history.PREDICTIONS, epoch=0, batch_id=batch_id)
+        if batch_id == 2:
+            history.compact(spark, root, history.PREDICTIONS, datetime.date(2024, 1, 20))
+        history.insert_absent(batch, root, history.PREDICTIONS, run="first", batch_id=batch_id)
     stored = history.read_table(spark, root, history.PREDICTIONS)
     return i.shown(
         stored.select("topic", "partition", "offset", "event_timestamp", "prediction")
@@ -62,13 +77,15 @@ def _(spark, sf):
     f"WITH {METRICS} SELECT {i.METRIC_OUT_SQL} FROM metrics",
 )
 def _(spark, sf):
-    """Partial windows, then full ones, then the first batch again: the last commit wins."""
+    """Partial windows, full ones, then the partial ones again, also as another run: the fullest count."""
     root, rows = scratch(spark, "history"), predictions(spark, sf)
     history.initialize(spark, root)
     partial = windows.window_metrics(days(rows, 1, 15), i.PLAN)
     full = windows.window_metrics(rows, i.PLAN)
-    for batch_id, batch in ((0, partial), (1, full), (0, partial)):
-        history.append_versions(batch, root, epoch=0, batch_id=batch_id)
+    commits = (("first", 0, partial), ("first", 1, full), ("first", 0, partial), ("second", 0, partial))
+    for run, batch_id, batch in commits:
+        history.append_versions(batch, root, run=run, batch_id=batch_id)
+    history.compact(spark, root, history.METRICS, datetime.date(2024, 1, 12))
     return i.shown(history.read_table(spark, root, history.METRICS))
 
 
@@ -83,7 +100,7 @@ def _(spark, sf):
     root = scratch(spark, "history")
     history.initialize(spark, root)
     history.insert_absent(
-        predictions(spark, sf), root, history.PREDICTIONS, epoch=0, batch_id=0
+        predictions(spark, sf), root, history.PREDICTIONS, run="first", batch_id=0
     )
     history.initialize(spark, root)
     return history.table_counts(spark, root)
@@ -93,10 +110,10 @@ def _(spark, sf):
 def _history(app_id: str, spark, sf: str) -> str:
     root, rows = scratch(spark, "history"), predictions(spark, sf)
     history.initialize(spark, root)
-    history.insert_absent(rows, root, history.PREDICTIONS, epoch=0, batch_id=0)
-    history.insert_absent(alert_ops.alerts(rows), root, history.ALERTS, epoch=0, batch_id=0)
+    history.insert_absent(rows, root, history.PREDICTIONS, run="first", batch_id=0)
+    history.insert_absent(alert_ops.alerts(rows), root, history.ALERTS, run="first", batch_id=0)
     metrics = windows.window_metrics(rows, i.PLAN)
-    history.append_versions(metrics, root, epoch=0, batch_id=0)
+    history.append_versions(metrics, root, run="first", batch_id=0)
     return root
 
 
@@ -127,8 +144,7 @@ SELECT {ISO.format("window_end")} AS window_end, status, round(event_rate, 6) AS
 FROM metrics ORDER BY metrics.window_end DESC LIMIT 10""",
 )
 def _(spark, sf):
-    rows = history.read_table(spark, full_history(spark, sf), history.METRICS)
-    return i.shown(history.recent_rows(rows, history.METRICS, 10))
+    return i.shown(history.recent(spark, full_history(spark, sf), history.METRICS, 10))
 
 
 RECENT_RECORD = f"""SELECT {ISO.format("et")} AS event_timestamp, 'events' AS topic,
@@ -138,8 +154,7 @@ RECENT_RECORD = f"""SELECT {ISO.format("et")} AS event_timestamp, 'events' AS to
 
 @query("q_history_recent_predictions", f"WITH {PREDS} {RECENT_RECORD.format('')}")
 def _(spark, sf):
-    rows = history.read_table(spark, full_history(spark, sf), history.PREDICTIONS)
-    return history.recent_rows(rows, history.PREDICTIONS, 10)
+    return history.recent(spark, full_history(spark, sf), history.PREDICTIONS, 10)
 
 
 @query(
@@ -147,8 +162,7 @@ def _(spark, sf):
     f"WITH {PREDS} {RECENT_RECORD.format('WHERE prediction = 1.0')}",
 )
 def _(spark, sf):
-    rows = history.read_table(spark, full_history(spark, sf), history.ALERTS)
-    return history.recent_rows(rows, history.ALERTS, 10)
+    return history.recent(spark, full_history(spark, sf), history.ALERTS, 10)
 
 
 @query(

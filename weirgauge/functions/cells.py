@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PROBLEMS
 
 INFINITY = float("inf")
-WIDE = 8
 
 
 def ref(name: str) -> Column:
@@ -57,14 +53,10 @@ def is_finite_cell(cell: Column) -> Column:
 def all_finite(names) -> Column:
     """Every one of the columns holds a finite number.
 
-    A few columns are compared one by one inside the generated code.  Dozens of
-    them would make that code too long for the JVM to compile, which costs more
-    than the comparison itself; they are tested as arrays instead.
+    They are tested as one array: dozens of comparisons one by one would make
+    the generated code too long for the JVM to compile.
     """
-    cells = [ref(n) for n in names]
-    if len(cells) <= WIDE:
-        return reduce(and_, [is_finite_cell(c) for c in cells], F.lit(True))
-    numbers = F.array(*[as_number(c) for c in cells])
+    numbers = F.array(*[as_number(ref(n)) for n in names]).cast("array<double>")
     return F.coalesce(F.forall(numbers, lambda n: F.abs(n) < INFINITY), F.lit(False))
 
 

@@ -8,16 +8,14 @@ bucket is ordered globally.  The bucket number must grow with the sort key.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import ref
+from ..session import written
 
 BUCKET = "__bucket"
 GRID_CELLS = 4096
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 8192
 
 
 def grid_buckets(df: DataFrame, key: str, step_seconds: float) -> DataFrame:
@@ -30,27 +28,15 @@ def grid_buckets(df: DataFrame, key: str, step_seconds: float) -> DataFrame:
     return df.withColumn(BUCKET, F.floor(F.unix_seconds(ref(key)) / width))
 
 
-def depth_buckets(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Buckets of about equal row count for a unique numeric key.
+def range_buckets(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Buckets of about equal row count for a unique key, as a stored table.
 
-    Edges are approximate quantiles from one aggregate; any edges give the same
-    final result, they only balance the tasks.
+    The rows are range-partitioned by the key and written once; a bucket is one
+    partition.  Adaptive execution sizes partitions by bytes, so their number
+    grows with the data and no bucket does.
     """
-    number = ref(key).cast("double")
-    rows = df.count()
-    wanted = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    if wanted <= 1:
-        return df.withColumn(BUCKET, F.lit(0).cast("bigint"))
-    cuts = [i / wanted for i in range(1, wanted)]
-    edges = df.agg(F.percentile_approx(number, cuts, 10 * wanted).alias("e")).first().e
-    inner = sorted(set(edges))
-    splits = [float("-inf"), *inner, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="__key", outputCol=BUCKET)
-    return (
-        cut.transform(df.withColumn("__key", number))
-        .drop("__key")
-        .withColumn(BUCKET, F.col(BUCKET).cast("bigint"))
-    )
+    sliced = df.repartitionByRange(ref(key)) if parts is None else df.repartitionByRange(parts, ref(key))
+    return written(sliced.withColumn(BUCKET, F.spark_partition_id().cast("bigint")), "ranges")
 
 
 def _across_buckets(by):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..contracts import FlowContract
 from ..functions.cells import all_finite, as_number, ref, settle
 from ..functions.labels import label_is_known, tidy_label
-from .ordering import BUCKET, depth_buckets, positions
+from ..session import written
+from .ordering import BUCKET, positions, range_buckets
 
 CHUNK = 1024
 
@@ -80,15 +81,20 @@ def replay_stats(df: DataFrame, contract: FlowContract) -> DataFrame:
 
 
 def numbered(rows: DataFrame, key: str, by: str = "replay_class") -> DataFrame:
-    """Rows with their position inside their class, in key order."""
-    return positions(depth_buckets(rows, key), key, "position", by=(by,)).drop(BUCKET)
+    """Rows with their position inside their class, in key order, as a stored table.
+
+    Every segment of a replay reads the table; the numbering runs once.
+    """
+    placed = positions(range_buckets(rows, key), key, "position", by=(by,))
+    return written(placed.drop(BUCKET), "numbered")
 
 
 def _repeat(rows: DataFrame, turns: Column, size: Column, out: str) -> DataFrame:
     """Emit a row at position, position + size, ... below ``turns``.
 
     A class much shorter than the replay repeats its rows very often, so the
-    repetitions are cut into chunks and spread over tasks before they unfold.
+    repetitions are cut into chunks, and the chunks are dealt out by position
+    and number before they unfold: even a single row unfolds in many tasks.
     """
     rounds = F.floor((turns - 1 - F.col("position")) / size) + 1
     chunked = (
@@ -99,6 +105,7 @@ def _repeat(rows: DataFrame, turns: Column, size: Column, out: str) -> DataFrame
             "__chunk",
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__rounds") - 1) / CHUNK))),
         )
+        .repartition("replay_class", "position", "__chunk")
     )
     first = F.col("__chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("__rounds")) - 1

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import OPEN_WINDOWS, STATUS_TEXT, STATUS_UNKNOWN
+from ..contracts import ALERT_SCHEMA, OPEN_WINDOWS, STATUS_TEXT, STATUS_UNKNOWN, field_names
 from ..functions.times import clock, parse_moment
-from .alerts import ALERT_COLUMNS
 from .windows import METRIC_COLUMNS
 
 METRIC_NUMBERS = (
@@ -50,7 +49,7 @@ def alert_frame(records: DataFrame) -> DataFrame:
     """Alert rows with every expected column; absent ones become NULL."""
     present = set(records.columns)
     aligned = records.select(
-        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in ALERT_COLUMNS]
+        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in field_names(ALERT_SCHEMA)]
     )
     return aligned.withColumn("event_moment", parse_moment(F.col("event_timestamp")))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
+from ..functions.cells import ref
 from ..functions.keys import split_name
 from ..operators import clean, evaluate, examples, forest
 from ..session import path_exists, scratch
@@ -150,10 +151,20 @@ def train(
 def sample_predictions(
     spark: SparkSession, csv_path: str, contract: FlowContract, model_path: str, rows: int
 ) -> DataFrame:
-    """A few predictions of a stored model: the sampling is the feature here."""
+    """Predictions of a stored model for the usable rows with the smallest features.
+
+    The sampling is the feature here.  Rows are judged before any is chosen, so
+    bad rows never take a place; too few usable rows are an error.
+    """
     if rows < 1:
         raise ContractError("rows must be positive")
     model = forest.load_forest(model_path, contract)
-    some = files.strict_scan(spark, csv_path, contract).limit(max(100, rows * 10))
-    ready = clean.clean(some, contract, labelled=True).limit(rows)
-    return forest.score(ready, model).select(contract.target, "prediction", "probability")
+    usable = clean.clean(files.strict_scan(spark, csv_path, contract), contract, labelled=True, vector=False)
+    order = [ref(name) for name in (*contract.features, contract.target)]
+    chosen = usable.orderBy(*order).limit(rows).persist()
+    found = chosen.count()
+    if found < rows:
+        chosen.unpersist()
+        raise ContractError(f"{rows} rows asked for, {found} are usable")
+    scored = forest.score(clean.add_vector(chosen, contract), model)
+    return scored.select(contract.target, "prediction", "probability")

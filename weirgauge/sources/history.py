@@ -1,15 +1,21 @@
 """Durable keyed history on Parquet, written by micro-batches.
 
-A table is a folder partitioned by day and commit.  A commit is one micro-batch
-of one stream run; writing it again replaces exactly its own files, so a batch
-that is repeated after a failure changes nothing.
-
-* predictions and alerts: insert if the key is absent (the first write wins);
-* metric windows: every version is appended and the last one wins on reading.
+A table is a folder partitioned by span, day, run and batch.  A run is one life
+of a stream's checkpoint, and a commit is one of its micro-batches; writing a
+commit again replaces exactly its own files, so a batch that is repeated after a
+failure changes nothing, and no other run can overwrite it.
+
+* predictions and alerts: insert if the key is absent (the first write wins).
+  A span is a range of offsets of a partition, so all rows that can share a key
+  lie in one span, whatever day they carry;
+* metric windows: versions are appended, and the fullest one counts on reading,
+  so a replay of part of the events never replaces more complete windows.
 """
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +29,7 @@ from ..contracts import (
     RECORD_KEY,
     WINDOW_KEY,
     ContractError,
+    field_names,
 )
 from ..functions.times import iso_millis
 from ..session import path_exists
@@ -39,23 +46,28 @@ class HistoryTable:
 
 
 _RECENT_RECORD = (
-    "event_timestamp topic partition offset prediction_label scenario source_label".split()
-)
+    "event_timestamp", "topic", "partition", "offset", "prediction_label", "scenario", "source_label"
+)
 _RECORD_ORDER = ("event_timestamp", *RECORD_KEY)
 
 PREDICTIONS = HistoryTable(
     "predictions", PREDICTION_SCHEMA, RECORD_KEY, "event_timestamp", _RECORD_ORDER,
-    tuple(_RECENT_RECORD),
+    _RECENT_RECORD,
 )
 ALERTS = HistoryTable(
-    "alerts", ALERT_SCHEMA, RECORD_KEY, "event_timestamp", _RECORD_ORDER, tuple(_RECENT_RECORD)
+    "alerts", ALERT_SCHEMA, RECORD_KEY, "event_timestamp", _RECORD_ORDER, _RECENT_RECORD
 )
 METRICS = HistoryTable(
     "metrics", METRIC_SCHEMA, WINDOW_KEY, "window_end", ("window_end", "window_start"),
     ("window_end", "status", "event_rate", "attack_rate", "event_count", "attack_count"),
 )
 TABLES = (PREDICTIONS, METRICS, ALERTS)
-STORED = "day date, epoch int, batch bigint"
+STORED = "span string, day date, run string, batch bigint"
+COMMIT = ("span", "day", "run", "batch")
+#: Offsets of a span; and the day of rows without a readable time.
+SPAN_OFFSETS = 1_000_000
+NO_DAY = "1970-01-01"
+COMPACTED = "compacted"
 
 
 def _path(root: str, table: HistoryTable) -> str:
@@ -70,97 +82,178 @@ def initialize(spark: SparkSession, root: str) -> None:
     """Create absent tables as empty ones; never touch tables that exist."""
     for table in TABLES:
         empty = spark.createDataFrame([], _stored_schema(table))
-        empty.write.mode("ignore").partitionBy("day", "epoch", "batch").parquet(_path(root, table))
+        empty.write.mode("ignore").partitionBy(*COMMIT).parquet(_path(root, table))
+
 
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def read_log(spark: SparkSession, root: str, table: HistoryTable, days=None) -> DataFrame:
-    """Stored rows with the commit that wrote them, of all days or of some.
 
-    Given days are opened by path, so that neither their number of commits nor
-    the age of the table adds to the file listing of the others.
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run that a checkpoint belongs to, kept beside the checkpoint.
+
+    A stream that goes on from its checkpoint is the same run; one that starts
+    without it is another, and its commits are other commits.
+    """
+    note, files = _files(spark, f"{checkpoint}/run-name")
+    if files.exists(note):
+        return spark.read.text(note.toString()).first()[0]
+    name = uuid.uuid4().hex
+    out = files.create(note, False)
+    out.writeBytes(name)
+    out.close()
+    return name
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column below a path."""
+    base, files = _files(spark, path)
+    if not files.exists(base):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(base)]
+    return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
+
+def read_log(spark: SparkSession, root: str, table: HistoryTable, spans=None, days=None) -> DataFrame:
+    """Stored rows with the commit that wrote them, of all spans and days or of some.
+
+    Given spans are opened by path, so neither the age nor the size of the rest
+    of the table adds to the file listing.  Given days prune partitions.
     """
     base = _path(root, table)
     paths = [base]
-    if days is not None:
-        paths = [p for p in (f"{base}/day={d.isoformat()}" for d in days) if path_exists(spark, p)]
+    if spans is not None:
+        paths = [p for p in (f"{base}/span={s}" for s in spans) if path_exists(spark, p)]
         if not paths:
             return spark.createDataFrame([], _stored_schema(table))
-    return spark.read.schema(_stored_schema(table)).option("basePath", base).parquet(*paths)
+    log = spark.read.schema(_stored_schema(table)).option("basePath", base).parquet(*paths)
+    return log if days is None else log.where(F.col("day").isin(list(days)))
 
 
-def read_table(spark: SparkSession, root: str, table: HistoryTable) -> DataFrame:
-    """Current content: one row per key."""
-    log = read_log(spark, root, table)
-    columns = [c for c in log.columns if c not in ("day", "epoch", "batch")]
+def _current(log: DataFrame, table: HistoryTable) -> DataFrame:
+    """One row per key: rows as they are, or the fullest version of a window."""
+    columns = [c for c in log.columns if c not in COMMIT]
     if table is not METRICS:
         return log.select(*columns)
     rest = [c for c in columns if c not in table.key]
-    newest = log.groupBy(*table.key).agg(
-        F.max_by(F.struct(*rest), F.struct("epoch", "batch")).alias("v")
+    fullest = log.groupBy(*table.key).agg(
+        F.max_by(F.struct(*rest), F.struct("event_count", "batch", "run")).alias("v")
     )
-    return newest.select(*table.key, "v.*").select(*columns)
+    return fullest.select(*table.key, "v.*").select(*columns)
+
+
+def read_table(spark: SparkSession, root: str, table: HistoryTable) -> DataFrame:
+    """Current content: one row per key."""
+    return _current(read_log(spark, root, table), table)
 
 
-def _for_storage(batch: DataFrame, table: HistoryTable, epoch: int, batch_id: int) -> DataFrame:
-    """The table's columns plus day and commit; probability arrays become JSON text."""
+def _for_storage(batch: DataFrame, table: HistoryTable, run: str, batch_id: int) -> DataFrame:
+    """The table's columns plus span, day and commit; probability arrays become JSON text."""
     if "probability" in batch.columns and isinstance(
         batch.schema["probability"].dataType, T.ArrayType
     ):
         batch = batch.withColumn("probability", F.to_json("probability"))
-    fields = [f.split()[0] for f in table.schema.split(", ")]
+    span = F.lit("windows")
+    if table.key == RECORD_KEY:
+        stretch = F.floor(F.col("offset") / SPAN_OFFSETS).cast("string")
+        span = F.concat_ws("-", F.col("partition").cast("string"), stretch)
     return batch.select(
-        *fields,
-        F.to_date(F.col(table.day_of)).alias("day"),
-        F.lit(epoch).alias("epoch"),
+        *field_names(table.schema),
+        span.alias("span"),
+        F.coalesce(F.to_date(F.col(table.day_of)), F.lit(NO_DAY).cast("date")).alias("day"),
+        F.lit(run).alias("run"),
         F.lit(batch_id).cast("bigint").alias("batch"),
     )
 
 
 def _write(rows: DataFrame, root: str, table: HistoryTable) -> None:
-    """Replace exactly the day-and-commit folders that the rows belong to.
+    """Replace exactly the folders that the rows of this commit belong to.
 
-    A backfill over many days is first gathered by day, which keeps the number
-    of files near the data size; adaptive execution cuts a day that is too big
-    for one task.  Micro-batches hold few days and are written as they come.
+    Rows are gathered by span and day, which keeps the number of files near the
+    data size; adaptive execution cuts what is too big for one task.
     """
-    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        rows = rows.hint("rebalance", F.col("day"))
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", F.col("span"), F.col("day"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "epoch", "batch")
+        .partitionBy(*COMMIT)
         .parquet(_path(root, table))
     )
 
 
 def insert_absent(
-    batch: DataFrame, root: str, table: HistoryTable, *, epoch: int, batch_id: int
+    batch: DataFrame, root: str, table: HistoryTable, *, run: str, batch_id: int
 ) -> None:
     """Store the rows whose key is not stored yet: the first write wins.
 
     Stored rows of this very commit do not count as present, so repeating a
-    batch writes the same files again.  Only the days that occur in the batch
-    are looked up; a record's day follows from its content, so its key cannot
-    be stored under another day.  Of equal keys inside one batch the smallest
-    row, earliest time first, is kept whichever task happens to see it.
+    batch writes the same files again.  Of equal keys inside one batch the
+    smallest row, earliest time first, is kept whichever task happens to see it.
+    The driver sees the spans of the batch: partitions times offset ranges.
     """
-    rows = _for_storage(batch, table, epoch, batch_id)
+    rows = _for_storage(batch, table, run, batch_id)
     rest = [c for c in rows.columns if c not in table.key]
     first = rows.groupBy(*table.key).agg(F.min(F.struct(*rest)).alias("v"))
     rows = first.select(*table.key, "v.*").select(*rows.columns)
-    days = [r.day for r in batch.select(F.to_date(table.day_of).alias("day")).distinct().collect()]
-    if not days:
+    spans = [r.span for r in rows.select("span").distinct().collect()]
+    if not spans:
         return
-    mine = (F.col("epoch") == epoch) & (F.col("batch") == batch_id)
-    stored = read_log(batch.sparkSession, root, table, days).where(~mine).select(*table.key)
+    mine = (F.col("run") == run) & (F.col("batch") == batch_id)
+    stored = read_log(batch.sparkSession, root, table, spans).where(~mine).select(*table.key)
     _write(rows.join(stored, list(table.key), "left_anti"), root, table)
 
 
 def append_versions(
-    batch: DataFrame, root: str, *, epoch: int, batch_id: int, table: HistoryTable = METRICS
+    batch: DataFrame, root: str, *, run: str, batch_id: int, table: HistoryTable = METRICS
 ) -> None:
-    """Store a new version of every window of the batch (last write wins)."""
-    _write(_for_storage(batch, table, epoch, batch_id), root, table)
+    """Store a new version of every window of the batch (the fullest wins)."""
+    _write(_for_storage(batch, table, run, batch_id), root, table)
+
+
+def compact(spark: SparkSession, root: str, table: HistoryTable, before: datetime.date) -> int:
+    """Rewrite the days before a date as one commit per span and day.
+
+    Current rows are written aside first; only a complete rewrite takes the
+    place of the old commits, folder by folder, and a run that was interrupted
+    is finished by the next.  Nobody may read or write those days meanwhile.
+    Returns how many folders were replaced.
+    """
+    aside = f"{root}/_compaction/{table.name}"
+    done = _swap(spark, root, table, aside)
+    log = read_log(spark, root, table).where(F.col("day") < F.lit(before))
+    commits = log.groupBy("span", "day").agg(F.count_distinct("run", "batch").alias("commits"))
+    many = commits.where("commits > 1").drop("commits")
+    if many.isEmpty():
+        return done
+    chosen = log.join(many, ["span", "day"], "left_semi")
+    place = chosen.select(*table.key, "span", "day").dropDuplicates(list(table.key))
+    rows = _current(chosen, table).join(place, list(table.key))
+    rows.hint("rebalance", F.col("span"), F.col("day")).write.mode("overwrite").partitionBy("span", "day").parquet(aside)
+    return done + _swap(spark, root, table, aside)
+
+
+def _swap(spark: SparkSession, root: str, table: HistoryTable, aside: str) -> int:
+    """Put the folders of a complete rewrite in the place of the old commits."""
+    stage, files = _files(spark, aside)
+    if not files.exists(stage):
+        return 0
+    if not files.exists(_files(spark, f"{aside}/_SUCCESS")[0]):
+        files.delete(stage, True)
+        return 0
+    count = 0
+    for span in _folders(spark, aside, "span"):
+        for day in _folders(spark, f"{aside}/span={span}", "day"):
+            part = f"span={span}/day={day}"
+            home = f"{_path(root, table)}/{part}"
+            for run in _folders(spark, home, "run"):
+                files.delete(_files(spark, f"{home}/run={run}")[0], True)
+            goal = _files(spark, f"{home}/run={COMPACTED}")[0]
+            files.mkdirs(goal)
+            files.rename(_files(spark, f"{aside}/{part}")[0], _files(spark, f"{home}/run={COMPACTED}/batch=0")[0])
+            count += 1
+    files.delete(stage, True)
+    return count
 
 
 def table_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -180,6 +273,23 @@ def require_table(spark: SparkSession, root: str, table: HistoryTable) -> DataFr
         raise ContractError(f"history at {root} has no table {table.name}") from cause
 
 
+def recent(spark: SparkSession, root: str, table: HistoryTable, limit: int) -> DataFrame:
+    """Newest rows of a stored table, from as few of the newest days as hold enough.
+
+    The order begins with the time that names the day, so later days come
+    first.  The number of days looked at doubles until they hold enough rows.
+    """
+    base = _path(root, table)
+    days = sorted({d for s in _folders(spark, base, "span") for d in _folders(spark, f"{base}/span={s}", "day")}, reverse=True)
+    taken = 1
+    while taken < len(days):
+        some = _current(read_log(spark, root, table, days=days[:taken]), table)
+        if some.limit(limit).count() == limit:
+            break
+        taken *= 2
+    return recent_rows(_current(read_log(spark, root, table, days=days[:taken] or [NO_DAY]), table), table, limit)
+
+
 def recent_rows(rows: DataFrame, table: HistoryTable, limit: int) -> DataFrame:
     """Newest rows of a table: a bounded top-k, times as ISO text."""
     newest = rows.orderBy(*[F.desc(c) for c in table.newest_first]).limit(limit)

@@ -12,11 +12,20 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import RECORD_KEY, SNAPSHOT_ALERTS, SNAPSHOT_WINDOWS, WINDOW_KEY
+from ..contracts import (
+    RECORD_KEY,
+    SNAPSHOT_ALERTS,
+    SNAPSHOT_WINDOWS,
+    WINDOW_KEY,
+    ContractError,
+)
 
 RECORDS = "record map<string,string>"
 DONE = "_SUCCESS"
-KEPT_VERSIONS = 10
+#: A superseded publication is removed when it is older than this.
+KEPT_SECONDS = 3600
+#: A snapshot is one JSON text; lists longer than this are refused, not cut.
+PUBLISHED_ROWS = 10_000
 
 
 def latest_per_key(rows: DataFrame, key, sequence: str) -> DataFrame:
@@ -37,30 +46,49 @@ def newest_alerts(rows: DataFrame, sequence: str, limit: int = SNAPSHOT_ALERTS)
 
 
 def _folders(spark: SparkSession, root: str) -> list:
-    """Completed publications, oldest first."""
+    """All publications as (path, time in seconds, whether complete), oldest version first."""
     jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(base):
         return []
-    paths = [status.getPath() for status in fs.listStatus(base)]
-    done = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p, DONE))]
-    return sorted(done, key=lambda p: p.getName())
+    found = [
+        (s.getPath(), s.getModificationTime() / 1000, fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), DONE)))
+        for s in fs.listStatus(base)
+    ]
+    return sorted(found, key=lambda f: f[0].getName())
 
 
-def _put(texts: DataFrame, root: str) -> str:
-    """Write a new version, then drop versions that no reader can still want."""
+def _version(path) -> int:
+    return int(path.getName().removeprefix("v="))
+
+
+def _put(texts: DataFrame, root: str, keep_seconds: float = KEPT_SECONDS) -> str:
+    """Write a version above all others, then drop what is old and superseded.
+
+    The version is the largest one there plus one, so a writer with a slow clock
+    still comes last.  A reader has ``keep_seconds`` to finish with a folder
+    that is no longer the newest; unfinished folders go at that age too.
+    """
     spark = texts.sparkSession
-    path = f"{root}/v={time.time_ns():020d}"
+    before = _folders(spark, root)
+    path = f"{root}/v={max([0, *(_version(p) for p, _, _ in before)]) + 1:020d}"
     texts.write.text(path)
-    for old in _folders(spark, root)[:-KEPT_VERSIONS]:
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    for old, written_at, _ in before:
+        if written_at < time.time() - keep_seconds:
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return path
 
 
-def publish(rows: DataFrame, root: str) -> str:
-    """Write a bounded frame as one JSON list in a new folder."""
-    return _put(rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")), root)
+def publish(rows: DataFrame, root: str, most: int = PUBLISHED_ROWS) -> str:
+    """Write a small frame as one JSON list in a new folder; more than ``most`` rows fail."""
+    taken = rows.limit(most + 1).persist()
+    try:
+        if taken.count() > most:
+            raise ContractError(f"more than {most} rows for a snapshot")
+        return _put(taken.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")), root)
+    finally:
+        taken.unpersist()
 
 
 def reset(spark: SparkSession, root: str) -> str:
@@ -77,7 +105,7 @@ def parse_list(texts: DataFrame, column: str = "value") -> DataFrame:
 
 def read(spark: SparkSession, root: str) -> DataFrame:
     """Records of the newest completed publication; none if there is not any."""
-    folders = _folders(spark, root)
+    folders = [path for path, _, complete in _folders(spark, root) if complete]
     if not folders:
         return spark.createDataFrame([], RECORDS)
     return parse_list(spark.read.option("wholetext", True).text(folders[-1].toString()))

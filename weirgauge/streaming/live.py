@@ -38,8 +38,7 @@ def predictions(valid: DataFrame, scorer: Scorer) -> DataFrame:
 
 @dataclass(frozen=True)
 class LiveJob:
-    """Everything one run needs.  ``epoch`` grows when a run starts without the
-    checkpoint of the run before, so that its versions of a window come later."""
+    """Everything one run needs; the checkpoint says which run it is."""
 
     events: EventContract
     scorer: Scorer
@@ -47,21 +46,21 @@ class LiveJob:
     checkpoint: str
     snapshot_root: str | None = None
     plan: windows.WindowPlan = windows.LIVE
-    epoch: int = 0
 
     def write_records(self, batch: DataFrame, batch_id: int) -> None:
         """Judge and score once, then write three outputs from the cached batch."""
+        run = history.run_of(batch.sparkSession, self.checkpoint)
         judged = ingest.judge(batch, self.events).persist()
         try:
             scored = predictions(ingest.accepted(judged, self.events), self.scorer).persist()
             try:
-                commit = {"epoch": self.epoch, "batch_id": batch_id}
+                commit = {"run": run, "batch_id": batch_id}
                 alert_rows = alert_ops.alerts(scored)
                 history.insert_absent(scored, self.history_root, history.PREDICTIONS, **commit)
                 history.insert_absent(alert_rows, self.history_root, history.ALERTS, **commit)
                 rejected = ingest.quarantined(judged)
                 rejected.write.mode("overwrite").parquet(
-                    f"{self.history_root}/quarantine/epoch={self.epoch}/batch={batch_id}"
+                    f"{self.history_root}/quarantine/run={run}/batch={batch_id}"
                 )
                 if self.snapshot_root:
                     publish_alerts(alert_rows, f"{self.snapshot_root}/alerts")
@@ -73,9 +72,8 @@ class LiveJob:
     def write_metrics(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            history.append_versions(
-                batch, self.history_root, epoch=self.epoch, batch_id=batch_id
-            )
+            run = history.run_of(batch.sparkSession, self.checkpoint)
+            history.append_versions(batch, self.history_root, run=run, batch_id=batch_id)
             if self.snapshot_root:
                 publish_windows(batch, f"{self.snapshot_root}/metrics")
         finally:
@@ -85,6 +83,7 @@ class LiveJob:
         """Start both streams over a stream of log records."""
         spark = records.sparkSession
         history.initialize(spark, self.history_root)
+        history.run_of(spark, self.checkpoint)
         if self.snapshot_root:
             for feed in ("metrics", "alerts"):
                 snapshots.reset(spark, f"{self.snapshot_root}/{feed}")
