@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
 from ..operators import clean, evaluate, examples, forest
-from ..plans import training
-from ..session import scratch, written
+from ..plans import training, verify
+from ..session import path_exists, scratch, written
+from ..sources import files
 from . import inputs as i
 from .registry import query
 from .stored import flow_files
@@ -217,6 +218,144 @@ def _(spark, sf):
     )
 
 
+def threshold_files(spark, sf, rule: str) -> str:
+    """The raw flow table as CSV files, its label a threshold of one cell."""
+    raw = i.raw_flows(spark, sf)
+    label = F.when(F.expr(rule), "DDOS-A").otherwise(" benign ")
+    return files.write_csv(raw.withColumn("Label", label), scratch(spark, "rule-flows"))
+
+
+DISC_RULE, TAX_RULE = "try_cast(disc AS double) >= 0.05", "try_cast(tax AS double) >= 0.04"
+RULE_COUNTS = """WITH u AS (SELECT DISTINCT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+  WHERE (l_orderkey * 10 + l_linenumber) % 997 > 8)"""
+
+
+def outcome(report: training.TrainingReport, path: str, spark) -> dict:
+    cells = lambda found: all(found["candidate"][c] == 0 for c in ("fp", "fn"))
+    return {
+        "decision": report.decision,
+        "promoted": report.promoted,
+        "validation_exact": cells(report.validation),
+        "test_exact": bool(report.test) and cells(report.test),
+        "stored": path_exists(spark, path),
+    }
+
+
+@query(
+    "q_training_candidate",
+    RULE_COUNTS + """ SELECT * FROM (VALUES
+  ('better', 'promote', true, true, true, true), ('no better', 'keep_baseline', false, true, false, false))
+  t(candidate, decision, promoted, validation_exact, test_exact, stored),
+  (SELECT count(*) AS unique_rows FROM u)""",
+)
+def _(spark, sf):
+    """A candidate beats a baseline of a wrong rule and is stored; its equal is refused untested."""
+    wrong, right = threshold_files(spark, sf, TAX_RULE), threshold_files(spark, sf, DISC_RULE)
+    paths = {n: scratch(spark, f"forest-{n}") for n in ("baseline", "better", "no-better")}
+    training.train(spark, wrong, i.LINES, paths["baseline"])
+    better = training.train(spark, right, i.LINES, paths["better"], baseline_path=paths["baseline"])
+    equal = training.train(spark, right, i.LINES, paths["no-better"], baseline_path=paths["better"])
+    rows = [
+        {"candidate": "better", **outcome(better, paths["better"], spark), "unique_rows": better.counts["unique_rows"]},
+        {"candidate": "no better", **outcome(equal, paths["no-better"], spark), "unique_rows": equal.counts["unique_rows"]},
+    ]
+    return spark.createDataFrame(
+        rows,
+        "candidate string, decision string, promoted boolean, validation_exact boolean, test_exact boolean, "
+        "stored boolean, unique_rows bigint",
+    )
+
+
+@query(
+    "q_training_finalization",
+    """SELECT * FROM (VALUES ('recorded values', true, true), ('wrong count', false, false),
+  ('wrong weight', false, false), ('unknown metric', false, false))
+  t(expected, accepted, stored)""",
+)
+def _(spark, sf):
+    """A run that must reproduce recorded counts, weights and metrics, and stops before the test if not."""
+    source = threshold_files(spark, sf, DISC_RULE)
+    base, first = scratch(spark, "forest"), scratch(spark, "forest")
+    training.train(spark, threshold_files(spark, sf, TAX_RULE), i.LINES, base)
+    seen = training.train(spark, source, i.LINES, first, baseline_path=base)
+    good = {"unique_rows": seen.counts["unique_rows"], "validation_rows": seen.counts["validation_rows"],
+            "weight_normal": seen.weights["normal_weight"], "weight_attack": seen.weights["attack_weight"],
+            "validation_attack_recall": 1.0, "promoted": 1.0}
+    cases = {
+        "recorded values": good,
+        "wrong count": good | {"unique_rows": good["unique_rows"] + 1},
+        "wrong weight": good | {"weight_normal": good["weight_normal"] + 0.01},
+        "unknown metric": good | {"no_such_value": 1.0},
+    }
+    rows = []
+    for name, values in cases.items():
+        path = scratch(spark, "forest")
+        wanted = spark.createDataFrame(
+            [(k, float(v), 1e-9) for k, v in values.items()], "metric string, expected double, tolerance double"
+        )
+        try:
+            training.train(spark, source, i.LINES, path, baseline_path=base, expected=wanted)
+            accepted = True
+        except ContractError:
+            accepted = False
+        rows.append((name, accepted, path_exists(spark, path)))
+    return spark.createDataFrame(rows, "expected string, accepted boolean, stored boolean")
+
+
+def attempt(check, *args) -> str:
+    try:
+        check(*args)
+        return "passes"
+    except ContractError:
+        return "fails"
+
+
+@query(
+    "q_verify_job",
+    f"""WITH {i.FLOWS_SQL}
+SELECT job, input, verdict, (SELECT count(*) FROM ready) AS ready_rows FROM (VALUES
+  ('cleaning', 'good', 'passes'), ('cleaning', 'no usable row', 'fails'), ('cleaning', 'no label column', 'fails'),
+  ('labels', 'good', 'passes'), ('labels', 'strange label', 'fails'),
+  ('splits', 'hashed', 'passes'), ('splits', 'random', 'fails')) t(job, input, verdict)""",
+)
+def _(spark, sf):
+    """Each verification job on an input that passes and on one that must fail."""
+    raw = written(i.raw_flows(spark, sf), "flows")
+    listed = raw.where("coalesce(trim(Label), '') <> 'MYSTERY'")
+    keyed = examples.with_fingerprint(clean.clean(raw, i.LINES, labelled=True, vector=False), i.LINES.features)
+    hashed = examples.hash_split(keyed, i.LINES.features)
+    lot = F.xxhash64("price", F.monotonically_increasing_id()) % 2 == 0
+    random = written(keyed.unionByName(keyed), "twice").withColumn("split", F.when(lot, "train").otherwise("test"))
+    rows = verify.verify_cleaning(raw, i.LINES)["rows"]
+    verdicts = [
+        ("cleaning", "good", "passes"),
+        ("cleaning", "no usable row", attempt(verify.verify_cleaning, raw.withColumn("qty", F.lit("x")), i.LINES)),
+        ("cleaning", "no label column", attempt(verify.verify_cleaning, raw.drop("Label"), i.LINES)),
+        ("labels", "good", attempt(verify.verify_labels, listed, i.LINES)),
+        ("labels", "strange label", attempt(verify.verify_labels, raw, i.LINES)),
+        ("splits", "hashed", attempt(verify.verify_splits, hashed, examples.PRINT, "split")),
+        ("splits", "random", attempt(verify.verify_splits, random, examples.PRINT, "split")),
+    ]
+    table = spark.createDataFrame(verdicts, "job string, input string, verdict string")
+    return table.withColumn("ready_rows", F.lit(rows).cast("bigint"))
+
+
+@query(
+    "q_profile_job",
+    f"""WITH {i.FLOWS_SQL}
+SELECT column_name, role, (SELECT count(*) FROM flows) AS rows, null_rows, 'fails' AS without_rows FROM (VALUES
+  ('qty', 'feature', (SELECT count(*) FROM flows WHERE q = 0)), ('price', 'feature', 0),
+  ('disc', 'feature', (SELECT count(*) FROM flows WHERE q = 7)), ('tax', 'feature', 0),
+  ('Tot sum', 'other', 0), ('IPv', 'other', 0), ('LLC', 'other', 0),
+  ('Label', 'label', (SELECT count(*) FROM flows WHERE q = 10))) t(column_name, role, null_rows)""",
+)
+def _(spark, sf):
+    """The profile of every column of the contract; a table without rows fails."""
+    raw = i.raw_flows(spark, sf)
+    found = verify.profile_job(raw, i.LINES).select("column_name", "role", "rows", "null_rows")
+    return found.withColumn("without_rows", F.lit(attempt(verify.profile_job, raw.where("false"), i.LINES)))
+
+
 @query(
     "q_sample_predictions",
     f"""WITH {i.FLOWS_SQL}, few AS (SELECT target FROM ready

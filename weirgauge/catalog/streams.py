@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
-from ..contracts import FlowContract
+from ..contracts import RECORD_KEY, ContractError, FlowContract
 from ..operators import alerts as alert_ops
 from ..operators import clean, forest, ingest, windows
 from ..session import scratch, stream_session, written
@@ -297,3 +299,41 @@ def _(spark, sf):
         F.count("batched").alias("batch_rows"),
         F.count_if(~F.col("streamed").eqNullSafe(F.col("batched"))).alias("differing"),
     )
+
+
+@query(
+    "q_live_forest",
+    f"""WITH {i.RECORDS_SQL}
+SELECT count(*) AS stored_rows, count(*) AS batch_rows, 0::BIGINT AS differing, true AS other_refused
+FROM valid""",
+)
+def _(spark, sf):
+    """A stored forest is loaded, checked against its contract, and scores the live job's stream."""
+    contract = FlowContract(numeric=("value", "k"), features=("value", "k"), attacks=("DDOS-ERROR",))
+    other = FlowContract(numeric=("value",), features=("value",), attacks=("DDOS-ERROR",))
+    root = scratch(spark, "live")
+    good = written(ingest.split_records(i.log_records(i.table(spark, sf, "events")), i.EVENTS)[0], "valid")
+    train = clean.clean(good.withColumnRenamed("source_label", "Label"), contract, labelled=True)
+    forest.fit_forest(train, contract).write().save(f"{root}/forest")
+    try:
+        forest.load_forest(f"{root}/forest", other)
+        refused = False
+    except ContractError:
+        refused = True
+    scorer = live.forest_scorer(forest.load_forest(f"{root}/forest", contract), contract)
+    job = dataclasses.replace(live_job(spark, root), scorer=scorer)
+    run_live(job, i.log_records(event_stream(spark, sf)))
+
+    def verdicts(rows, side):
+        chance = F.col("probability") if side == "stored" else F.to_json("probability")
+        packed = F.struct("prediction", "prediction_label", chance.alias("probability"))
+        return rows.select(*RECORD_KEY, packed.alias(side))
+
+    stored = verdicts(history.read_table(spark, job.history_root, history.PREDICTIONS), "stored")
+    batch = verdicts(live.predictions(good, scorer), "batch")
+    both = stored.join(batch, list(RECORD_KEY), "full_outer")
+    return both.agg(
+        F.count("stored").alias("stored_rows"),
+        F.count("batch").alias("batch_rows"),
+        F.count_if(~F.col("stored").eqNullSafe(F.col("batch"))).alias("differing"),
+    ).withColumn("other_refused", F.lit(refused))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import LABEL_COLUMN_NAMES, LOW_CARDINALITY, NEAR_CONSTANT_SHARE, ContractError
+from ..functions.keys import fingerprint
 from ..functions.cells import ratio, ref
 from ..functions.labels import is_normal_like
 from .quality import counts_to_rows
@@ -64,13 +65,14 @@ def mapping_proposal(df: DataFrame, label: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, names=None) -> DataFrame:
-    """Rows, distinct rows and surplus copies with one shuffle.
+    """Rows, distinct rows and surplus copies with one shuffle of fingerprints.
 
-    Partial aggregation folds copies on the map side, so a row that makes up a
+    A row crosses the network as 64 hexadecimal digits however wide it is, and
+    partial aggregation folds copies on the map side, so a row that makes up a
     third of the table is sent once per map task.
     """
     names = list(names or df.columns)
-    copies = df.groupBy(*[ref(n) for n in names]).agg(F.count(F.lit(1)).alias("__copies"))
+    copies = df.groupBy(fingerprint(names).alias("print")).agg(F.count(F.lit(1)).alias("__copies"))
     return copies.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import PROBLEMS, FlowContract, require_columns
+from ..functions.keys import fingerprint
 from ..functions.cells import all_finite, as_number, cell_problem, ratio, ref
 from ..functions.labels import label_is_known, tidy_label
 
@@ -145,17 +146,21 @@ def clean_report(cleaned: DataFrame, unlabelled: DataFrame, contract: FlowContra
 def scorecard(raw: DataFrame, contract: FlowContract, stage: str, names=None) -> DataFrame:
     """Uniqueness, completeness, validity and consistency of one table.
 
-    Equal rows are first folded into one row with a copy count, so that a row
-    repeated a million times crosses the network once per map task.
+    Rows are judged where they are read and folded by fingerprint: what crosses
+    the network is a digest with four counts, once per map task and distinct row.
     """
     names = list(names or contract.columns)
-    copies = raw.groupBy(*[ref(n) for n in names]).agg(F.count(F.lit(1)).alias("__copies"))
-    present = [F.col("__copies") * F.when(ref(n).isNotNull(), 1).otherwise(0) for n in names]
-    cells = present[0]
-    for more in present[1:]:
-        cells = cells + more
-    valid = F.when(all_finite(contract.features), F.col("__copies")).otherwise(F.lit(0))
-    known = F.when(label_is_known(contract), F.col("__copies")).otherwise(F.lit(0))
+    filled = F.size(F.filter(F.array(*[ref(n).isNotNull() for n in names]), lambda there: there))
+    judged = raw.select(
+        fingerprint(names).alias("print"),
+        filled.cast("bigint").alias("filled"),
+        all_finite(contract.features).cast("bigint").alias("valid"),
+        label_is_known(contract).cast("bigint").alias("known"),
+    )
+    copies = judged.groupBy("print").agg(
+        F.count(F.lit(1)).alias("__copies"), *[F.sum(c).alias(c) for c in ("filled", "valid", "known")]
+    )
+    cells, valid, known = F.col("filled"), F.col("valid"), F.col("known")
     sums = copies.agg(
         F.sum("__copies").alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

@@ -96,6 +96,7 @@ def _repeat(rows: DataFrame, turns: Column, size: Column, out: str) -> DataFrame
     repetitions are cut into chunks, and the chunks are dealt out by position
     and number before they unfold: even a single row unfolds in many tasks.
     """
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rounds = F.floor((turns - 1 - F.col("position")) / size) + 1
     chunked = (
         rows.withColumn("__size", size)
@@ -105,7 +106,8 @@ def _repeat(rows: DataFrame, turns: Column, size: Column, out: str) -> DataFrame
             "__chunk",
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__rounds") - 1) / CHUNK))),
         )
-        .repartition("replay_class", "position", "__chunk")
+        # A given number of partitions is kept; few chunks would be gathered into one otherwise.
+        .repartition(spread, "replay_class", "position", "__chunk")
     )
     first = F.col("__chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("__rounds")) - 1

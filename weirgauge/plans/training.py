@@ -11,7 +11,7 @@ from ..contracts import ContractError, FlowContract
 from ..functions.cells import ref
 from ..functions.keys import split_name
 from ..operators import clean, evaluate, examples, forest
-from ..session import path_exists, scratch
+from ..session import path_exists, remove, scratch
 from ..sources import files
 
 SPLITS = ("train", "validation", "test")
@@ -90,16 +90,48 @@ def train(
 
     A candidate is compared with the baseline on the validation split; the test
     split is looked at, and the model saved, only if the gate is passed.
-    ``expected`` holds recorded counts (metric, expected, tolerance) that a run
-    must reproduce before anything is fitted.
+    ``expected`` holds recorded values (metric, expected, tolerance) that a run
+    must reproduce: counts before anything is fitted; ``weight_*``,
+    ``validation_*`` and ``promoted`` (1 or 0) before the test split is touched.
+    The table of cleaned examples is removed when the run ends, however it ends.
     """
     refuse_existing(spark, model_path)
     weighted = baseline_path is not None
     baseline = forest.load_forest(baseline_path, contract) if weighted else None
     raw = files.strict_scan(spark, csv_path, contract)
     table = store_examples(raw, contract)
-    report = TrainingReport()
+    try:
+        return _fit_and_judge(spark, table, contract, model_path, baseline, accept_trade_off, expected)
+    finally:
+        remove(spark, table)
 
+
+#: Recorded values that are known only when a model has been judged; all others are counts.
+LATE = {f"validation_{rate}" for rate in evaluate.RATES} | {"weight_normal", "weight_attack", "promoted"}
+
+
+def _require(spark: SparkSession, measured: dict, expected: DataFrame | None, later: bool) -> None:
+    """The recorded values of one stage, all of which must have been measured and match."""
+    if expected is None:
+        return
+    names = [r.metric for r in expected.select("metric").distinct().collect()]
+    due = [n for n in names if (n in LATE) == later]
+    if due:
+        rows = [(k, float(v)) for k, v in measured.items()]
+        actual = spark.createDataFrame(rows, "metric string, actual double")
+        evaluate.require_expectations(actual, expected.where(F.col("metric").isin(due)))
+
+
+def _fit_and_judge(
+    spark: SparkSession,
+    table: str,
+    contract: FlowContract,
+    model_path: str,
+    baseline,
+    accept_trade_off: bool,
+    expected: DataFrame | None,
+) -> TrainingReport:
+    report, weighted = TrainingReport(), baseline is not None
     stored = spark.read.parquet(table)
     report.counts = clean.funnel_counts(stored).first().asDict()
     usable = stored.where(F.col("split") != REJECTED)
@@ -112,10 +144,7 @@ def train(
         report.counts[f"{name}_rows"] = row["rows"]
         report.counts[f"{name}_normal"] = row["normal_rows"]
         report.counts[f"{name}_attack"] = row["attack_rows"]
-    if expected is not None:
-        measured = [(k, float(v)) for k, v in report.counts.items()]
-        actual = spark.createDataFrame(measured, "metric string, actual double")
-        evaluate.require_expectations(actual, expected)
+    _require(spark, report.counts, expected, later=False)
 
     rows = {name: read_split(spark, table, name, contract) for name in SPLITS}
     fit_on, weight = rows["train"], None
@@ -142,6 +171,10 @@ def train(
             accept_trade_off and report.decision == evaluate.TRADE_OFF
         )
     report.importances = forest.importances(model, contract)
+    fitted = report.validation["candidate" if weighted else "baseline"]
+    found = {f"validation_{rate}": fitted[rate] for rate in evaluate.RATES}
+    found |= {f"weight_{k.removesuffix('_weight')}": v for k, v in report.weights.items() if k.endswith("_weight")}
+    _require(spark, found | {"promoted": report.promoted}, expected, later=True)
     if report.promoted:
         report.test = _by_model(judge_models(rows["test"], models, contract))
         model.save(model_path)
