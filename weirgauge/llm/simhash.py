@@ -31,8 +31,8 @@ from .components import connected
 from .registry import query, table
 
 SEED = 42
-#: Trees are planned on at most so many fingerprints.
-PLAN_ROWS = 500_000
+#: Trees are planned on a sample of at most so many fingerprints, those with the smallest hashes.
+PLAN_ROWS = 50_000
 #: Residents a shard should have, and rows of one kind after which it is split into blocks.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 60_000
