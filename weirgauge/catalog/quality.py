@@ -17,19 +17,19 @@ NAMES = list(i.LINES.numeric)
 
 @query(
     "q_required_columns",
-    "SELECT * FROM (VALUES ('complete', true), ('without_price', false)) t(frame, accepted)",
+    f"""WITH {FLOWS} SELECT frame, accepted, CASE WHEN accepted THEN (SELECT count(*) FROM flows) END AS rows
+FROM (VALUES ('complete', true), ('without_price', false)) t(frame, accepted)""",
 )
 def _(spark, sf):
-    """The column contract accepts the full table and names what is absent."""
+    """The column contract passes the rows of the full table and refuses one without a column."""
     flows = i.raw_flows(spark, sf)
     verdicts = []
     for name, df in (("complete", flows), ("without_price", flows.drop("price"))):
         try:
-            require_columns(df, i.LINES.columns)
-            verdicts.append((name, True))
+            verdicts.append((name, True, require_columns(df, i.LINES.columns).count()))
         except ContractError:
-            verdicts.append((name, False))
-    return spark.createDataFrame(verdicts, "frame string, accepted boolean")
+            verdicts.append((name, False, None))
+    return spark.createDataFrame(verdicts, "frame string, accepted boolean, rows bigint")
 
 
 @query(
@@ -300,21 +300,25 @@ def _(spark, sf):
 @query(
     "q_column_types",
     """SELECT column_name, CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT')
-  THEN 'numeric' ELSE 'other' END AS kind
+  THEN 'numeric' ELSE 'other' END AS kind, (SELECT count(*) FROM lineitem) AS values
 FROM (DESCRIBE lineitem) t(column_name, data_type, a, b, c, d)""",
 )
 def _(spark, sf):
-    kinds = profile.column_kinds(i.table(spark, sf, "lineitem"))
-    return spark.createDataFrame(list(kinds.items()), "column_name string, kind string")
+    """Kind of every column, beside how many values it has."""
+    lines = i.table(spark, sf, "lineitem")
+    kinds = spark.createDataFrame(list(profile.column_kinds(lines).items()), "column_name string, kind string")
+    filled = profile.distinct_estimates(lines).select("column_name", (F.col("rows") - F.col("null_rows")).alias("values"))
+    return kinds.join(filled, "column_name")
 
 
 @query(
     "q_label_column",
-    """SELECT * FROM (VALUES ('labels', 'toxic', 'toxic'), ('embeddings', NULL, 'label'),
-  ('orders', NULL, NULL), ('flows', 'LABEL', 'Label')) t(frame, wanted, found)""",
+    f"""WITH {FLOWS} SELECT * FROM (VALUES ('labels', 'toxic', 'toxic', (SELECT count(toxic) FROM labels)),
+  ('embeddings', NULL, 'label', (SELECT count(label) FROM embeddings)), ('orders', NULL, NULL, NULL),
+  ('flows', 'LABEL', 'Label', (SELECT count(*) FROM flows WHERE q <> 10))) t(frame, wanted, found, labelled)""",
 )
 def _(spark, sf):
-    """Label column by given or usual name; none or several give nothing."""
+    """Label column by given or usual name, and its rows with a label; none or several give nothing."""
     frames = {
         "labels": (i.table(spark, sf, "labels"), "toxic"),
         "embeddings": (i.table(spark, sf, "embeddings"), None),
@@ -324,10 +328,11 @@ def _(spark, sf):
     rows = []
     for name, (df, wanted) in frames.items():
         try:
-            rows.append((name, wanted, profile.find_label_column(df.columns, wanted)))
+            found = profile.find_label_column(df.columns, wanted)
+            rows.append((name, wanted, found, df.agg(F.count(ref(found))).first()[0]))
         except ContractError:
-            rows.append((name, wanted, None))
-    return spark.createDataFrame(rows, "frame string, wanted string, found string")
+            rows.append((name, wanted, None, None))
+    return spark.createDataFrame(rows, "frame string, wanted string, found string, labelled bigint")
 
 
 @query(

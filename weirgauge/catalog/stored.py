@@ -329,13 +329,16 @@ def _(spark, sf):
 
 @query(
     "q_file_inventory",
-    "SELECT true AS has_files, true AS no_empty_file, true AS all_files_scanned, true AS bytes_agree",
+    """SELECT true AS has_files, true AS no_empty_file, true AS all_files_scanned, true AS bytes_agree,
+  (SELECT count(*) FROM lineitem) AS data_rows""",
 )
 def _(spark, sf):
     """The listing agrees with what a scan of the lines reports about its files."""
     path = flow_files(spark, sf)
     listed = files.inventory(spark, path)
-    seen = files.csv_lines(spark, path).groupBy("file").agg(F.max("bytes").alias("seen_bytes"))
+    seen = files.csv_lines(spark, path).groupBy("file").agg(
+        F.max("bytes").alias("seen_bytes"), (F.count(F.lit(1)) - 1).alias("data_rows")
+    )
     both = listed.join(
         seen.withColumn("file", F.regexp_replace("file", "^file:/*", "file:/")), "file", "left"
     )
@@ -346,6 +349,7 @@ def _(spark, sf):
         F.bool_and(F.coalesce(F.col("bytes") == F.col("seen_bytes"), F.lit(False))).alias(
             "bytes_agree"
         ),
+        F.sum("data_rows").alias("data_rows"),
     )
 
 
@@ -389,7 +393,8 @@ def _(spark, sf):
 
 @query(
     "q_file_sample",
-    """SELECT true AS within_limit, true AS positions_from_one, true AS every_file_sampled""",
+    """SELECT true AS within_limit, true AS positions_from_one, true AS every_file_sampled,
+  true AS is_the_prefix""",
 )
 def _(spark, sf):
     """First rows of every CSV file: 20 each, or the whole file if it is shorter."""
@@ -398,11 +403,20 @@ def _(spark, sf):
     per_file = sampled.groupBy("file").agg(
         F.count(F.lit(1)).alias("n"), F.min("position").alias("lo"), F.max("position").alias("hi")
     )
+    # The same lines as text: line 1 is the header, so row n of the sample must be line n + 1.
+    text = files.csv_lines(spark, path).withColumn("line", F.monotonically_increasing_id())
+    prefix = first_per_group(text, "file", ("block", "line"), 21).where(F.col("position") > 1)
+    cells = F.from_csv("value", ", ".join(f"`{c}` string" for c in i.LINES.columns))
+    lines = prefix.select("file", (F.col("position") - 1).alias("position"), cells.alias("cells"))
+    pairs = sampled.join(lines, ["file", "position"], "full_outer")
+    agree = F.col("cells.price").eqNullSafe(F.col("price")) & F.col("cells.tax").eqNullSafe(F.col("tax"))
+    is_prefix = pairs.agg(F.bool_and(agree).alias("b")).scalar()
     n_files = files.inventory(spark, path).agg(F.count(F.lit(1)).alias("n")).scalar()
     return per_file.agg(
         F.bool_and(F.col("n") <= 20).alias("within_limit"),
         F.bool_and((F.col("lo") == 1) & (F.col("hi") == F.col("n"))).alias("positions_from_one"),
         (F.count(F.lit(1)) == n_files).alias("every_file_sampled"),
+        is_prefix.alias("is_the_prefix"),
     )
 
 
