@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import pathlib
-import tempfile
 import zipfile
 
 from pyspark.sql import SparkSession
 
+from ..session import scratch
+
 PACKAGE = pathlib.Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
@@ -15,16 +17,20 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Hand the package's code to the workers of an application, once.
 
-    The archive is made on the driver and served by Spark, as with
+    The archive lies in shared storage, where executors fetch it as with
     ``--py-files``; an installed package makes it redundant but does no harm.
     """
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
-    folder = pathlib.Path(tempfile.mkdtemp(prefix="weirgauge-code-"))
-    archive = folder / "weirgauge_code.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
         for path in sorted(PACKAGE.rglob("*.py")):
             out.write(path, path.relative_to(PACKAGE.parent))
-    spark.sparkContext.addPyFile(str(archive))
+    path = f"{scratch(spark, 'code')}/weirgauge_code.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(path)
     _shipped.add(application)
