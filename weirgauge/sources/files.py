@@ -80,7 +80,9 @@ def audit_headers(spark: SparkSession, path: str, required) -> DataFrame:
     """
     found = headers(spark, path)
     expected = found.agg(F.min_by("header", "file").alias("h")).scalar()
-    names = F.split(F.col("header"), ",")
+    # Commas inside quotes belong to a name; the quotes around it do not.
+    cut = F.split(F.col("header"), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    names = F.transform(cut, lambda n: F.replace(F.regexp_replace(n, '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
     wanted = F.array(*[F.lit(n) for n in required])
     return found.select(
         "file",

@@ -50,7 +50,8 @@ class LiveJob:
     def write_records(self, batch: DataFrame, batch_id: int) -> None:
         """Judge and score once, then write three outputs from the cached batch."""
         run = history.run_of(batch.sparkSession, self.checkpoint)
-        judged = ingest.judge(batch, self.events).persist()
+        # The parsed map served the verdict and is not kept in the cache.
+        judged = ingest.judge(batch, self.events).drop("__given").persist()
         try:
             scored = predictions(ingest.accepted(judged, self.events), self.scorer).persist()
             try:
