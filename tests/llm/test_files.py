@@ -31,7 +31,8 @@ def test_words_have_the_ids_of_the_whole_text():
     plain, own = Tokenizer.from_file(file), packing.WordIds(file)
     texts = [
         "", " ", "It's the dog's, isn't it? 1234 ÉÀ", "a b c é ́x", "x" * 300 + " y",
-        "<|endoftext|> mid<|startoftext|>dle <|endo", "日本語 текст 🙂🙂 ﬁ", "Σίσυφος ΣΣ", "\x00\x01 tab\there",
+        "<|endoftext|> mid<|startoftext|>dle <|endo", "İstanbul straße ǅ ŉ",
+        "日本語 текст 🙂🙂 ﬁ", "Σίσυφος ΣΣ", "\x00\x01 tab\there",
     ]
     for text, ids in zip(texts, own.ids([t.encode() for t in texts])):
         assert np.frombuffer(ids, own.kind).tolist() == plain.encode(text, add_special_tokens=False).ids + [1]

@@ -28,7 +28,7 @@ VECTOR_DIMS = 512
 AXES = 4
 AXIS_BITS = 8
 #: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 LONG_WORD = 64
 TOGETHER = 256
 
@@ -112,44 +112,78 @@ class WordIds:
         ]
         self.parting = max(special) if special else None
         self.marks = [content.encode() for _, content in special]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closing = None
+        if suffix:
+            self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
         self.end = np.array([END_ID], self.kind).tobytes()
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        alone = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in alone]
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind) for e in found]
+
+    @staticmethod
+    def _cut(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+        packed, size = ids.tobytes(), ids.itemsize
+        for start, end in zip((starts * size).tolist(), (ends * size).tolist()):
+            yield packed[start:end]
+
+    def _parted(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words that hold no special token, encoded with one between them."""
+        mark, text = self.parting
+        ids = self._encode([text.join(words)])[0]
+        marks = np.flatnonzero(ids == mark)
+        yield from self._cut(ids, np.concatenate([[0], marks + 1]), np.concatenate([marks, [len(ids)]]))
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        plain, rest = [], []
+        """Ids of new words.
+
+        A word of letters alone is one unit of the tokenizer and ends with a
+        token that closes words, so such words are encoded with blanks between
+        them, which is cheapest; a group where that does not hold, and all other
+        words, are parted by a special token, or encoded one by one.
+        """
+        found: dict[bytes, bytes] = {}
+        blob = b"\n".join(words)
+        special = any(m in blob for m in self.marks)
+        letters, plain, alone = [], [], []
         for word in words:
-            marked = self.parting is None or any(m in word for m in self.marks)
-            (rest if marked else plain).append(word)
-        found = dict(zip(rest, self._encode(rest))) if rest else {}
-        if plain:
-            mark, text = self.parting
-            groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-            joined = [text.join(w.decode("utf-8", "replace") for w in g) for g in groups]
-            for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(encoded.ids, self.kind)
-                for word, part in zip(group, np.split(ids, np.flatnonzero(ids == mark))):
-                    found[word] = (part[1:] if len(part) and part[0] == mark else part).tobytes()
+            text = word.decode("utf-8", "replace")
+            if self.parting is None or special and any(m in word for m in self.marks):
+                alone.append((word, text))
+            elif self.closing is not None and text.isalpha():
+                letters.append((word, text))
+            else:
+                plain.append((word, text))
+        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        for group, ids in zip(groups, self._encode([" ".join(t for _, t in g) for g in groups])):
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(group) and (not len(ids) or ends[-1] == len(ids)):
+                found.update(zip((w for w, _ in group), self._cut(ids, np.concatenate([[0], ends[:-1]]), ends)))
+            else:
+                plain += group
+        for at in range(0, len(plain), TOGETHER):
+            group = plain[at : at + TOGETHER]
+            found.update(zip((w for w, _ in group), self._parted([t for _, t in group])))
+        found.update(zip((w for w, _ in alone), (i.tobytes() for i in self._encode([t for _, t in alone]))))
         return found
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         words = [t.split() for t in texts]
-        known = self.known
-        new = {w for ws in words for w in ws if w not in known}
-        once = {}
+        known, get = self.known, self.known.__getitem__
+        new = set().union(*words).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*words)
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = {w for ws in words for w in ws}
-            fresh = self.learn(new)
-            once = {w: i for w, i in fresh.items() if len(w) > LONG_WORD}
-            known.update((w, i) for w, i in fresh.items() if len(w) <= LONG_WORD)
-        if once:
-            known = {**known, **once} if len(once) < 1000 else {**once, **known}
-        return [b"".join([known[w] for w in ws]) + self.end for ws in words]
+            known.update(self.learn(new))
+        packed = [b"".join(map(get, ws)) + self.end for ws in words]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del known[word]
+        return packed
 
 
 _encoders: dict[str, WordIds] = {}
