@@ -28,7 +28,7 @@ VECTOR_DIMS = 512
 AXES = 4
 AXIS_BITS = 8
 #: Words whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 LONG_WORD = 64
 TOGETHER = 256
 
@@ -172,18 +172,19 @@ class WordIds:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         words = [t.split() for t in texts]
-        known, get = self.known, self.known.__getitem__
-        new = set().union(*words).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*words)
-        if new:
-            known.update(self.learn(new))
-        packed = [b"".join(map(get, ws)) + self.end for ws in words]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del known[word]
-        return packed
+        known, flat = self.known, [w for ws in words for w in ws]
+        held = list(map(known.get, flat))
+        if None in held:
+            new = self.learn({w for w, ids in zip(flat, held) if ids is None})
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+            known.update((w, ids) for w, ids in new.items() if len(w) <= LONG_WORD)
+            held = [new[w] if ids is None else ids for w, ids in zip(flat, held)]
+        out, at = [], 0
+        for ws in words:
+            out.append(b"".join(held[at : at + len(ws)]) + self.end)
+            at += len(ws)
+        return out
 
 
 _encoders: dict[str, WordIds] = {}
