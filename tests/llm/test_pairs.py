@@ -78,6 +78,46 @@ def test_components_of_an_empty_table(spark):
     assert simhash.keep_one(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def at_similarity(rng, base, share):
+    """The words of ``base`` with its end replaced, so that ``share`` of all five-word shingles are common."""
+    count = len(base) - 4
+    common = round(2 * share * count / (1 + share))
+    return base[: common + 4] + [f"y{rng.randrange(10**6)}" for _ in range(count - common)]
+
+
+def jaccard(one, other):
+    a, b = (set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in (one, other))
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+@pytest.mark.parametrize("shingles", [4_000_000, 700])
+def test_near_copies_are_those_of_brute_force(spark, monkeypatch, shingles):
+    monkeypatch.setattr(simhash, "SET_SHINGLES", shingles)
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for share in (0.5, 0.6, 0.7, 0.78, 0.8, 0.82, 0.85, 0.9, 0.95):
+        for _ in range(12):
+            base = words(rng.choice([60, 100, 300]))
+            texts += [" ".join(base), " ".join(at_similarity(rng, base, share))]
+    # Texts that share a passage of half their length, and passages said many times over.
+    shared = words(120)
+    texts += [" ".join(shared + words(60)) for _ in range(60)]
+    often = words(20) * 20
+    texts += [" ".join(often + words(60)) for _ in range(4)] + ["", "   "]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    roots = groups_of(len(texts), pairs)
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == sorted(set(roots))
+
+
+def test_a_component_is_linked_through_its_similar_pairs_alone():
+    sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 11, 22, 60, 500)]
+    same = np.zeros(5, np.uint64)
+    a, b = simhash.similar_links(same, same, np.arange(5), sets, 0, 0, 0.8)
+    assert groups_of(5, zip(a, b)) == [0, 0, 0, 3, 4]
+
+
 @pytest.mark.parametrize("bits", [1, 3, 9])
 def test_every_near_pair_meets(bits):
     rng = np.random.default_rng(bits)

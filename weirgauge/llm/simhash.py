@@ -12,6 +12,10 @@ where s is the most that partners can differ on those bits; other branches are
 pruned.  The leaves are the shards.  A fingerprint lives in one shard and visits
 those across a boundary that it is too near to; a shard compares its residents
 with each other and with its visitors, and returns a spanning forest of links.
+
+``keep_one`` uses fingerprints only to propose: documents of one component of
+proposed links are compared by their sets of shingles, and the Jaccard
+similarity of a pair decides whether it is linked.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .batches import fresh, raw, stored
+from .batches import fresh, raw, spans, stored
 from .components import connected
 from .registry import query, table
 
@@ -40,6 +44,9 @@ BLOCK_ROWS = 60_000
 WIDE_BITS = 8
 CANDIDATES = 6
 WORK_CELLS = 1 << 22
+#: Shingles and documents of a proposed component after which its sets are compared in blocks.
+SET_SHINGLES = 4_000_000
+SET_ROWS = 20_000
 LOW = np.uint64(0xFFFFFFFF)
 HALVES = (LOW, LOW << np.uint64(32))
 
@@ -315,21 +322,133 @@ def near_duplicates(rows: DataFrame, bits: int, both_bits: int | None = None) ->
     return values.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def keep_one(docs: DataFrame, *, text: str = "text", width: int = 5, bits: int = 14, both_bits: int = 22) -> DataFrame:
+def sketch(width: int):
+    """Column function: text bytes to two fingerprints, a hash and the size of the shingle set."""
+
+    @arrow_udf("struct<first:bigint,second:bigint,content:bigint,shingles:bigint>")
+    def of(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts:
+            held = np.unique(shingle_hashes(text.as_py() or b"", width))
+            content = np.uint64(xxhash.xxh64_intdigest(held.tobytes(), SEED)).astype(np.int64)
+            rows.append((majority(held), majority(remix(held)), int(content), len(held)))
+        columns = zip(*rows) if rows else [()] * 4
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.int64()) for c in columns], ["first", "second", "content", "shingles"]
+        )
+
+    return of
+
+
+def shingle_set(width: int):
+    """Column function: text bytes to the sorted distinct shingle hashes, 8 bytes each."""
+
+    @arrow_udf("binary")
+    def of(texts: pa.Array) -> pa.Array:
+        sets = (np.unique(shingle_hashes(t.as_py() or b"", width)).tobytes() for t in texts)
+        return pa.array(sets, pa.binary())
+
+    return of
+
+
+def similar_links(
+    first: np.ndarray, second: np.ndarray, node: np.ndarray, sets: list[np.ndarray], bits: int, both_bits: int, least: float
+) -> tuple[list[int], list[int]]:
+    """A forest over the pairs with near fingerprints and a Jaccard similarity of ``least`` or more.
+
+    Sets not yet reached are compared with those just reached, one of these at
+    a time, so a dense group costs one pass.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    starts, _ = spans(sizes)
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(int(number.max(initial=-1)) + 1, bool)
+    a, b = [], []
+    left = np.argsort(node, kind="stable")
+    while len(left):
+        seed, left = left[0], left[1:]
+        frontier = [seed]
+        while frontier and len(left):
+            at = frontier.pop()
+            apart = np.bitwise_count(first[left] ^ first[at])
+            both = apart + np.bitwise_count(second[left] ^ second[at])
+            small, large = np.minimum(sizes[left], sizes[at]), np.maximum(sizes[left], sizes[at])
+            asked = np.flatnonzero((apart <= bits) & (both <= both_bits) & (small > 0) & (small / np.maximum(large, 1) >= least))
+            own = number[starts[at] : starts[at] + sizes[at]]
+            mark[own] = True
+            taken = np.zeros(len(left), bool)
+            runs = np.cumsum(sizes[left[asked]]) // WORK_CELLS if len(asked) else np.zeros(0, np.int64)
+            for some in np.split(asked, np.flatnonzero(np.diff(runs)) + 1) if len(asked) else ():
+                lengths = sizes[left[some]]
+                begin, _ = spans(lengths)
+                places = np.repeat(starts[left[some]] - begin, lengths) + np.arange(int(lengths.sum()))
+                common = np.add.reduceat(mark[number[places]].astype(np.int64), begin)
+                taken[some] = common / (lengths + sizes[at] - common) >= least
+            mark[own] = False
+            found = left[taken]
+            left = left[~taken]
+            a += node[found].tolist()
+            b += [int(node[at])] * len(found)
+            frontier += found.tolist()
+    return a, b
+
+
+def verified(members: DataFrame, bits: int, both_bits: int, least: float) -> DataFrame:
+    """Links (a, b) that span the components of similar documents.
+
+    ``members``: first, second, node, root (the component of proposed links),
+    shingles (their number) and ``held`` (shingle_set).  A component with many
+    shingles or documents is cut into blocks, and each block meets each other.
+    """
+    sizes = members.groupBy("root").agg(
+        F.ceil(F.greatest(F.sum("shingles") / SET_SHINGLES, F.count("*") / SET_ROWS)).cast("int").alias("blocks")
+    )
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least(mine, j).alias("low"), F.greatest(mine, j).alias("high")),
+    )
+    dealt = members.join(sizes, "root").select("root", F.explode(meets).alias("group"), "first", "second", "node", "held")
+
+    def compare(group: pa.Table) -> pa.Table:
+        a, b = similar_links(
+            group["first"].to_numpy().view(np.uint64),
+            group["second"].to_numpy().view(np.uint64),
+            group["node"].to_numpy(),
+            [np.frombuffer(v.as_py(), np.uint64) for v in group["held"]],
+            bits,
+            both_bits,
+            least,
+        )
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("root", "group").applyInArrow(compare, "a bigint, b bigint")
+
+
+def keep_one(
+    docs: DataFrame, *, text: str = "text", width: int = 5, bits: int = 22, both_bits: int = 32, least: float = 0.8
+) -> DataFrame:
     """One document of every group of near copies, with all columns.
 
-    Near copies agree in all but ``bits`` places of one fingerprint and all but
-    ``both_bits`` of two, over shingles of five words: two in three pairs of
-    similarity 0.8, and all but one in a hundred of similarity 0.9.  Groups are
-    connected components; the first row of a group in the table's order stays.
-    Wordless texts are one group.  Repeated rows are copies like any others.
+    Two documents are linked if the Jaccard similarity of their sets of
+    five-word shingles is ``least`` or more.  Pairs are proposed by
+    fingerprints of the sets, which must agree in all but ``bits`` places of
+    one and all but ``both_bits`` of two, and only those are compared.  Groups
+    are connected components of links; the first row of a group in the table's
+    order stays.  Equal sets are one value; wordless texts are one group.
+    Repeated rows are copies like any others.
     """
     number = fresh(docs, "row")
     rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "documents")
-    prints = rows.select(F.col(number).alias("row"), fingerprint(width)(raw(text)).alias("f"))
-    flat = stored(prints.select("row", F.col("f.first").alias("first"), F.col("f.second").alias("second")), "prints")
-    found = near_duplicates(flat, bits, both_bits).where("node = root")
-    kept = found.select(F.col("root").alias(number))
+    prints = rows.select(F.col(number).alias("row"), sketch(width)(raw(text)).alias("f"))
+    flat = stored(prints.select("row", "f.*"), "prints")
+    sets = flat.groupBy("first", "second", "content").agg(F.min("row").alias("node"), F.min("shingles").alias("shingles"))
+    values = stored(sets, "fingerprints")
+    proposed = stored(values.join(connected(link(values, bits, both_bits)), "node"), "proposed")
+    texts = rows.select(F.col(number).alias("node"), raw(text).alias("text"))
+    held = proposed.join(texts, "node").withColumn("held", shingle_set(width)(F.col("text"))).drop("text")
+    copies = connected(verified(stored(held, "sets"), bits, both_bits, least)).where("node <> root")
+    kept = values.join(copies, "node", "left_anti").select(F.col("node").alias(number))
     return rows.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
