@@ -159,3 +159,27 @@ def test_licences_are_declared_and_inherited(spark):
     )
     assert licences.scan(df.where("false")).collect() == []
     assert all(licences.Templates().scan(t.encode(), False)[1] == n for n, t in licences.TEMPLATES)
+
+
+STATEMENTS = [
+    ("Copyright (c) 2020 Foo Corp. All rights reserved.", "Proprietary"),
+    ("Copyright (c) 2020 Jane Doe. Licensed under the MIT license.", "MIT"),
+    ("This project is licensed under the MIT License - see the LICENSE file for details", "MIT"),
+    ("Photo of a river by someone, and it is licensed under CC BY 4.0 on Flickr", "CC-BY-4.0"),
+    ("Photo of a river by someone, and it is licensed under CC BY-SA 4.0 on Flickr", "CC-BY-SA-4.0"),
+    ("# Some tool of ours. Licensed\n# under the Apache License,\n# Version 2.0 and no other, as was said", "Apache-2.0"),
+    ("Our whole library is licensed under the GNU General Public License, version 2 as we all know", "GPL-2.0"),
+    ("// SPDX-License-Identifier: MIT", "MIT"),
+    ("/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */ int x;", "GPL-2.0-only OR BSD-3-Clause"),
+    ("They gave up all rights to the house and were paid for it", None),
+    ("The school was released from the plan under the public license office", None),
+]
+
+
+def test_statements_inside_longer_and_wrapped_lines(spark):
+    filler = " ".join(WORDS * 5)
+    files = [(f"f{k}", text) for k, (text, _) in enumerate(STATEMENTS)]
+    files += [(f"g{k}", f"{filler} {text} {filler}") for k, (text, _) in enumerate(STATEMENTS)]
+    got = licences.declared(spark.createDataFrame(files, "path string, text string")).collect()
+    found = {r.path: r.declared.licence for r in got}
+    assert found == {f"{c}{k}": name for c in "fg" for k, (_, name) in enumerate(STATEMENTS)}

@@ -6,6 +6,11 @@ the templates weigh most, and words no template has weigh as the rarest, so a
 line that says other things as well is further away.  Only lines that hold a
 telling word of some template are compared.
 
+Statements inside longer or wrapped lines are found as spans: every run of as
+many words as a template has, across line ends, is compared with that template.
+A span has no room for other words, so it must be nearer than a line.  An SPDX
+tag names its licence itself.
+
 A file without a licence of its own gets that of the nearest directory above it
 that has a licence file: directories are joined to their ancestors' licences by
 path, one row per directory and level.
@@ -17,6 +22,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +33,8 @@ from .registry import query, table
 
 #: A line or text at least so near to a template carries its licence.
 LEAST_COSINE = 0.6
+#: A span of a template's length at least so near carries its licence; two words of three are not enough.
+LEAST_SPAN = 0.7
 
 # Statements by which licences are commonly declared.
 TEMPLATES = (
@@ -43,17 +51,29 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Proprietary", "All rights reserved"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2"),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3"),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[^/]*)?$"
 _WORD = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_TAG = re.compile(rb"(?i:spdx-license-identifier):[ \t]*\(?([A-Za-z0-9.+-]+(?:[ \t]+(?:OR|AND|WITH)[ \t]+[A-Za-z0-9.+-]+)*)")
 
 
-def terms(text: bytes) -> Counter:
-    words = _WORD.findall(text.lower())
+def terms_of(words: list[bytes]) -> Counter:
     return Counter([*words, *zip(words, words[1:])])
 
 
+def terms(text: bytes) -> Counter:
+    return terms_of(_WORD.findall(text.lower()))
+
+
 class Templates:
     """Inverted index of the templates' unit vectors."""
 
@@ -64,8 +84,17 @@ class Templates:
         self.rarity = {t: math.log((len(counted) + 1) / n) + 1 for t, n in seen.items()}
         self.names = [name for name, _ in counted]
         self.found: dict = {}
-        for number, (_, counts) in enumerate(counted):
-            weights = self.weigh(counts)
+        self.unit = [self.weigh(counts) for _, counts in counted]
+        self.lengths = [len(_WORD.findall(text.lower().encode())) for _, text in templates]
+        known = sorted({w for _, c in counted for w in c if isinstance(w, bytes)})
+        self.place = {w: k for k, w in enumerate(known)}
+        # Squared weight that a word can add to a match: its own and half of each pair with it.
+        self.share = np.zeros((len(counted), len(known) + 1))
+        for number, weights in enumerate(self.unit):
+            for term, weight in weights.items():
+                for word in term if isinstance(term, tuple) else (term, term):
+                    self.share[number, self.place[word]] += weight * weight / 2
+        for number, weights in enumerate(self.unit):
             for term, weight in weights.items():
                 self.found.setdefault(term, []).append((number, weight))
         # The rarest words of each template; a text near to it has at least one.
@@ -90,8 +119,37 @@ class Templates:
         best = max(range(len(scores)), key=lambda k: (scores[k], -k))
         return (scores[best], self.names[best]) if scores[best] > 0 else (0.0, None)
 
+    def spans(self, text: bytes) -> tuple[float, str | None]:
+        """(cosine, licence) of the nearest span of a template's length; nothing below LEAST_SPAN.
+
+        A cosine is at most the root of the template's squared weight on the
+        words of the span, which sliding sums give for all spans.
+        """
+        words = _WORD.findall(text.lower())
+        if not words:
+            return 0.0, None
+        place, other = self.place, len(self.place)
+        numbers = np.fromiter((place.get(w, other) for w in words), np.int64, len(words))
+        best: tuple[float, str | None] = (0.0, None)
+        for number, length in enumerate(self.lengths):
+            sums = np.concatenate([[0.0], np.cumsum(self.share[number][numbers])])
+            length = min(length, len(words))
+            able = np.flatnonzero(sums[length:] - sums[:-length] >= LEAST_SPAN**2 - 1e-9)
+            for at in able.tolist():
+                weights = self.weigh(terms_of(words[at : at + length]))
+                unit = self.unit[number]
+                score = sum(w * unit[t] for t, w in weights.items() if t in unit)
+                if score >= LEAST_SPAN and score > best[0]:
+                    best = (score, self.names[number])
+        return best
+
     def scan(self, text: bytes, whole: bool) -> tuple[float, str | None]:
+        tag = _TAG.search(text)
+        if tag:
+            return 1.0, " ".join(tag.group(1).decode().split())
         best: tuple[float, str | None] = (0.0, None)
+        if self.telling.search(text.lower()):
+            best = self.spans(text)
         for line in text.split(b"\n"):
             if self.telling.search(line.lower()):
                 best = max(best, self.nearest(line), key=lambda x: x[0])
