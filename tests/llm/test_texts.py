@@ -183,3 +183,21 @@ def test_statements_inside_longer_and_wrapped_lines(spark):
     got = licences.declared(spark.createDataFrame(files, "path string, text string")).collect()
     found = {r.path: r.declared.licence for r in got}
     assert found == {f"{c}{k}": name for c in "fg" for k, (_, name) in enumerate(STATEMENTS)}
+
+
+def test_rare_languages_keep_rows_beside_many_frequent_ones(spark):
+    rows, key = [], 0
+    for number in range(20):
+        for _ in range(450 if number < 17 else 5):
+            rows.append((key, " ".join(f"{chr(0x4E00 + 50 * number + (key + k) % 7)}" * 3 for k in range(4)), f"l{number:02}"))
+            key += 1
+    df = spark.createDataFrame(rows + [(None, "x", "l19")] * 3, "doc_id bigint, text string, lang string")
+    sample = language._sample(df, F.col("doc_id"), "text", "lang").groupBy("lang").count().collect()
+    counts = {r["lang"]: r["count"] for r in sample}
+    assert len(counts) == 20 and sum(counts.values()) <= language.ROWS_IN_ALL + 20
+    assert [counts[f"l{k}"] for k in (17, 18, 19)] == [5, 5, 8]
+    model = language.fit(df, F.col("doc_id"))
+    assert len(set(model.names)) == 20
+    asked = df.where("doc_id is not null and lang >= 'l17'")
+    judged = language.identify(asked, model).select("lang", F.col("language.lang").alias("found")).collect()
+    assert all(r.lang == r.found for r in judged)

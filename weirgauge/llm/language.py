@@ -21,7 +21,7 @@ from .registry import query, table
 
 DIMS = 4096
 CLUSTERS = 3
-#: The model is fitted on at most so many texts of a language, and in all.
+#: The model is fitted on at most so many texts of a language, and in all besides the first of each language.
 ROWS_PER_LANGUAGE = 400
 ROWS_IN_ALL = 6000
 UNKNOWN = "und"
@@ -80,28 +80,29 @@ def cluster(rows: np.ndarray, most: int, rounds: int = 10) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
-    """(lang, text) of the labelled rows with the smallest key hashes.
+    """(lang, text) of the labelled rows with the smallest key hashes of their language.
 
+    The first row of every language is taken, then second rows, and so on,
+    until the sample is full, so a frequent language displaces no rare one.
     Ranking sees the keys alone; the texts come from a second scan that keeps
     what lies below the cut of its language.
     """
     name = F.col(f"`{lang}`")
     rows = docs.where(name.isNotNull() & F.col(f"`{text}`").isNotNull())
     order = F.xxhash64(key)
-    ranked = rows.select(name.alias("lang"), order.alias("at")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))
-    )
-    cuts = (
-        ranked.where(F.col("rank") <= ROWS_PER_LANGUAGE)
-        .groupBy("lang")
-        .agg(F.max("at").alias("cut"))
-        .orderBy("lang")
-        .limit(ROWS_IN_ALL)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    ranked = (
+        rows.select(name.alias("lang"), order.alias("at")).withColumn("rank", rank).where(F.col("rank") <= ROWS_PER_LANGUAGE)
     )
+    further = ranked.where("rank > 1").orderBy("rank", "at", "lang").limit(ROWS_IN_ALL)
+    cuts = ranked.where("rank = 1").unionByName(further).groupBy("lang").agg(F.max("at").alias("cut"), F.max("rank").alias("most"))
     chosen = rows.select(name.alias("lang"), order.alias("at"), raw(text).alias("text"))
     return (
-        # One number per language, and no more languages than the sample has rows.
-        chosen.join(F.broadcast(cuts), "lang").where(F.col("at") <= F.col("cut")).orderBy("at", "lang").limit(ROWS_IN_ALL)
+        # One number per language, as in the model.
+        chosen.join(F.broadcast(cuts), "lang").where(F.col("at") <= F.col("cut"))
+        .withColumn("rank", rank)
+        .where((F.col("rank") <= ROWS_PER_LANGUAGE) & (F.col("rank") <= F.col("most")))
+        .select("lang", "text")
     )
 
 
@@ -145,8 +146,9 @@ class Languages:
 def fit(docs: DataFrame, key: Column, *, text: str = "text", lang: str = "lang") -> Languages:
     """Learn centroids from a bounded sample of labelled rows.
 
-    At most ``ROWS_PER_LANGUAGE`` texts of a language and ``ROWS_IN_ALL`` in
-    all, those with the smallest hash of ``key``.  Vectors are made and
+    At most ``ROWS_PER_LANGUAGE`` texts of a language, those with the smallest
+    hash of ``key``: the first of every language and ``ROWS_IN_ALL`` further
+    ones, dealt evenly.  Vectors are made and
     clustered by tasks, one language per group; the driver gets document
     frequencies and centroids.
     """
