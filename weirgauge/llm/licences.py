@@ -88,12 +88,19 @@ class Templates:
         self.lengths = [len(_WORD.findall(text.lower().encode())) for _, text in templates]
         known = sorted({w for _, c in counted for w in c if isinstance(w, bytes)})
         self.place = {w: k for k, w in enumerate(known)}
-        # Squared weight that a word can add to a match: its own and half of each pair with it.
+        # Squared weights of each template's words and, by word and next word, of its pairs.
         self.share = np.zeros((len(counted), len(known) + 1))
+        self.pair = np.zeros((len(known) + 1, len(known) + 1), np.int64)
+        pairs = sorted({t for _, c in counted for t in c if isinstance(t, tuple)})
+        self.pair_share = np.zeros((len(counted), len(pairs) + 1))
+        for at, (a, b) in enumerate(pairs):
+            self.pair[self.place[a], self.place[b]] = at + 1
         for number, weights in enumerate(self.unit):
             for term, weight in weights.items():
-                for word in term if isinstance(term, tuple) else (term, term):
-                    self.share[number, self.place[word]] += weight * weight / 2
+                if isinstance(term, tuple):
+                    self.pair_share[number, self.pair[self.place[term[0]], self.place[term[1]]]] = weight * weight
+                else:
+                    self.share[number, self.place[term]] = weight * weight
         for number, weights in enumerate(self.unit):
             for term, weight in weights.items():
                 self.found.setdefault(term, []).append((number, weight))
@@ -123,7 +130,7 @@ class Templates:
         """(cosine, licence) of the nearest span of a template's length; nothing below LEAST_SPAN.
 
         A cosine is at most the root of the template's squared weight on the
-        words of the span, which sliding sums give for all spans.
+        terms of the span, which sliding sums give for all spans.
         """
         words = _WORD.findall(text.lower())
         if not words:
@@ -131,10 +138,16 @@ class Templates:
         place, other = self.place, len(self.place)
         numbers = np.fromiter((place.get(w, other) for w in words), np.int64, len(words))
         best: tuple[float, str | None] = (0.0, None)
+        pairs = self.pair[numbers[:-1], numbers[1:]]
+        single, double = np.zeros(len(words) + 1), np.zeros(len(words))
         for number, length in enumerate(self.lengths):
-            sums = np.concatenate([[0.0], np.cumsum(self.share[number][numbers])])
+            np.cumsum(self.share[number][numbers], out=single[1:])
+            np.cumsum(self.pair_share[number][pairs], out=double[1:])
+            if single[-1] + double[-1] < LEAST_SPAN**2 - 1e-9:
+                continue
             length = min(length, len(words))
-            able = np.flatnonzero(sums[length:] - sums[:-length] >= LEAST_SPAN**2 - 1e-9)
+            most = single[length:] - single[:-length] + double[length - 1 :] - double[: len(double) - length + 1]
+            able = np.flatnonzero(most >= LEAST_SPAN**2 - 1e-9)
             for at in able.tolist():
                 weights = self.weigh(terms_of(words[at : at + length]))
                 unit = self.unit[number]
