@@ -1,6 +1,18 @@
 """Imports every operator so that its query is registered."""
 
-from . import decontaminate, language, licences, neighbours, packing, quality, sharding, simhash, substrings, warc  # noqa: F401
+from . import (  # noqa: F401
+    decontaminate,
+    language,
+    licences,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    token_files,
+    warc,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,4 +1,4 @@
-"""Queries over the ten operators and the SQL some of them must agree with."""
+"""Queries over the operators and the SQL some of them must agree with."""
 
 from __future__ import annotations
 
