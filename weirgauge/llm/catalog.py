@@ -1,6 +1,7 @@
 """Imports every operator so that its query is registered."""
 
 from . import (  # noqa: F401
+    alignment,
     decontaminate,
     language,
     licences,
