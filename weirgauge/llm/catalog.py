@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     alignment,
     decontaminate,
     language,
+    lexical,
     licences,
     neighbours,
     packing,
