@@ -49,6 +49,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file to shared storage, in place of one that is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in shared storage, read back.
 
@@ -60,13 +68,23 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(
+    spark: SparkSession, state_partitions: int | None = None, on_disk: bool = False
+) -> SparkSession:
     """Session for one stream with its own number of state partitions.
 
     The number is fixed at a stream's first start, so it is chosen per stream
-    rather than taken from whatever the caller's batch queries use.
+    rather than taken from whatever the caller's batch queries use.  State kept
+    ``on_disk`` (RocksDB) is bounded by the executors' disks and not their heap,
+    and a micro-batch writes what it changed to the checkpoint, not all of it.
     """
     side = prepare(spark.newSession())
+    if on_disk:
+        side.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+        side.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     if state_partitions is not None:
         side.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return side
