@@ -1,33 +1,40 @@
 """Token ids of whole texts by a byte-level tokenizer, each word encoded once.
 
-The tokenizer parts a text into words by a pattern and encodes every word on
-its own, so a text's ids are those of its words in turn.  A worker remembers
-the ids of words; new ones are encoded many at a time, parted by line breaks.
-Texts whose parts this module cannot foresee (special tokens, and letters or
-digits that the tokenizer may not know as such) are encoded whole.
+Such a tokenizer never joins a word to the white space or the mark after it, so
+a text falls apart there and its ids are those of its runs in turn.  A worker
+remembers the ids of short runs in a table that is searched for all runs at
+once; new ones are encoded many at a time, parted by line breaks.  Texts with
+white space beyond ASCII, and with special tokens where these are recognised,
+are encoded whole.
 """
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 
 import numpy as np
-import regex
 
-#: Words whose ids a worker remembers, and the longest that is kept.
-REMEMBERED = 400_000
-LONG_WORD = 64
+from .run_table import LONGEST, RunTable, mixed, words_of
+
 TOGETHER = 256
 
-# Fixed values of the tokenizer: its pattern of words.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Letters and digits outside these old blocks may be younger than the tokenizer's tables.
-UNSURE = r"[[\p{L}\p{N}]--[\u0000-ԣḀ-ỹ‐-⁞ぁ-ゖァ-ヺ一-龥가-힣]]"
+# Bytes that are white space (1), letters and digits (2), and marks that end a word (3);
+# white space beyond ASCII.
+BLANK = 0x20
+KINDS = np.zeros(256, np.uint8)
+KINDS[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, BLANK]] = 1
+KINDS[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = 2
+KINDS[list(b"!),.:;?")] = 3
+FAR_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
 
-#: A blank after white space and not before a word: there a text may not fall apart.
-TANGLED = re.compile(r"\s (?:\s|$)")
+def _reorder(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for runs taken in another order."""
+    before = np.cumsum(counts) - counts
+    taken = counts[order]
+    through = np.cumsum(taken)
+    return ids[np.arange(len(ids)) + np.repeat(before[order] - through + taken, taken)], taken
 
 
 class ByteWords:
@@ -42,80 +49,83 @@ class ByteWords:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [t.content for t in added] if specials else []
-        self.unsure = regex.compile(UNSURE, regex.V1)
-        self.words = regex.compile(WORDS)
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.runs = RunTable(self.kind)
         (self.line,) = self._encode(["\n"])[0]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        blank = [w for w in words if w.isspace()]
-        found = dict(zip(blank, (i.tobytes() for i in self._encode(blank))))
-        rest = [w for w in words if w not in found]
-        groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
-        size = self.kind.itemsize
+    def _learn(self, runs: list[str], white: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs in turn, how many each has); the last ``white`` runs hold white space and are encoded one by one."""
+        joined = runs[: len(runs) - white]
+        groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
+        found, counts = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
         for group, ids in zip(groups, self._encode(["\n".join(g) for g in groups])):
-            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            parting = ids == self.line
+            ends = np.append(np.flatnonzero(parting), len(ids))
             if len(ends) != len(group):
-                found.update(zip(group, (i.tobytes() for i in self._encode(group))))
-                continue
-            packed, at = ids.tobytes(), 0
-            for word, end in zip(group, (ends * size).tolist()):
-                found[word] = packed[at:end]
-                at = end + size
-        return found
-
-    def _held(self, store: dict, keys: list[str], learn) -> list[bytes]:
-        """What ``store`` holds for the keys; ``learn`` finds it for new ones."""
-        held = list(map(store.get, keys))
-        if None in held:
-            new = learn(list(dict.fromkeys(k for k, v in zip(keys, held) if v is None)))
-            kept = {k: v for k, v in new.items() if len(k) <= LONG_WORD}
-            if len(store) + len(kept) > REMEMBERED:
-                for key in list(itertools.islice(store, max(len(store) // 2, len(kept)))):
-                    del store[key]
-            store.update(itertools.islice(kept.items(), REMEMBERED))
-            held = [new[k] if v is None else v for k, v in zip(keys, held)]
-        return held
-
-    def _by_words(self, texts: list[str]) -> list[bytes]:
-        parts = [self.words.findall(t) for t in texts]
-        held = iter(self._held(self.known, list(itertools.chain.from_iterable(parts)), self._learn))
-        return [b"".join(itertools.islice(held, len(words))) for words in parts]
-
-    def _learn_runs(self, runs: list[str]) -> dict[str, bytes]:
-        return dict(zip(runs, self._by_words(runs)))
+                raise ValueError("the tokenizer joins words over a line break")
+            found.append(ids[~parting])
+            counts.append(np.diff(ends, prepend=-1) - 1)
+        alone = self._encode(runs[len(joined) :])
+        return np.concatenate(found + alone), np.concatenate([*counts, np.array([len(i) for i in alone], np.int64)])
+
+    def _by_runs(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = b"".join(texts)
+        padded = np.frombuffer(data + bytes(LONGEST + 8), np.uint8)
+        begins = np.cumsum([0, *map(len, texts)])
+        kinds = KINDS[padded[: len(data)]]
+        white, before = kinds == 1, np.append(np.uint8(0), kinds[:-1])
+        parting = np.append(white & (before != 1) | (kinds == 3) & (before == 2), False)
+        parting[begins] = True
+        starts = np.flatnonzero(parting[: len(data)])
+        lengths = np.diff(np.append(starts, len(data)))
+        inner = white.copy()
+        inner[starts] &= padded[starts] != BLANK
+        inside = np.add.reduceat(inner, starts, dtype=np.int64) > 0 if len(starts) else np.zeros(0, bool)
+
+        def learn(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            spans = zip(starts[which].tolist(), (starts[which] + lengths[which]).tolist())
+            return self._learn([data[a:b].decode() for a, b in spans], int(inside[which].sum()))
+
+        short = np.flatnonzero(lengths <= LONGEST)
+        words, sizes = words_of(padded, starts[short], lengths[short]), lengths[short]
+        slots = self.runs.find(words, sizes)
+        while len(missing := np.flatnonzero(slots < 0)):
+            _, first = np.unique(mixed(words[missing], sizes[missing]), return_index=True)
+            pick = missing[first]
+            pick = pick[np.argsort(inside[short[pick]], kind="stable")]
+            self.runs.add(words[pick], sizes[pick], *learn(short[pick]))
+            slots = self.runs.find(words, sizes)  # new entries may have moved the old ones
+        ids, counts = self.runs.gather(slots)
+        long = np.flatnonzero(lengths > LONGEST)
+        if len(long):
+            order = np.argsort(inside[long], kind="stable")
+            others, their = _reorder(*learn(long[order]), np.argsort(order))
+            every = np.zeros(len(lengths), np.int64)
+            every[short], every[long] = counts, their
+            through = np.append(0, np.cumsum(counts))
+            ids = np.insert(ids, np.repeat(through[np.searchsorted(short, long)], their), others)
+            counts = every
+        through = np.append(0, np.cumsum(counts))
+        edges = through[np.searchsorted(starts, begins)].tolist()
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text; bytes that are no UTF-8 count as replacement characters.
-
-        Most texts fall apart before every blank, and their runs up to the next
-        blank are looked up as such; others are parted word by word.
-        """
+        """Ids of each text; bytes that are no UTF-8 count as replacement characters."""
         plain = [t.decode("utf-8", "replace") for t in texts]
-        out: list = [None] * len(plain)
         whole = [k for k, t in enumerate(plain) if self._whole(t)]
+        out: list = [None] * len(plain)
         for k, ids in zip(whole, self._encode([plain[k] for k in whole])):
             out[k] = ids
-        blanks = [k for k, t in enumerate(plain) if out[k] is None and TANGLED.search(t)]
-        for k, ids in zip(blanks, self._by_words([plain[k] for k in blanks])):
-            out[k] = np.frombuffer(ids, self.kind)
         rest = [k for k, ids in enumerate(out) if ids is None]
-        parts = []
-        for k in rest:
-            first, *others = plain[k].split(" ")
-            parts.append([first, *(" " + run for run in others)])
-        held = iter(self._held(self.runs, list(itertools.chain.from_iterable(parts)), self._learn_runs))
-        for k, runs in zip(rest, parts):
-            out[k] = np.frombuffer(b"".join(itertools.islice(held, len(runs))), self.kind)
+        for k, ids in zip(rest, self._by_runs([plain[k].encode() for k in rest])):
+            out[k] = ids
         return out
 
     def _whole(self, text: str) -> bool:
-        return any(m in text for m in self.marks) or not text.isascii() and self.unsure.search(text) is not None
+        return any(m in text for m in self.marks) or not text.isascii() and FAR_WHITE.search(text) is not None
 
 
 _encoders: dict[tuple[str, bool], ByteWords] = {}
