@@ -1,6 +1,6 @@
 """All named queries, grouped by topic."""
 
-from . import events, examples, models, quality, scalars, stored, streams  # noqa: F401
+from . import events, examples, live, models, quality, scalars, stored, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from functools import lru_cache
 
@@ -49,6 +50,26 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
+def put_once(df: DataFrame, path: str, name: str) -> bool:
+    """Write rows as one folder that appears whole or not at all; one that is there stays as it is.
+
+    Readers that list the parent, streams too, pass over the folder while it is written.
+    """
+    spark, aside = df.sparkSession, f"{path}/_{name}"
+    if path_exists(spark, f"{path}/{name}"):
+        return False
+    df.write.mode("overwrite").parquet(aside)
+    made, goal = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{path}/{name}"))
+    if not made.getFileSystem(spark._jsc.hadoopConfiguration()).rename(made, goal):
+        raise OSError(f"{aside} could not be renamed")
+    return True
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file to shared storage, in place of one that is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,6 +78,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def set_times(spark: SparkSession, path: str, step: int = 1000) -> None:
+    """Give the partitions of a folder modification times in the order of their names' numbers.
+
+    A file stream takes files by that time, and the files of one job have it by chance.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in files.listStatus(base) if "=" in s.getPath().getName()]
+    folders.sort(key=lambda p: int(p.getName().partition("=")[2]))
+    now = int(time.time() * 1000) - step * len(folders)
+    for place, folder in enumerate(folders):
+        for held in files.listStatus(folder):
+            files.setTimes(held.getPath(), now + step * place, -1)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in shared storage, read back.
 

@@ -1,8 +1,9 @@
 """The live job: judge, score, count, alert, store and publish.
 
-Two streams read the source: a stateless one that judges and scores each record
-once and writes predictions, alerts and quarantine from the same cached
-micro-batch, and a stateful one that counts windows.
+A stateless stream judges and scores each record once and writes predictions,
+alerts and quarantine from the same cached micro-batch.  What a window needs of
+a scored record goes to a log of its own, batch by batch, and a second, stateful
+stream counts windows from there; it neither parses nor scores.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 from ..contracts import ALERT_SCHEMA, METRIC_SCHEMA, EventContract, FlowContract
 from ..operators import alerts as alert_ops
 from ..operators import clean, forest, ingest, windows
-from ..sources import history, snapshots
+from ..session import make_folder, put_once
+from ..sources import history, records, snapshots
 from .runner import start
 
+SCORED = "event_timestamp timestamp, prediction double"
+
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -56,6 +60,7 @@ class LiveJob:
             scored = predictions(ingest.accepted(judged, self.events), self.scorer).persist()
             try:
                 commit = {"run": run, "batch_id": batch_id}
+                put_once(scored.select("event_timestamp", "prediction"), self.scored(run), f"batch={batch_id}")
                 alert_rows = alert_ops.alerts(scored)
                 history.insert_absent(scored, self.history_root, history.PREDICTIONS, **commit)
                 history.insert_absent(alert_rows, self.history_root, history.ALERTS, **commit)
@@ -70,6 +75,10 @@ class LiveJob:
         finally:
             judged.unpersist()
 
+    def scored(self, run: str) -> str:
+        """The log of scored records that the metric stream of a run reads."""
+        return f"{self.history_root}/scored/run={run}"
+
     def write_metrics(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -80,22 +89,26 @@ class LiveJob:
         finally:
             batch.unpersist()
 
-    def start(self, records: DataFrame, drain: bool = False):
-        """Start both streams over a stream of log records."""
-        spark = records.sparkSession
+    def start(self, source: DataFrame, drain: bool = False):
+        """Start both streams over a stream of log records.
+
+        With ``drain`` the first has ended when the second starts, so that the
+        second finds all there is.
+        """
+        spark = source.sparkSession
         history.initialize(spark, self.history_root)
-        history.run_of(spark, self.checkpoint)
+        scored = self.scored(history.run_of(spark, self.checkpoint))
+        make_folder(spark, scored)
         if self.snapshot_root:
             for feed in ("metrics", "alerts"):
                 snapshots.reset(spark, f"{self.snapshot_root}/{feed}")
-        valid, _ = ingest.split_records(records, self.events)
-        metrics = windows.window_metrics(predictions(valid, self.scorer), self.plan)
-        return (
-            start(records, f"{self.checkpoint}/records", self.write_records, drain=drain),
-            start(
-                metrics, f"{self.checkpoint}/metrics", self.write_metrics, mode="update", drain=drain
-            ),
-        )
+        judging = start(source, f"{self.checkpoint}/records", self.write_records, drain=drain)
+        if drain:
+            judging.awaitTermination()
+        arriving = records.file_stream(spark, scored, SCORED, glob="*.parquet")
+        metrics = windows.window_metrics(arriving, self.plan)
+        counting = start(metrics, f"{self.checkpoint}/metrics", self.write_metrics, mode="update", drain=drain)
+        return judging, counting
 
 
 def _merged(batch: DataFrame, root: str, fields: str) -> DataFrame:

@@ -63,11 +63,3 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
     return write
 
-
-def dropped_late(query: StreamingQuery) -> int:
-    """Window groups a finished query dropped because they were too late."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
