@@ -249,22 +249,56 @@ def test_fuller_windows_win_over_later_commits(spark):
     assert [r.event_count for r in history.read_table(spark, root, history.METRICS).collect()] == [9]
 
 
-def test_an_interrupted_compaction_is_finished_or_dropped(spark):
+def test_a_compaction_shows_all_at_once_and_never_in_part(spark):
     root = scratch(spark, "history")
+    table = history.PREDICTIONS
     history.initialize(spark, root)
-    for batch_id in range(2):
-        rows = prediction_rows(spark, [batch_id], 0.0)
-        history.insert_absent(rows, root, history.PREDICTIONS, run="a", batch_id=batch_id)
-    aside = f"{root}/_compaction/predictions"
-    whole = history.read_log(spark, root, history.PREDICTIONS).drop("run", "batch")
-    whole.where("offset = 0").write.partitionBy("span", "day").parquet(aside)
-    stage, files = history._files(spark, f"{aside}/_SUCCESS")
-    files.delete(stage, True)
-    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2020, 1, 1)) == 0
-    whole.write.partitionBy("span", "day").parquet(aside)
-    assert history.compact(spark, root, history.PREDICTIONS, datetime.date(2020, 1, 1)) == 1
-    log = history.read_log(spark, root, history.PREDICTIONS).collect()
-    assert sorted((r.offset, r.run) for r in log) == [(0, "compacted"), (1, "compacted")]
+
+    def put(offsets, batch_id):
+        history.insert_absent(prediction_rows(spark, offsets, 0.0), root, table, run="a", batch_id=batch_id)
+
+    put([0], 0)
+    put([1], 1)
+    log = history.read_log(spark, root, table)
+    aborted = log.withColumns({"run": F.lit("compacted-x"), "batch": F.lit(0).cast("bigint")})
+    history._write(aborted, root, table)  # as if a compaction had stopped before it published
+    assert history.read_table(spark, root, table).count() == 2
+    opened = history.read_table(spark, root, table)  # a reader from before
+    assert history.compact(spark, root, table, datetime.date(2027, 1, 1)) == 1
+    put([1, 2], 2)
+    assert sorted(r.offset for r in opened.collect()) == [0, 1]
+    rows = history.read_log(spark, root, table).collect()
+    assert sorted((r.offset, r.run.startswith("compacted-")) for r in rows) == [(0, True), (1, True), (2, False)]
+    assert history.vacuum(spark, root, table) == 2 and history.vacuum(spark, root, table) == 0
+    assert sorted(r.offset for r in history.read_table(spark, root, table).collect()) == [0, 1, 2]
+    assert history.compact(spark, root, table, datetime.date(2027, 1, 1)) == 1
+    put([0, 1, 2, 3], 3)
+    assert sorted(r.offset for r in history.read_table(spark, root, table).collect()) == [0, 1, 2, 3]
+
+
+def test_new_offsets_open_no_stored_row(spark):
+    root, table = scratch(spark, "history"), history.PREDICTIONS
+    history.initialize(spark, root)
+
+    def opened(offsets, batch_id):
+        """Batches whose stored keys the batch may repeat; the batch is stored, too."""
+        rows = prediction_rows(spark, offsets, 0.0)
+        history.insert_absent(rows, root, table, run="a", batch_id=batch_id)
+        spans = {f"0-{o // history.SPAN_OFFSETS}" for o in offsets}
+        met = history._meeting(spark, root, table, "a", batch_id, spans)
+        keys = history.present_keys(spark, root, table, run="a", batch_id=batch_id, spans=spans)
+        assert (keys is None) == (not met)
+        stored = 0 if keys is None else keys.count()
+        read = [r for r in history.read_log(spark, root, table).collect() if f"{r.span}/{r.run}/{r.batch}" in met]
+        assert stored == len(read)
+        return sorted(name.rpartition("/")[2] for name in met)
+
+    assert opened(range(0, 500), 0) == []
+    assert opened(range(500, 900), 1) == []
+    assert opened([2_500_000, 30_000], 2) == []
+    assert opened(range(450, 460), 3) == ["0"]
+    assert opened([400, 600, 40_000], 4) == ["0", "1", "3"]
+    assert history.read_table(spark, root, table).count() == 903
 
 
 def test_a_row_that_repeats_often_unfolds_in_many_tasks(spark):

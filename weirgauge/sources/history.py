@@ -9,7 +9,17 @@ failure changes nothing, and no other run can overwrite it.
   A span is a range of offsets of a partition, so all rows that can share a key
   lie in one span, whatever day they carry;
 * metric windows: versions are appended, and the fullest one counts on reading,
-  so a replay of part of the events never replaces more complete windows.
+  so a replay of part of the events never replaces more complete windows.  Their
+  span is the month.
+
+Beside the rows lies an index of ranges: for every commit the lowest and highest
+offset it may hold in each cell of ``CELL`` offsets, and its days.  It is written
+before the rows, so it covers at least what is stored.  A batch opens only the
+commits whose ranges meet its own; one with new offsets opens no stored row.
+
+Compaction writes commits of its own beside the old ones and then publishes, as
+one small folder that appears at once, which commits these replace.  Readers and
+writers may work meanwhile: they see the old commits or the new, never both.
 """
 
 from __future__ import annotations
@@ -32,7 +42,7 @@ from ..contracts import (
     field_names,
 )
 from ..functions.times import iso_millis
-from ..session import path_exists
+from ..session import path_exists, put_once, remove
 
 
 @dataclass(frozen=True)
@@ -67,7 +77,11 @@ COMMIT = ("span", "day", "run", "batch")
 #: Offsets of a span; and the day of rows without a readable time.
 SPAN_OFFSETS = 1_000_000
 NO_DAY = "1970-01-01"
-COMPACTED = "compacted"
+COMPACTED = "compacted-"
+#: Offsets of one entry of the index of ranges.
+CELL = 10_000
+RANGES = "topic string, partition int, low bigint, high bigint, day date, rows bigint, span string, run string, batch bigint"
+REPLACED = "span string, day date, run string, batch bigint, by string"
 
 
 def _path(root: str, table: HistoryTable) -> str:
@@ -106,29 +120,59 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of a partition column below a path."""
-    base, files = _files(spark, path)
+def _present(spark: SparkSession, base: str, spans) -> list[str]:
+    """Folders of the spans that are there, found with one listing."""
+    pattern, files = _files(spark, f"{base}/span={{{','.join(sorted(spans))}}}")
+    return [s.getPath().toString() for s in files.globStatus(pattern) or []] if spans else []
+
+
+def _below(spark: SparkSession, base: str, schema: str, spans) -> DataFrame:
+    """Rows of a table partitioned by span, of all spans or of some, which are opened by path."""
+    paths = [base] if spans is None else _present(spark, base, spans)
+    if not paths or not path_exists(spark, base):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+
+def _ranges_path(root: str, table: HistoryTable) -> str:
+    return f"{root}/_ranges/{table.name}"
+
+
+def ranges(spark: SparkSession, root: str, table: HistoryTable, spans=None) -> DataFrame:
+    """The index: what every commit may hold."""
+    return _below(spark, _ranges_path(root, table), RANGES, spans)
+
+
+def _published(spark: SparkSession, root: str, table: HistoryTable) -> tuple[int, DataFrame | None]:
+    """Number and content of the newest list of replaced commits."""
+    base, files = _files(spark, f"{root}/_compactions/{table.name}")
     if not files.exists(base):
-        return []
+        return 0, None
     names = [s.getPath().getName() for s in files.listStatus(base)]
-    return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+    last = max([0, *(int(n.removeprefix("v=")) for n in names if n.startswith("v="))])
+    return last, spark.read.schema(REPLACED).parquet(f"{base.toString()}/v={last}") if last else None
 
 
 def read_log(spark: SparkSession, root: str, table: HistoryTable, spans=None, days=None) -> DataFrame:
     """Stored rows with the commit that wrote them, of all spans and days or of some.
 
     Given spans are opened by path, so neither the age nor the size of the rest
-    of the table adds to the file listing.  Given days prune partitions.
+    of the table adds to the file listing.  Given days prune partitions.  Commits
+    that a published compaction replaces, and unpublished compactions, are left out.
     """
     base = _path(root, table)
-    paths = [base]
-    if spans is not None:
-        paths = [p for p in (f"{base}/span={s}" for s in spans) if path_exists(spark, p)]
-        if not paths:
-            return spark.createDataFrame([], _stored_schema(table))
-    log = spark.read.schema(_stored_schema(table)).option("basePath", base).parquet(*paths)
-    return log if days is None else log.where(F.col("day").isin(list(days)))
+    if spans is None:
+        log = spark.read.schema(_stored_schema(table)).option("basePath", base).parquet(base)
+    else:
+        log = _below(spark, base, _stored_schema(table), spans)
+    if days is not None:
+        log = log.where(F.col("day").isin(list(days)))
+    _, replaced = _published(spark, root, table)
+    if replaced is None:
+        return log.where(~F.col("run").startswith(COMPACTED))
+    live = [r.by for r in replaced.select("by").distinct().collect()]
+    log = log.where(~F.col("run").startswith(COMPACTED) | F.col("run").isin(live))
+    return log.join(replaced.where("run IS NOT NULL").drop("by"), list(COMMIT), "left_anti")
 
 
 def _current(log: DataFrame, table: HistoryTable) -> DataFrame:
@@ -154,7 +198,7 @@ def _for_storage(batch: DataFrame, table: HistoryTable, run: str, batch_id: int)
         batch.schema["probability"].dataType, T.ArrayType
     ):
         batch = batch.withColumn("probability", F.to_json("probability"))
-    span = F.lit("windows")
+    span = F.coalesce(F.date_format(F.col(table.day_of), "yyyy-MM"), F.lit("none"))
     if table.key == RECORD_KEY:
         stretch = F.floor(F.col("offset") / SPAN_OFFSETS).cast("string")
         span = F.concat_ws("-", F.col("partition").cast("string"), stretch)
@@ -182,6 +226,50 @@ def _write(rows: DataFrame, root: str, table: HistoryTable) -> None:
     )
 
 
+def _note_ranges(rows: DataFrame, root: str, table: HistoryTable) -> DataFrame:
+    """Enter a commit's rows into the index, before they are stored; returns the entries."""
+    cell, of = F.lit(None).cast("bigint"), ["span", "day", "run", "batch"]
+    place = [F.lit(None).cast("string").alias("topic"), F.lit(None).cast("int").alias("partition")]
+    if table.key == RECORD_KEY:
+        cell, place = F.col("offset"), ["topic", "partition"]
+    noted = rows.select(*of, *place, cell.alias("at"))
+    entries = noted.groupBy(*of, "topic", "partition", F.floor(F.col("at") / CELL).alias("cell")).agg(
+        F.min("at").alias("low"), F.max("at").alias("high"), F.count(F.lit(1)).alias("rows")
+    )
+    entries = entries.drop("cell").coalesce(1)
+    path = _ranges_path(root, table)
+    writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("span", "run", "batch").parquet(path)
+    return entries
+
+
+def _meeting(spark: SparkSession, root: str, table: HistoryTable, run: str, batch_id: int, spans) -> list[str]:
+    """Commits (span/run/batch) of others whose ranges meet those of a commit."""
+    every = ranges(spark, root, table, spans).withColumn("cell", F.floor(F.col("low") / CELL))
+    own = (F.col("run") == run) & (F.col("batch") == batch_id)
+    mine = every.where(own).select(
+        "span", "topic", "partition", "cell", F.col("low").alias("from"), F.col("high").alias("to")
+    )
+    both = every.where(~own).join(mine, ["span", "topic", "partition", "cell"])
+    met = both.where((F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")))
+    return [r[0] for r in met.select(_commit_name()).distinct().collect()]
+
+
+def _commit_name():
+    return F.concat_ws("/", "span", "run", F.col("batch").cast("string"))
+
+
+def present_keys(
+    spark: SparkSession, root: str, table: HistoryTable, *, run: str, batch_id: int, spans
+) -> DataFrame | None:
+    """Stored keys that a noted commit may repeat, from the files whose ranges meet its own; None if there are none."""
+    met = _meeting(spark, root, table, run, batch_id, spans)
+    if not met:
+        return None
+    where = sorted({name.partition("/")[0] for name in met})
+    return read_log(spark, root, table, where).where(_commit_name().isin(met)).select(*table.key)
+
+
 def insert_absent(
     batch: DataFrame, root: str, table: HistoryTable, *, run: str, batch_id: int
 ) -> None:
@@ -190,70 +278,77 @@ def insert_absent(
     Stored rows of this very commit do not count as present, so repeating a
     batch writes the same files again.  Of equal keys inside one batch the
     smallest row, earliest time first, is kept whichever task happens to see it.
-    The driver sees the spans of the batch: partitions times offset ranges.
+    The driver sees the spans of the batch, partitions times offset ranges, and
+    the names of the commits whose ranges meet the batch's.
     """
     rows = _for_storage(batch, table, run, batch_id)
     rest = [c for c in rows.columns if c not in table.key]
     first = rows.groupBy(*table.key).agg(F.min(F.struct(*rest)).alias("v"))
     rows = first.select(*table.key, "v.*").select(*rows.columns)
+    spark = batch.sparkSession
     spans = [r.span for r in rows.select("span").distinct().collect()]
     if not spans:
         return
-    mine = (F.col("run") == run) & (F.col("batch") == batch_id)
-    stored = read_log(batch.sparkSession, root, table, spans).where(~mine).select(*table.key)
-    _write(rows.join(stored, list(table.key), "left_anti"), root, table)
+    _note_ranges(rows, root, table)
+    stored = present_keys(spark, root, table, run=run, batch_id=batch_id, spans=spans)
+    _write(rows if stored is None else rows.join(stored, list(table.key), "left_anti"), root, table)
 
 
 def append_versions(
     batch: DataFrame, root: str, *, run: str, batch_id: int, table: HistoryTable = METRICS
 ) -> None:
     """Store a new version of every window of the batch (the fullest wins)."""
-    _write(_for_storage(batch, table, run, batch_id), root, table)
+    rows = _for_storage(batch, table, run, batch_id)
+    _note_ranges(rows, root, table)
+    _write(rows, root, table)
 
 
 def compact(spark: SparkSession, root: str, table: HistoryTable, before: datetime.date) -> int:
     """Rewrite the days before a date as one commit per span and day.
 
-    Current rows are written aside first; only a complete rewrite takes the
-    place of the old commits, folder by folder, and a run that was interrupted
-    is finished by the next.  Nobody may read or write those days meanwhile.
+    The new commits count, and the old ones stop counting, when the list of
+    replaced commits is published; a run that is interrupted before leaves
+    files that nobody reads.  Rows that come in meanwhile are commits of their
+    own.  Of two compactions at a time one fails.  ``vacuum`` removes old files.
     Returns how many folders were replaced.
     """
-    aside = f"{root}/_compaction/{table.name}"
-    done = _swap(spark, root, table, aside)
+    number, replaced = _published(spark, root, table)
     log = read_log(spark, root, table).where(F.col("day") < F.lit(before))
     commits = log.groupBy("span", "day").agg(F.count_distinct("run", "batch").alias("commits"))
     many = commits.where("commits > 1").drop("commits")
-    if many.isEmpty():
-        return done
+    count = many.count()
+    if not count:
+        return 0
+    run = f"{COMPACTED}{uuid.uuid4().hex}"
     chosen = log.join(many, ["span", "day"], "left_semi")
     place = chosen.select(*table.key, "span", "day").dropDuplicates(list(table.key))
     rows = _current(chosen, table).join(place, list(table.key))
-    rows.hint("rebalance", F.col("span"), F.col("day")).write.mode("overwrite").partitionBy("span", "day").parquet(aside)
-    return done + _swap(spark, root, table, aside)
+    rows = rows.withColumns({"run": F.lit(run), "batch": F.lit(0).cast("bigint")})
+    _note_ranges(rows, root, table)
+    _write(rows, root, table)
+    listed = chosen.select(*COMMIT).distinct().withColumn("by", F.lit(run))
+    if replaced is not None:
+        listed = listed.unionByName(replaced)
+    if not put_once(listed.coalesce(1), f"{root}/_compactions/{table.name}", f"v={number + 1}"):
+        raise ContractError("another compaction was published meanwhile")
+    return count
 
 
-def _swap(spark: SparkSession, root: str, table: HistoryTable, aside: str) -> int:
-    """Put the folders of a complete rewrite in the place of the old commits."""
-    stage, files = _files(spark, aside)
-    if not files.exists(stage):
-        return 0
-    if not files.exists(_files(spark, f"{aside}/_SUCCESS")[0]):
-        files.delete(stage, True)
+def vacuum(spark: SparkSession, root: str, table: HistoryTable) -> int:
+    """Delete files that a compaction has replaced, once no reader from before it is left.
+
+    Their entries stay in the index and lead nowhere.  Returns how many folders were deleted.
+    """
+    number, replaced = _published(spark, root, table)
+    if replaced is None:
         return 0
-    count = 0
-    for span in _folders(spark, aside, "span"):
-        for day in _folders(spark, f"{aside}/span={span}", "day"):
-            part = f"span={span}/day={day}"
-            home = f"{_path(root, table)}/{part}"
-            for run in _folders(spark, home, "run"):
-                files.delete(_files(spark, f"{home}/run={run}")[0], True)
-            goal = _files(spark, f"{home}/run={COMPACTED}")[0]
-            files.mkdirs(goal)
-            files.rename(_files(spark, f"{aside}/{part}")[0], _files(spark, f"{home}/run={COMPACTED}/batch=0")[0])
-            count += 1
-    files.delete(stage, True)
-    return count
+    gone = replaced.where("run IS NOT NULL").select(*COMMIT).collect()  # one row per folder
+    for span, day, run, batch in gone:
+        remove(spark, f"{_path(root, table)}/span={span}/day={day}/run={run}/batch={batch}")
+    left = replaced.select(*[F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in STORED.split(", "))], "by")
+    if gone:
+        put_once(left.distinct().coalesce(1), f"{root}/_compactions/{table.name}", f"v={number + 1}")
+    return len(gone)
 
 
 def table_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -277,17 +372,22 @@ def recent(spark: SparkSession, root: str, table: HistoryTable, limit: int) -> D
     """Newest rows of a stored table, from as few of the newest days as hold enough.
 
     The order begins with the time that names the day, so later days come
-    first.  The number of days looked at doubles until they hold enough rows.
+    first.  The index says which days and spans there are and how many rows they
+    have at most; if they turn out to hold too few, twice as many are opened.
     """
-    base = _path(root, table)
-    days = sorted({d for s in _folders(spark, base, "span") for d in _folders(spark, f"{base}/span={s}", "day")}, reverse=True)
-    taken = 1
-    while taken < len(days):
-        some = _current(read_log(spark, root, table, days=days[:taken]), table)
-        if some.limit(limit).count() == limit:
-            break
+    noted = ranges(spark, root, table).groupBy("day").agg(F.sum("rows").alias("rows"), F.collect_set("span").alias("spans"))
+    found = noted.orderBy(F.desc("day")).collect()  # a row per day
+    taken, expected = 0, 0
+    while taken < len(found) and expected < limit:
+        expected, taken = expected + found[taken].rows, taken + 1
+
+    def newest(days) -> DataFrame:
+        spans = {s for r in days for s in r.spans}
+        return _current(read_log(spark, root, table, spans, [r.day for r in days] or [NO_DAY]), table)
+
+    while taken < len(found) and newest(found[:taken]).limit(limit).count() < limit:
         taken *= 2
-    return recent_rows(_current(read_log(spark, root, table, days=days[:taken] or [NO_DAY]), table), table, limit)
+    return recent_rows(newest(found[:taken]), table, limit)
 
 
 def recent_rows(rows: DataFrame, table: HistoryTable, limit: int) -> DataFrame:
