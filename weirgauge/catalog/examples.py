@@ -8,6 +8,8 @@ from ..functions.keys import fingerprint
 from ..operators import evaluate, examples
 from ..operators.clean import clean
 from ..operators.quality import counts_to_rows
+from ..session import scratch
+from ..sources import example_store
 from . import inputs as i
 from .registry import query
 
@@ -179,6 +181,45 @@ def _(spark, sf):
     )
 
 
+BUCKETED = 8
+
+
+def bucketed(spark, df, name):
+    """Rows with a fingerprint as a bucketed table of this session."""
+    path = scratch(spark, name)
+    return example_store.save(df, path.rpartition("/")[2].replace("-", "_"), path, BUCKETED)
+
+
+@query(
+    "q_bucketed_leakage",
+    f"WITH {LINES}\n"
+    + "\nUNION ALL ".join(
+        _pair_sql(a, b).partition("UNION ALL")[0].replace("'before' AS stage, ", "")
+        for a, b in (("train", "validation"), ("train", "test"), ("validation", "test"))
+    ),
+)
+def _(spark, sf):
+    """The leak report over stored buckets: no exchange of rows."""
+    stored = bucketed(spark, split_by_row(spark, sf), "examples")
+    return examples.leakage_report(stored, examples.PRINT, "split")
+
+
+@query(
+    "q_bucketed_delivery",
+    f"""WITH {LINES}
+SELECT DISTINCT f AS example_key, q100, d100, t100, target FROM byrow WHERE l_suppkey % 2 = 1
+  AND f NOT IN (SELECT f FROM byrow WHERE l_suppkey % 2 = 0)""",
+)
+def _(spark, sf):
+    """A delivery against the stored examples, both in buckets: new ones only, once each."""
+    rows = split_by_row(spark, sf)
+    stored, delivered = (
+        bucketed(spark, rows.where(F.col("l_suppkey") % 2 == part).select(examples.PRINT, *KEY).distinct(), name)
+        for part, name in ((0, "examples"), (1, "delivery"))
+    )
+    return example_store.new_examples(delivered, stored)
+
+
 @query(
     "q_split_distribution",
     f"""WITH {LINES}

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..contracts import ContractError, require_columns
 from ..functions.cells import cell_problem, ref
 from ..functions.labels import label_is_known, tidy_label
-from ..operators import clean, profile, quality
+from ..operators import clean, profile, quality, sketches
+from ..session import scratch
 from . import inputs as i
 from .registry import query
 
@@ -416,32 +417,86 @@ def _(spark, sf):
     return profile.duplicate_rows(lines.unionByName(lines.where(F.col("l_orderkey") % 3 == 0)))
 
 
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
 @query(
     "q_approx_distinct",
-    """SELECT c AS column_name, true AS within_15_percent FROM (VALUES ('l_orderkey'),
-  ('l_partkey'), ('l_quantity'), ('l_discount'), ('l_returnflag'), ('l_shipdate')) t(c)""",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS within_15_percent FROM lineitem"
+        for c in LINE_COLUMNS
+    ),
 )
 def _(spark, sf):
-    """The sketch against the exact distinct count of the same columns."""
-    names = ["l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"]
-    lines = i.table(spark, sf, "lineitem").select(*names)
-    long = lines.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(n).alias("column_name"), F.col(n).cast("string").alias("v"))
-                    for n in names
-                ]
-            )
-        )
-    )
+    """The sketch against the exact distinct count of every column."""
+    lines = i.table(spark, sf, "lineitem")
+    return _against_exact(profile.distinct_estimates(lines), lines).select("column_name", "exact", "within_15_percent")
+
+
+def _against_exact(estimates, rows):
+    """Estimates beside the exact distinct counts of all columns."""
+    cells = [F.struct(F.lit(n).alias("column_name"), F.col(n).cast("string").alias("v")) for n in rows.columns]
+    long = rows.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull())
     exact = long.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("exact"))
     off = F.abs(F.col("approx_distinct") - F.col("exact")) / F.col("exact")
-    return (
-        profile.distinct_estimates(lines)
-        .join(exact, "column_name")
-        .select("column_name", (off <= 0.15).alias("within_15_percent"))
+    return estimates.join(exact, "column_name").withColumn("within_15_percent", off <= 0.15)
+
+
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query(
+    "q_stored_sketches",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT ts::DATE) AS days, count(*) AS rows, count(*) - count({c}) AS null_rows, "
+        f"count(DISTINCT {c}) <= 10 AS low_cardinality, true AS within_15_percent FROM events"
+        for c in EVENT_COLUMNS
+    ),
+)
+def _(spark, sf):
+    """Sketches stored by day, some days replaced and others added later, profiled without the rows."""
+    events, path = i.table(spark, sf, "events"), scratch(spark, "sketches")
+    for first, last in ((1, 20), (15, 18), (21, 31)):
+        part = events.where(F.dayofmonth("ts").between(first, last))
+        sketches.store_days(part, F.col("ts"), path, EVENT_COLUMNS)
+    shown = _against_exact(sketches.stored_profile(spark, path), events.select(*EVENT_COLUMNS))
+    return shown.select("column_name", "days", "rows", "null_rows", "low_cardinality", "within_15_percent")
+
+
+NEAR = """near AS (
+  SELECT o_orderstatus, o_orderpriority, o_custkey, 'x' AS constant,
+    CASE WHEN o_orderkey % 100 < 3 THEN o_orderkey::VARCHAR ELSE 'usual' END AS spread,
+    CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey END AS rare,
+    CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey ELSE 7 END AS often FROM orders
+)"""
+NEAR_COLUMNS = ("o_orderstatus", "o_orderpriority", "o_custkey", "constant", "spread", "rare", "often")
+
+
+@query(
+    "q_near_constant",
+    f"WITH {NEAR}, v AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS rows FROM near GROUP BY 2" for c in NEAR_COLUMNS
+    )
+    + """), s AS (SELECT *, rows / sum(rows) OVER (PARTITION BY column_name)::DOUBLE AS share FROM v)
+SELECT column_name, value, rows, round(share, 6) AS share FROM s WHERE share >= 0.95""",
+)
+def _(spark, sf):
+    """Nearly constant columns whatever the number of their values, NULL counted as one."""
+    key = F.col("o_orderkey")
+    orders = i.table(spark, sf, "orders").select(
+        "o_orderstatus",
+        "o_orderpriority",
+        "o_custkey",
+        F.lit("x").alias("constant"),
+        F.when(key % 100 < 3, key.cast("string")).otherwise("usual").alias("spread"),
+        F.when(key % 50 == 0, key).alias("rare"),
+        F.when(key % 10 == 0, key).otherwise(7).alias("often"),
     )
+    return sketches.near_constant(orders)
 
 
 @query("q_constant_columns", "SELECT 'IPv' AS column_name")

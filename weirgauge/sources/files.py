@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..contracts import ContractError, FlowContract
-from ..operators.ordering import first_per_group
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -60,17 +64,46 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return files
 
 
-def headers(spark: SparkSession, path: str) -> DataFrame:
-    """First line of every file.
+def one_split_per_file(spark: SparkSession) -> SparkSession:
+    """A session that gives every file, or block of a large file, a task of its own."""
+    side = spark.newSession()
+    for name in ("session.timeZone", "files.maxPartitionBytes"):
+        side.conf.set(f"spark.sql.{name}", spark.conf.get(f"spark.sql.{name}"))
+    side.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return side
+
 
-    Only the block that starts at offset 0 can hold it; within that block the
-    lines are read in order, so the smallest row id is the first line.  One
-    candidate per map task and file crosses the network.
+def heads(lines: DataFrame, rows: int, position: str = "position") -> DataFrame:
+    """The first rows of every file of a scan with columns ``file`` and ``block``.
+
+    A task reads one file and stops when it has its rows: no more of the file is
+    read than the batches (of ``spark.sql.execution.arrow.maxRecordsPerBatch``
+    rows) that hold them.  Blocks that do not begin a file are left at once.
+    The lines must come from a session of ``one_split_per_file``.
     """
-    first = csv_lines(spark, path).where(F.col("block") == 0)
-    numbered = first.withColumn("row", F.monotonically_increasing_id())
-    line = F.regexp_replace(F.col("value"), "^\ufeff", "")
-    return numbered.groupBy("file").agg(F.min_by(line, F.col("row")).alias("header"))
+
+    def first(batches) -> Iterator[pa.RecordBatch]:
+        taken: dict[str, int] = {}
+        for batch in batches:
+            if not batch.num_rows or batch["block"][0].as_py():
+                return
+            for name in pc.unique(batch["file"]).to_pylist():
+                part = batch.filter(pc.equal(batch["file"], name))
+                part = part.slice(0, rows - taken.get(name, 0))
+                before = taken.get(name, 0)
+                taken[name] = before + part.num_rows
+                numbers = pa.array(range(before + 1, before + part.num_rows + 1), pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, numbers], [*part.schema.names, position])
+            if len(taken) == 1 and min(taken.values()) >= rows:
+                return
+
+    return lines.mapInArrow(first, StructType([*lines.schema.fields, StructField(position, LongType())]))
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """First line of every file; of each file only its beginning is read."""
+    first = heads(csv_lines(one_split_per_file(spark), path), 1)
+    return first.select("file", F.regexp_replace(F.col("value"), "^\ufeff", "").alias("header"))
 
 
 def audit_headers(spark: SparkSession, path: str, required) -> DataFrame:
@@ -96,16 +129,13 @@ def audit_headers(spark: SparkSession, path: str, required) -> DataFrame:
 
 
 def sample_per_file(spark: SparkSession, path: str, contract: FlowContract, rows: int) -> DataFrame:
-    """The first rows of every file, read strictly so that a short row fails.
+    """The first rows of every file, read strictly so that a short row among them fails.
 
-    Rows are ordered by block and then by place in the block.
+    Of each file only its beginning is read.
     """
     if rows < 1:
         raise ContractError("rows per file must be positive")
-    lines = strict_scan(spark, path, contract).select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__row"),
+    lines = strict_scan(one_split_per_file(spark), path, contract).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
-    return first_per_group(lines, "file", ("__block", "__row"), rows).drop("__block", "__row")
+    return heads(lines, rows).drop("block")
