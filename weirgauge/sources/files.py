@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..contracts import ContractError, FlowContract
+from ..session import scratch
+
+#: Files whose first rows one job reads, and bytes of a split that no file exceeds.
+FILES_PER_JOB = 256
+WHOLE_FILE = 1 << 50
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -64,45 +67,42 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return files
 
 
-def one_split_per_file(spark: SparkSession) -> SparkSession:
-    """A session that gives every file, or block of a large file, a task of its own."""
+def _whole_files(spark: SparkSession) -> SparkSession:
+    """A session in which a file is one split, however large."""
     side = spark.newSession()
-    for name in ("session.timeZone", "files.maxPartitionBytes"):
-        side.conf.set(f"spark.sql.{name}", spark.conf.get(f"spark.sql.{name}"))
-    side.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    side.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    side.conf.set("spark.sql.files.maxPartitionBytes", str(WHOLE_FILE))
     return side
 
 
-def heads(lines: DataFrame, rows: int, position: str = "position") -> DataFrame:
-    """The first rows of every file of a scan with columns ``file`` and ``block``.
+def head(rows: DataFrame, count: int) -> DataFrame:
+    """The first rows of one file that is one split, numbered from 1.
 
-    A task reads one file and stops when it has its rows: no more of the file is
-    read than the batches (of ``spark.sql.execution.arrow.maxRecordsPerBatch``
-    rows) that hold them.  Blocks that do not begin a file are left at once.
-    The lines must come from a session of ``one_split_per_file``.
+    The limit stops the task, which closes the file: no more of it is read.
     """
+    return rows.limit(count).withColumn("position", F.monotonically_increasing_id() + 1)
+
 
-    def first(batches) -> Iterator[pa.RecordBatch]:
-        taken: dict[str, int] = {}
-        for batch in batches:
-            if not batch.num_rows or batch["block"][0].as_py():
-                return
-            for name in pc.unique(batch["file"]).to_pylist():
-                part = batch.filter(pc.equal(batch["file"], name))
-                part = part.slice(0, rows - taken.get(name, 0))
-                before = taken.get(name, 0)
-                taken[name] = before + part.num_rows
-                numbers = pa.array(range(before + 1, before + part.num_rows + 1), pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns, numbers], [*part.schema.names, position])
-            if len(taken) == 1 and min(taken.values()) >= rows:
-                return
+def heads(spark: SparkSession, path: str, count: int, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """The first rows of every CSV file below a folder, as a stored table.
 
-    return lines.mapInArrow(first, StructType([*lines.schema.fields, StructField(position, LongType())]))
+    One job reads FILES_PER_JOB files side by side.  The driver holds file names.
+    """
+    side, out = _whole_files(spark), scratch(spark, "heads")
+    names = [r.file for r in inventory(spark, path).select("file").collect()]
+    for first in range(0, len(names), FILES_PER_JOB):
+        parts = [head(read(side, name), count) for name in names[first : first + FILES_PER_JOB]]
+        reduce(DataFrame.unionByName, parts).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:
     """First line of every file; of each file only its beginning is read."""
-    first = heads(csv_lines(one_split_per_file(spark), path), 1)
+
+    def lines(side: SparkSession, name: str) -> DataFrame:
+        return side.read.text(name).select(F.col("_metadata.file_path").alias("file"), "value")
+
+    first = heads(spark, path, 1, lines)
     return first.select("file", F.regexp_replace(F.col("value"), "^\ufeff", "").alias("header"))
 
 
@@ -135,7 +135,8 @@ def sample_per_file(spark: SparkSession, path: str, contract: FlowContract, rows
     """
     if rows < 1:
         raise ContractError("rows per file must be positive")
-    lines = strict_scan(one_split_per_file(spark), path, contract).select(
-        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
-    return heads(lines, rows).drop("block")
+
+    def lines(side: SparkSession, name: str) -> DataFrame:
+        return strict_scan(side, name, contract).select("*", F.col("_metadata.file_path").alias("file"))
+
+    return heads(spark, path, rows, lines)
