@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-from .run_table import LONGEST, RunTable, mixed, words_of
+from .run_table import LONGEST, RunTable, reorder
 
 TOGETHER = 256
 
@@ -29,14 +29,6 @@ KINDS[list(b"!),.:;?")] = 3
 FAR_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def _reorder(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for runs taken in another order."""
-    before = np.cumsum(counts) - counts
-    taken = counts[order]
-    through = np.cumsum(taken)
-    return ids[np.arange(len(ids)) + np.repeat(before[order] - through + taken, taken)], taken
-
-
 class ByteWords:
     """``specials`` says whether special tokens within a text are recognised."""
 
@@ -86,28 +78,12 @@ class ByteWords:
         inside = np.add.reduceat(inner, starts, dtype=np.int64) > 0 if len(starts) else np.zeros(0, bool)
 
         def learn(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            order = np.argsort(inside[which], kind="stable")
+            which = which[order]
             spans = zip(starts[which].tolist(), (starts[which] + lengths[which]).tolist())
-            return self._learn([data[a:b].decode() for a, b in spans], int(inside[which].sum()))
-
-        short = np.flatnonzero(lengths <= LONGEST)
-        words, sizes = words_of(padded, starts[short], lengths[short]), lengths[short]
-        slots = self.runs.find(words, sizes)
-        while len(missing := np.flatnonzero(slots < 0)):
-            _, first = np.unique(mixed(words[missing], sizes[missing]), return_index=True)
-            pick = missing[first]
-            pick = pick[np.argsort(inside[short[pick]], kind="stable")]
-            self.runs.add(words[pick], sizes[pick], *learn(short[pick]))
-            slots = self.runs.find(words, sizes)  # new entries may have moved the old ones
-        ids, counts = self.runs.gather(slots)
-        long = np.flatnonzero(lengths > LONGEST)
-        if len(long):
-            order = np.argsort(inside[long], kind="stable")
-            others, their = _reorder(*learn(long[order]), np.argsort(order))
-            every = np.zeros(len(lengths), np.int64)
-            every[short], every[long] = counts, their
-            through = np.append(0, np.cumsum(counts))
-            ids = np.insert(ids, np.repeat(through[np.searchsorted(short, long)], their), others)
-            counts = every
+            return reorder(*self._learn([data[a:b].decode() for a, b in spans], int(inside[which].sum())), np.argsort(order))
+
+        ids, counts = self.runs.encode(padded, starts, lengths, learn)
         through = np.append(0, np.cumsum(counts))
         edges = through[np.searchsorted(starts, begins)].tolist()
         return [ids[a:b] for a, b in zip(edges, edges[1:])]

@@ -21,17 +21,22 @@ from pyspark.sql import functions as F
 
 from .batches import discard, raw, slices, store, stored
 from .registry import query, table
+from .run_table import LONGEST, RunTable
 
 LENGTH = 2048
 END_ID = 1
 VECTOR_DIMS = 512
 AXES = 4
 AXIS_BITS = 8
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_200_000
-LONG_WORD = 64
 TOGETHER = 256
 
+# Bytes that are white space (1), letters and digits (2), and marks that end a word (3).
+KINDS = np.zeros(256, np.uint8)
+KINDS[list(b" \t\n\v\f\r")] = 1
+KINDS[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = 2
+KINDS[list(b"!),.:;?")] = 3
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
 TOKENS = pa.schema([("doc", pa.binary()), ("n", pa.int64()), ("place", pa.int64()), ("ids", pa.binary())])
 PIECES = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -97,8 +102,8 @@ class WordIds:
     """Token ids of texts by way of their words, each encoded once and kept.
 
     The tokenizer drops white space and never joins what it parts, so a text's
-    ids are those of its words in turn.  New words are encoded many at a time,
-    parted by a special token.
+    ids are those of its runs between white space and marks in turn.  New runs
+    are encoded many at a time, parted by a special token.
     """
 
     def __init__(self, file: str):
@@ -117,8 +122,7 @@ class WordIds:
         if suffix:
             self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.end = np.array([END_ID], self.kind).tobytes()
+        self.runs = RunTable(np.dtype(self.kind))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -170,21 +174,39 @@ class WordIds:
         found.update(zip((w for w, _ in alone), (i.tobytes() for i in self._encode([t for _, t in alone]))))
         return found
 
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        known, flat = self.known, [w for ws in words for w in ws]
-        held = list(map(known.get, flat))
-        if None in held:
-            new = self.learn({w for w, ids in zip(flat, held) if ids is None})
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-            known.update((w, ids) for w, ids in new.items() if len(w) <= LONG_WORD)
-            held = [new[w] if ids is None else ids for w, ids in zip(flat, held)]
-        out, at = [], 0
-        for ws in words:
-            out.append(b"".join(held[at : at + len(ws)]) + self.end)
-            at += len(ws)
-        return out
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text and the end id, by way of its runs between white space and marks.
+
+        Letters are made lower before runs are looked up, as the tokenizer makes
+        them, unless that could turn a text into a special token.
+        """
+        data = b" ".join(texts) + b" "
+        padded = np.frombuffer(data + bytes(LONGEST + 8), np.uint8)
+        if not any(m[:2] in data for m in self.marks):
+            padded = LOWER[padded]
+        kinds = KINDS[padded[: len(data)]]
+        before = np.append(np.uint8(1), kinds[:-1])
+        begins = (kinds != 1) & ((before == 1) | (kinds == 3) & (before == 2))
+        edges = np.flatnonzero(begins | (kinds == 1) & (before != 1))
+        is_start = begins[edges]
+        starts = edges[is_start]
+        lengths = np.append(edges[1:], len(data))[is_start] - starts
+        whole = padded.tobytes()
+
+        def learn(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            spans = zip(starts[which].tolist(), (starts[which] + lengths[which]).tolist())
+            runs = [whole[a:b] for a, b in spans]
+            found = self.learn(set(runs))
+            parts = [found[r] for r in runs]
+            counts = np.array([len(x) for x in parts], np.int64) // np.dtype(self.kind).itemsize
+            return np.frombuffer(b"".join(parts), self.kind), counts
+
+        ids, counts = self.runs.encode(padded, starts, lengths, learn)
+        through = np.append(0, np.cumsum(counts))
+        stops = through[np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))]
+        closed = np.insert(ids, stops, END_ID)
+        edges = [0, *(stops + np.arange(1, len(texts) + 1)).tolist()]
+        return [closed[a:b] for a, b in zip(edges, edges[1:])]
 
 
 _encoders: dict[str, WordIds] = {}
@@ -201,14 +223,13 @@ def _tokenizing(file: str):
         words = encoder(file)
         for batch in batches:
             for first, texts in slices(batch["text"]):
-                ids = words.ids(texts)
-                arrays = [np.frombuffer(i, words.kind) for i in ids]
+                arrays = words.ids(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc"].slice(first, len(texts)),
                         pa.array([len(a) for a in arrays], pa.int64()),
                         pa.array(curve_place(arrays), pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        pa.array([a.tobytes() for a in arrays], pa.binary()),
                     ],
                     ["doc", "n", "place", "ids"],
                 )

@@ -103,3 +103,34 @@ class RunTable:
         through = np.cumsum(counts)
         at = np.arange(through[-1] if len(through) else 0) + np.repeat(self.firsts[slots].astype(np.int64) - through + counts, counts)
         return self.ids[at], counts
+
+    def encode(self, padded: np.ndarray, starts: np.ndarray, lengths: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs in turn, how many each has).
+
+        ``learn`` gives the same for an array of run numbers; it is asked once
+        for every short run that is not in the table, and for each long one.
+        """
+        short, long = np.flatnonzero(lengths <= LONGEST), np.flatnonzero(lengths > LONGEST)
+        words, sizes = words_of(padded, starts[short], lengths[short]), lengths[short]
+        slots = self.find(words, sizes)
+        while len(missing := np.flatnonzero(slots < 0)):
+            _, first = np.unique(mixed(words[missing], sizes[missing]), return_index=True)
+            pick = missing[first]
+            self.add(words[pick], sizes[pick], *learn(short[pick]))
+            slots = self.find(words, sizes)  # new entries may have moved the old ones
+        ids, counts = self.gather(slots)
+        if not len(long):
+            return ids, counts
+        others, their = learn(long)
+        every = np.zeros(len(lengths), np.int64)
+        every[short], every[long] = counts, their
+        through = np.append(0, np.cumsum(counts))
+        return np.insert(ids, np.repeat(through[np.searchsorted(short, long)], their), others), every
+
+
+def reorder(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of runs, given in turn, for the runs in another order."""
+    before = np.cumsum(counts) - counts
+    taken = counts[order]
+    through = np.cumsum(taken)
+    return ids[np.arange(len(ids)) + np.repeat(before[order] - through + taken, taken)], taken
