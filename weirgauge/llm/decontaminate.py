@@ -171,7 +171,7 @@ def find_hits(
     out: str = "found",
     chunk_windows: int = CHUNK_WINDOWS,
 ) -> DataFrame:
-    """Add ``out``: struct of n_words, hits (flat [start, end) pairs), items.
+    """Add ``out``, with underscores if there is such a column: struct of n_words, hits (flat [start, end) pairs), items.
 
     Every document keeps its row and its other columns; nothing is shuffled.
     The benchmark is broadcast in chunks of bounded size; with more than one
@@ -189,7 +189,7 @@ def find_hits(
         if held is not None:
             flat = stored(_pass(flat, held, text, name), "hits")
         held = part
-    return _pass(flat, held, text, name).withColumnRenamed(name, out)
+    return _pass(flat, held, text, name)
 
 
 def _pass(df: DataFrame, items: list[tuple], text: str, name: str) -> DataFrame:

@@ -180,7 +180,7 @@ def fit(docs: DataFrame, key: Column, *, text: str = "text", lang: str = "lang")
 def identify(
     docs: DataFrame, model: Languages, *, text: str = "text", min_cosine: float = 0.0, out: str = "language"
 ) -> DataFrame:
-    """Add ``out``: struct of lang and score (the cosine, 0 to 1).
+    """Add ``out``, with underscores if there is such a column: struct of lang and score (the cosine, 0 to 1).
 
     ``und`` with score 0 for NULL, empty and letterless texts; ``und`` with its
     score for a text whose best cosine is below ``min_cosine``.  Nothing is
@@ -206,7 +206,7 @@ def identify(
 
     name = fresh(docs, out)
     letters = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn(name, judge(raw(text), letters)).withColumnRenamed(name, out)
+    return docs.withColumn(name, judge(raw(text), letters))
 
 
 @query("op8_language")

@@ -170,7 +170,7 @@ class Templates:
 
 
 def declared(files: DataFrame, *, path: str = "path", text: str = "text", least: float = LEAST_COSINE, out: str = "declared") -> DataFrame:
-    """Add ``out``: struct of licence and cosine, NULL and 0 if nothing is near.
+    """Add ``out``, with underscores if there is such a column: struct of licence and cosine, NULL and 0 if nothing is near.
 
     NULL and empty texts declare nothing.  Other columns stay; nothing is
     shuffled; equal texts are judged alike.
@@ -188,7 +188,7 @@ def declared(files: DataFrame, *, path: str = "path", text: str = "text", least:
 
     name = fresh(files, out)
     whole = F.coalesce(F.col(f"`{path}`").rlike(LICENCE_FILE), F.lit(False))
-    return files.withColumn(name, judge(raw(text), whole)).withColumnRenamed(name, out)
+    return files.withColumn(name, judge(raw(text), whole))
 
 
 def directory(path: Column) -> Column:
@@ -223,17 +223,17 @@ def inherited(files: DataFrame, *, path: str = "path", found: str = "declared")
 
 
 def scan(files: DataFrame, *, path: str = "path", text: str = "text", out: str = "licence") -> DataFrame:
-    """Add ``out``: struct of licence, origin (text, directory, none), cosine and from_dir.
+    """Add ``out``, with underscores if there is such a column: struct of licence, origin (text, directory, none), cosine and from_dir.
 
     A NULL path lies in the root directory.  ``text`` is dropped; all other
     columns and every row are kept.
     """
     own = [c for c in files.columns if c != text]
-    name = fresh(files, out)
+    name, held = fresh(files, out), fresh(files, "declared")
     rows = stored(
-        declared(files, path=path, text=text, out="declared_" + name).select(
+        declared(files, path=path, text=text, out=held).select(
             F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{path}`").alias("path"),
-            F.col(f"`declared_{name}`").alias("declared"),
+            F.col(held).alias("declared"),
         ),
         "licences",
     )
@@ -246,7 +246,7 @@ def scan(files: DataFrame, *, path: str = "path", text: str = "text", out: str =
         F.col("declared.cosine").alias("cosine"),
         F.when(mine.isNull(), F.col("from_dir")).alias("from_dir"),
     )
-    return joined.select("row", answer.alias(name)).select(*[F.col(f"row.`{c}`") for c in own], name).withColumnRenamed(name, out)
+    return joined.select("row", answer.alias(name)).select(*[F.col(f"row.`{c}`") for c in own], name)
 
 
 @query("op5_licences")

@@ -153,7 +153,8 @@ def _featured(batches):
 def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str = "text", grade: str = "grade") -> OrdinalModel:
     """Fit on at most ``FIT_ROWS`` rated documents, those with the smallest key hashes.
 
-    A document with several ratings has its lowest.  Rows without grade, text
+    Of rows with the same key the text with the smallest hash is learned.  A
+    document with several ratings has its lowest.  Rows without grade, text
     or key are not learned from; without any row the model has no opinion and
     passes everything.
     """
@@ -166,9 +167,11 @@ def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str =
     )
     texts = docs.select(F.col(f"`{key}`").alias("key"), raw(text).alias("text")).where("text IS NOT NULL")
     # FIT_ROWS pairs of numbers: a size known before anything is read.
-    sample = texts.join(F.broadcast(rated), "key").select("grade", "text")
+    sample = texts.join(F.broadcast(rated), "key").groupBy("key", "grade").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    ).select("grade", "text")
     found = sample.mapInArrow(_featured, "grade int, place binary, value binary")
-    rows = sorted((r.grade, bytes(r.place), bytes(r.value)) for r in found.limit(2 * FIT_ROWS).toLocalIterator())
+    rows = sorted((r.grade, bytes(r.place), bytes(r.value)) for r in found.toLocalIterator())
     if not rows:
         return OrdinalModel(np.zeros(DIMS), np.full(GRADES - 1, -40.0))
     grades = np.array([g for g, _, _ in rows], np.int64)
@@ -181,7 +184,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str =
 
 
 def grade_texts(docs: DataFrame, model: OrdinalModel, *, text: str = "text", out: str = "quality") -> DataFrame:
-    """Add ``out``: struct of expected_grade and tail_probability (highest grade).
+    """Add ``out``, with underscores if there is such a column: struct of expected_grade and tail_probability (highest grade).
 
     A NULL or empty text has no features and gets what the thresholds alone
     say.  Other columns stay; nothing is shuffled; equal texts get equal grades.
@@ -198,7 +201,7 @@ def grade_texts(docs: DataFrame, model: OrdinalModel, *, text: str = "text", out
         )
 
     name = fresh(docs, out)
-    return docs.withColumn(name, judge(raw(text))).withColumnRenamed(name, out)
+    return docs.withColumn(name, judge(raw(text)))
 
 
 def rating() -> Column:

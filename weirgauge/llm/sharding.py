@@ -127,7 +127,7 @@ def _name(bucket: Column) -> Column:
 
 
 def assign(df: DataFrame, key: Column, size: Column, limit: int = SHARD_BYTES, out: str = "shard") -> DataFrame:
-    """Add ``out``: struct of name, depth, bytes and rows of each row's shard.
+    """Add ``out``, with underscores if there is such a column: struct of name, depth, bytes and rows of each row's shard.
 
     ``name`` is the bits of the bucket, "" if one shard holds everything.  No
     shard exceeds ``limit`` bytes unless a single row does.  Rows that share a
@@ -165,7 +165,7 @@ def assign(df: DataFrame, key: Column, size: Column, limit: int = SHARD_BYTES, o
         F.col("bucket.rows").alias("rows"),
     )
     name = fresh(df, out)
-    return joined.select(*[F.col(f"row.`{c}`") for c in own], shard.alias(name)).withColumnRenamed(name, out)
+    return joined.select(*[F.col(f"row.`{c}`") for c in own], shard.alias(name))
 
 
 ORACLE = f"""

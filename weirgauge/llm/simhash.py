@@ -33,6 +33,7 @@ from pyspark.sql.functions import arrow_udf
 from .batches import fresh, raw, spans, stored
 from .components import connected
 from .registry import query, table
+from .substrings import in_order
 
 SEED = 42
 #: Trees are planned on a sample of at most so many fingerprints, those with the smallest hashes.
@@ -426,7 +427,7 @@ def verified(members: DataFrame, bits: int, both_bits: int, least: float) -> Dat
 
 
 def keep_one(
-    docs: DataFrame, *, text: str = "text", width: int = 5, bits: int = 22, both_bits: int = 32, least: float = 0.8
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, bits: int = 22, both_bits: int = 32, least: float = 0.8
 ) -> DataFrame:
     """One document of every group of near copies, with all columns.
 
@@ -434,12 +435,13 @@ def keep_one(
     five-word shingles is ``least`` or more.  Pairs are proposed by
     fingerprints of the sets, which must agree in all but ``bits`` places of
     one and all but ``both_bits`` of two, and only those are compared.  Groups
-    are connected components of links; the first row of a group in the table's
-    order stays.  Equal sets are one value; wordless texts are one group.
+    are connected components of links; the row with the smallest key stays, of
+    equal keys the shortest text, then that with the smallest hash; NULL keys
+    come last.  Equal sets are one value; wordless texts are one group.
     Repeated rows are copies like any others.
     """
     number = fresh(docs, "row")
-    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "documents")
+    rows = stored(in_order(docs, key, text, number), "documents")
     prints = rows.select(F.col(number).alias("row"), sketch(width)(raw(text)).alias("f"))
     flat = stored(prints.select("row", "f.*"), "prints")
     sets = flat.groupBy("first", "second", "content").agg(F.min("row").alias("node"), F.min("shingles").alias("shingles"))

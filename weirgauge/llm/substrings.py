@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .batches import discard, raw, slices, store, stored
+from .batches import discard, fresh, raw, slices, store, stored
 from .fm_index import FMIndex
 from .registry import query, table
 
@@ -260,11 +260,11 @@ def _kept(batches) -> Iterator[pa.RecordBatch]:
         )
 
 
-def in_order(docs: DataFrame, key: str) -> DataFrame:
-    """Add bigint ``pos``, unique and ordered by key.
+def in_order(docs: DataFrame, key: str, text: str = "text", out: str = "pos") -> DataFrame:
+    """Add bigint ``out``, unique and ordered by key.
 
     Unique keys are their own positions.  Otherwise rows are numbered along a
-    range sort: equal keys in no particular order, NULL keys last.
+    range sort: equal keys by length and hash of ``text``, NULL keys last.
     """
     name = F.col(f"`{key}`")
     whole = docs.schema[key].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
@@ -272,16 +272,18 @@ def in_order(docs: DataFrame, key: str) -> DataFrame:
         # A key that is NULL or repeated shows in exact counts of the key column alone.
         repeated = docs.groupBy(name.alias("k")).count().where("k IS NULL OR count > 1")
         if repeated.isEmpty():
-            return docs.withColumn("pos", name.cast("bigint"))
-    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "documents")
-    order = [F.asc_nulls_last(f"`{key}`"), F.asc("row")]
+            return docs.withColumn(out, name.cast("bigint"))
+    row = fresh(docs, out + "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    order = [F.asc_nulls_last("key"), F.asc("size"), F.asc("mark"), F.asc(row)]
+    own = [name.alias("key"), F.octet_length(F.col(f"`{text}`")).alias("size"), F.xxhash64(raw(text)).alias("mark")]
     ranged = stored(
-        rows.select(f"`{key}`", "row").repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order"
+        rows.select(*own, row).repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order"
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) + F.col("base")
-    return rows.join(ranged.join(sizes, "part").select("row", place.cast("bigint").alias("pos")), "row").drop("row")
+    return rows.join(ranged.join(sizes, "part").select(row, place.cast("bigint").alias(out)), row).drop(row)
 
 
 def release(spark: SparkSession) -> None:
@@ -377,9 +379,11 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
     A document that loses words becomes its other words joined by blanks; any
     other keeps its text as it is.  All columns are kept.  NULL and empty texts
-    have no words.  Rows with one key are ordered among themselves at will; rows
-    with NULL keys come last.
+    have no words.  Rows with one key are ordered by length and hash of their
+    text; rows with NULL keys come last.  A document that has a column
+    ``n_removed`` keeps it, and the count gets underscores.
     """
+    count = fresh(docs, "n_removed")
     name = lambda c: F.col(f"`{c}`")
     packed = docs.select(
         F.struct(*[name(c) for c in docs.columns]).alias("doc"), name(key).alias("key"), raw(text).alias("text")
@@ -391,8 +395,8 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     whole = rows.drop("key", "text").join(changed, "pos", "left")
     own = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c != text]
     left = F.coalesce("kept", F.col(f"doc.`{text}`")).alias(text)
-    removed = F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed")
-    return whole.select(*own, left, removed).select(*[name(c) for c in docs.columns], "n_removed")
+    removed = F.coalesce("n_removed", F.lit(0)).cast("bigint").alias(count)
+    return whole.select(*own, left, removed).select(*[name(c) for c in docs.columns], count)
 
 
 def _digested(batches) -> Iterator[pa.RecordBatch]:
