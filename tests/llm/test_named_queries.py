@@ -1,7 +1,9 @@
 """Registered queries that SQL cannot state, against plain versions over whole tables."""
 
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -42,6 +44,29 @@ def test_packed_pieces(spark, sf_dir, docs):
     assert len(full) == sum(taken.values()) // 2048 and max(ends.values()) == 2048
 
 
+def nearest_of_all_spans(templates, text):
+    """Every span of every template's length, by the definition alone."""
+    words = licences.words_of(text.encode())
+    marks = set(licences.decisive_places(words))
+    denied = [w in licences.NEGATIONS for w in words]
+    best = (0.0, None)
+    for name, theirs, wanted in zip(templates.names, templates.words, templates.decisive):
+        length = min(len(theirs), len(words))
+        vector = dict(templates.weigh(licences.terms_of(theirs)))
+        for at in range(len(words) - length + 1):
+            span = words[at : at + length]
+            if {words[k] for k in marks & set(range(at, at + length))} != wanted:
+                continue
+            if sum(denied[max(0, at - licences.BEFORE) : at + length]) > sum(w in licences.NEGATIONS for w in theirs):
+                continue
+            counts = Counter(span) + Counter(zip(span, span[1:]))
+            raw = {t: (1 + math.log(n)) * templates.rarity.get(t, templates.rarest) for t, n in counts.items()}
+            cosine = sum(w * vector.get(t, 0) for t, w in raw.items()) / math.sqrt(sum(w * w for w in raw.values()))
+            if cosine >= licences.LEAST_COSINE and cosine > best[0] + 1e-9:
+                best = (cosine, templates.named(name, words[at + length : at + length + licences.AFTER]))
+    return best
+
+
 def test_licences_of_all_documents(spark, sf_dir, docs):
     templates, own, paths = licences.Templates(), {}, {}
     opens = re.compile(r"\s*(licensed|released|this work is licensed|all rights reserved)", re.I)
@@ -50,10 +75,8 @@ def test_licences_of_all_documents(spark, sf_dir, docs):
         base = f"{r.source or '-'}/{r.lang or '-'}/{r.doc_id // 1000}"
         licence_file = bool(opens.match(text))
         paths[r.doc_id] = f"{base}/LICENSE.{r.doc_id}" if licence_file else f"{base}/{r.doc_id // 100}/doc-{r.doc_id}"
-        lines = [templates.nearest(x.encode()) for x in text.split("\n")]
-        lines += [templates.nearest(text.encode())] if licence_file else []
-        best = max(lines, key=lambda x: x[0])
-        own[r.doc_id] = best if best[0] >= licences.LEAST_COSINE else (0.0, None)
+        own[r.doc_id] = nearest_of_all_spans(templates, text)
+    assert len({name for _, name in own.values()}) >= 5
     folders = {}
     for key, path in paths.items():
         if "/LICENSE." in path and own[key][1]:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weirgauge.llm import decontaminate, language, licences, quality
+from weirgauge.llm import decontaminate, language, licence_texts, licences, quality
 
 DOCS = "doc_id bigint, text string"
 ITEMS = "item_id bigint, text string"
@@ -146,9 +146,9 @@ def test_licences_are_declared_and_inherited(spark):
         [
             ("None", None, "none", None),
             ("a/LICENSE", "MIT", "text", None),
-            ("a/b/c/COPYING.txt", "GPL-3.0", "text", None),
-            ("a/b/c/d/deep.c", "GPL-3.0", "directory", "a/b/c"),
-            ("a/b/c/d/deep.c", "GPL-3.0", "directory", "a/b/c"),
+            ("a/b/c/COPYING.txt", "GPL-3.0-only", "text", None),
+            ("a/b/c/d/deep.c", "GPL-3.0-only", "directory", "a/b/c"),
+            ("a/b/c/d/deep.c", "GPL-3.0-only", "directory", "a/b/c"),
             ("a/b/code.c", "Apache-2.0", "text", None),
             ("a/b/other.c", "MIT", "directory", "a"),
             ("a/empty.c", "MIT", "directory", "a"),
@@ -158,9 +158,14 @@ def test_licences_are_declared_and_inherited(spark):
         ]
     )
     assert licences.scan(df.where("false")).collect() == []
-    assert all(licences.Templates().scan(t.encode(), False)[1] == n for n, t in licences.TEMPLATES)
+    known = licences.Templates()
+    assert all(known.scan(t.encode())[1] == known.named(n, []) for n, t in licence_texts.templates())
 
 
+NOTICE = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the {} as published by "
+    "the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+)
 STATEMENTS = [
     ("Copyright (c) 2020 Foo Corp. All rights reserved.", "Proprietary"),
     ("Copyright (c) 2020 Jane Doe. Licensed under the MIT license.", "MIT"),
@@ -168,9 +173,26 @@ STATEMENTS = [
     ("Photo of a river by someone, and it is licensed under CC BY 4.0 on Flickr", "CC-BY-4.0"),
     ("Photo of a river by someone, and it is licensed under CC BY-SA 4.0 on Flickr", "CC-BY-SA-4.0"),
     ("# Some tool of ours. Licensed\n# under the Apache License,\n# Version 2.0 and no other, as was said", "Apache-2.0"),
-    ("Our whole library is licensed under the GNU General Public License, version 2 as we all know", "GPL-2.0"),
+    ("Our whole library is licensed under the GNU General Public License, version 2 as we all know", "GPL-2.0-only"),
     ("// SPDX-License-Identifier: MIT", "MIT"),
     ("/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */ int x;", "GPL-2.0-only OR BSD-3-Clause"),
+    *((NOTICE.format(f"GNU {name}General Public License", v), f"{licence}-{full}-or-later") for name, licence, v, full in (
+        ("", "GPL", "2", "2.0"), ("", "GPL", "3", "3.0"), ("Lesser ", "LGPL", "2.1", "2.1"), ("Affero ", "AGPL", "3", "3.0"))),
+    ("Licensed under the GNU Library General Public License, version 2 or (at your option) any later version", "LGPL-2.0-or-later"),
+    ("licensed under the GNU General Public License, version 4", None),
+    (licence_texts.BSD_SENTENCE + "\n1. " + licence_texts.BSD_SOURCE + "\n2. " + licence_texts.BSD_BINARY + "\n" + licence_texts.BSD_WARRANTY, "BSD-2-Clause"),
+    (licence_texts.BSD_SENTENCE + "\n1. " + licence_texts.BSD_SOURCE + "\n2. " + licence_texts.BSD_BINARY + "\n3. "
+     + licence_texts.BSD_NAMES.replace("the copyright holder", "the Foo Project") + licence_texts.BSD_WARRANTY, "BSD-3-Clause"),
+    ("This product is under the Apache License, Version 1.1", "Apache-1.1"),
+    ("Licensed under the Apache License, Version 3.0", None),
+    ("It is licensed under CC BY 3.0", "CC-BY-3.0"),
+    ("It is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"),
+    ("It is licensed under CC BY-ND 4.0", "CC-BY-ND-4.0"),
+    (licence_texts.ISC_GRANT + '. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS', "0BSD"),
+    (licence_texts.ISC_GRANT + ", provided that the above copyright notice and this permission notice appear in all copies.", "ISC"),
+    ("This code is NOT released under the MIT License", None),
+    ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the License)", "MPL-1.1"),
+    ("made available under the terms of the Eclipse Public License v2.0 which is available at", "EPL-2.0"),
     ("They gave up all rights to the house and were paid for it", None),
     ("The school was released from the plan under the public license office", None),
 ]

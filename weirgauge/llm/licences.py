@@ -1,15 +1,16 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance by directory.
 
-Every line of a text, and the text of a licence file as a whole, is compared
-with short licence templates.  Terms are words and pairs of words; rare terms of
-the templates weigh most, and words no template has weigh as the rarest, so a
-line that says other things as well is further away.  Only lines that hold a
-telling word of some template are compared.
-
-Statements inside longer or wrapped lines are found as spans: every run of as
-many words as a template has, across line ends, is compared with that template.
-A span has no room for other words, so it must be nearer than a line.  An SPDX
-tag names its licence itself.
+Every run of as many words as a template has, across line ends, is compared with
+that template; a shorter text is compared as a whole.  Terms are words and pairs
+of words; rare terms of the templates weigh most, and words no template has weigh
+as the rarest.
+
+Licences whose statements are nearly alike are told apart by the words in which
+they differ: a span must have its template's decisive words, names and versions,
+and no others, so an unknown version has no licence rather than a wrong one.  A
+statement that is negated does not count.  "Or later" after a statement of the
+GNU licences makes it one for later versions.  An SPDX tag names its licence
+itself.
 
 A file without a licence of its own gets that of the nearest directory above it
 that has a licence file: directories are joined to their ancestors' licences by
@@ -29,87 +30,64 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .batches import fresh, raw, stored
+from .licence_texts import DECISIVE, EITHER, NEGATIONS, templates
 from .registry import query, table
 
-#: A line or text at least so near to a template carries its licence.
-LEAST_COSINE = 0.6
-#: A span of a template's length at least so near carries its licence; two words of three are not enough.
-LEAST_SPAN = 0.7
-
-# Statements by which licences are commonly declared.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License'),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("Proprietary", "All rights reserved"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("GPL-2.0", "Licensed under the GNU General Public License, version 2"),
-    ("GPL-3.0", "Licensed under the GNU General Public License, version 3"),
-    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("Unlicense", "This is free and unencumbered software released into the public domain"),
-)
+#: A span at least so near to its template carries its licence.
+LEAST_COSINE = 0.7
+#: Words before a span in which a negation counts, and after it in which "later" or "only" does.
+BEFORE, AFTER = 3, 12
 
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[^/]*)?$"
-_WORD = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_WORD = re.compile(rb"[a-z0-9']+(?:[.-][a-z0-9]+)*")
+_DECISIVE = frozenset(w.encode() for w in DECISIVE)
+_LEADING = frozenset((b"version", b"v", b"license", b"licence"))
+_VERSION = re.compile(rb"v?([0-9](?:\.[0-9])?)$")
 _TAG = re.compile(rb"(?i:spdx-license-identifier):[ \t]*\(?([A-Za-z0-9.+-]+(?:[ \t]+(?:OR|AND|WITH)[ \t]+[A-Za-z0-9.+-]+)*)")
 
 
-def terms_of(words: list[bytes]) -> Counter:
-    return Counter([*words, *zip(words, words[1:])])
+def words_of(text: bytes) -> list[bytes]:
+    """Words in lower case; versions without "v" and without a final ".0"."""
+    words = []
+    for word in _WORD.findall(text.lower()):
+        version = _VERSION.match(word)
+        words.append(version[1].removesuffix(b".0") if version else word)
+    return words
+
 
+def decisive_places(words: list[bytes]) -> list[int]:
+    """Where names of licences stand, and numbers that follow one, or "version", "v" or "license"."""
+    found, named = [], False
+    for k, word in enumerate(words):
+        name = word in _DECISIVE
+        if name or named and _VERSION.match(word):
+            found.append(k)
+        named = name or word in _LEADING
+    return found
 
-def terms(text: bytes) -> Counter:
-    return terms_of(_WORD.findall(text.lower()))
+
+def terms_of(words: list[bytes]) -> Counter:
+    return Counter([*words, *zip(words, words[1:])])
 
 
 class Templates:
-    """Inverted index of the templates' unit vectors."""
+    """Unit vectors of the templates, found by the decisive word of each that fewest templates have."""
 
-    def __init__(self, templates=TEMPLATES):
-        counted = [(name, terms(text.encode())) for name, text in templates]
-        seen = Counter(t for _, c in counted for t in c)
+    def __init__(self):
+        self.names = [name for name, _ in templates()]
+        self.words = [words_of(text.encode()) for _, text in templates()]
+        counted = [terms_of(words) for words in self.words]
+        seen = Counter(t for c in counted for t in c)
         self.rarest = math.log(len(counted) + 1) + 1
         self.rarity = {t: math.log((len(counted) + 1) / n) + 1 for t, n in seen.items()}
-        self.names = [name for name, _ in counted]
-        self.found: dict = {}
-        self.unit = [self.weigh(counts) for _, counts in counted]
-        self.lengths = [len(_WORD.findall(text.lower().encode())) for _, text in templates]
-        known = sorted({w for _, c in counted for w in c if isinstance(w, bytes)})
-        self.place = {w: k for k, w in enumerate(known)}
-        # Squared weights of each template's words and, by word and next word, of its pairs.
-        self.share = np.zeros((len(counted), len(known) + 1))
-        self.pair = np.zeros((len(known) + 1, len(known) + 1), np.int64)
-        pairs = sorted({t for _, c in counted for t in c if isinstance(t, tuple)})
-        self.pair_share = np.zeros((len(counted), len(pairs) + 1))
-        for at, (a, b) in enumerate(pairs):
-            self.pair[self.place[a], self.place[b]] = at + 1
-        for number, weights in enumerate(self.unit):
-            for term, weight in weights.items():
-                if isinstance(term, tuple):
-                    self.pair_share[number, self.pair[self.place[term[0]], self.place[term[1]]]] = weight * weight
-                else:
-                    self.share[number, self.place[term]] = weight * weight
-        for number, weights in enumerate(self.unit):
-            for term, weight in weights.items():
-                self.found.setdefault(term, []).append((number, weight))
-        # The rarest words of each template; a text near to it has at least one.
-        telling = set()
-        for _, counts in counted:
-            words = sorted((w for w in counts if isinstance(w, bytes)), key=lambda w: (seen[w], w))
-            telling.update(words[: max(2, len(words) // 2)])
-        self.telling = re.compile(rb"|".join(re.escape(w) for w in sorted(telling)))
+        self.unit = [self.weigh(c) for c in counted]
+        self.decisive = [frozenset(words[k] for k in decisive_places(words)) for words in self.words]
+        self.negations = [sum(w in NEGATIONS for w in words) for words in self.words]
+        self.by_anchor: dict[bytes, list[int]] = {}
+        for number, words in enumerate(self.decisive):
+            anchor = min((w for w in words if not _VERSION.match(w)), key=lambda w: (w == b"by", seen[w], w))
+            self.by_anchor.setdefault(anchor, []).append(number)
+        self.anchors = sorted(self.by_anchor)
 
     def weigh(self, counts: Counter) -> dict:
         rarity, rarest = self.rarity, self.rarest
@@ -117,78 +95,78 @@ class Templates:
         norm = math.sqrt(sum(w * w for w in weights.values())) or 1.0
         return {t: w / norm for t, w in weights.items()}
 
-    def nearest(self, text: bytes) -> tuple[float, str | None]:
-        """(cosine, licence) of the nearest template; the first of equals."""
-        scores = [0.0] * len(self.names)
-        for term, weight in self.weigh(terms(text)).items():
-            for number, other in self.found.get(term, ()):
-                scores[number] += weight * other
-        best = max(range(len(scores)), key=lambda k: (scores[k], -k))
-        return (scores[best], self.names[best]) if scores[best] > 0 else (0.0, None)
+    def candidates(self, words: list[bytes]) -> set[tuple[int, int]]:
+        """(template, start) of every span that has just the template's decisive words.
 
-    def spans(self, text: bytes) -> tuple[float, str | None]:
-        """(cosine, licence) of the nearest span of a template's length; nothing below LEAST_SPAN.
-
-        A cosine is at most the root of the template's squared weight on the
-        terms of the span, which sliding sums give for all spans.
+        Such a span holds the template's anchor, so spans around anchors are all there are.
         """
-        words = _WORD.findall(text.lower())
-        if not words:
-            return 0.0, None
-        place, other = self.place, len(self.place)
-        numbers = np.fromiter((place.get(w, other) for w in words), np.int64, len(words))
-        best: tuple[float, str | None] = (0.0, None)
-        pairs = self.pair[numbers[:-1], numbers[1:]]
-        single, double = np.zeros(len(words) + 1), np.zeros(len(words))
-        for number, length in enumerate(self.lengths):
-            np.cumsum(self.share[number][numbers], out=single[1:])
-            np.cumsum(self.pair_share[number][pairs], out=double[1:])
-            if single[-1] + double[-1] < LEAST_SPAN**2 - 1e-9:
-                continue
-            length = min(length, len(words))
-            most = single[length:] - single[:-length] + double[length - 1 :] - double[: len(double) - length + 1]
-            able = np.flatnonzero(most >= LEAST_SPAN**2 - 1e-9)
-            for at in able.tolist():
-                weights = self.weigh(terms_of(words[at : at + length]))
-                unit = self.unit[number]
-                score = sum(w * unit[t] for t, w in weights.items() if t in unit)
-                if score >= LEAST_SPAN and score > best[0]:
-                    best = (score, self.names[number])
-        return best
-
-    def scan(self, text: bytes, whole: bool) -> tuple[float, str | None]:
+        found: set[tuple[int, int]] = set()
+        places: dict[bytes, list[int]] = {}
+        marked = decisive_places(words)
+        for k in marked:
+            if words[k] in self.by_anchor:
+                places.setdefault(words[k], []).append(k)
+        at = np.array(marked, np.int64)
+        for anchor, where in places.items():
+            for number in self.by_anchor[anchor]:
+                wanted, length = self.decisive[number], min(len(self.words[number]), len(words))
+                for place in where:
+                    first, last = max(0, place - length + 1), min(place, len(words) - length)
+                    for start in range(first, last + 1):
+                        low, high = np.searchsorted(at, (start, start + length)) if len(marked) > 64 else (0, len(marked))
+                        if {words[k] for k in marked[low:high] if start <= k < start + length} == wanted:
+                            found.add((number, start))
+        return found
+
+    def scan(self, text: bytes) -> tuple[float, str | None]:
+        """(cosine, licence) of the nearest span or tag; (0, None) if nothing is near.  Ties go to the first template."""
         tag = _TAG.search(text)
         if tag:
             return 1.0, " ".join(tag.group(1).decode().split())
-        best: tuple[float, str | None] = (0.0, None)
-        if self.telling.search(text.lower()):
-            best = self.spans(text)
-        for line in text.split(b"\n"):
-            if self.telling.search(line.lower()):
-                best = max(best, self.nearest(line), key=lambda x: x[0])
-        return max(best, self.nearest(text), key=lambda x: x[0]) if whole else best
+        low = text.lower()
+        if not any(a in low for a in self.anchors):
+            return 0.0, None
+        words = words_of(low)
+        best: tuple[float, int, int] = (0.0, 0, 0)
+        for number, start in sorted(self.candidates(words)):
+            length = min(len(self.words[number]), len(words))
+            span, unit = words[start : start + length], self.unit[number]
+            denied = sum(w in NEGATIONS for w in words[max(0, start - BEFORE) : start + length])
+            if denied > self.negations[number]:
+                continue
+            score = sum(w * unit.get(t, 0.0) for t, w in self.weigh(terms_of(span)).items())
+            if score >= LEAST_COSINE and score > best[0] + 1e-9:
+                best = (score, number, start + length)
+        if not best[0]:
+            return 0.0, None
+        return best[0], self.named(self.names[best[1]], words[best[2] : best[2] + AFTER])
+
+    @staticmethod
+    def named(name: str, following: list[bytes]) -> str:
+        """With "-only" or "-or-later" where the licence has both."""
+        if name.partition("-")[0] not in EITHER:
+            return name
+        return f"{name}-or-later" if b"later" in following and b"or" in following else f"{name}-only"
 
 
-def declared(files: DataFrame, *, path: str = "path", text: str = "text", least: float = LEAST_COSINE, out: str = "declared") -> DataFrame:
+def declared(files: DataFrame, *, text: str = "text", out: str = "declared") -> DataFrame:
     """Add ``out``, with underscores if there is such a column: struct of licence and cosine, NULL and 0 if nothing is near.
 
     NULL and empty texts declare nothing.  Other columns stay; nothing is
     shuffled; equal texts are judged alike.
     """
-    templates = Templates()
+    known = Templates()
 
     @arrow_udf("struct<licence:string,cosine:double>")
-    def judge(texts: pa.Array, whole: pa.Array) -> pa.Array:
-        found = [templates.scan(t.as_py() or b"", bool(w.as_py())) for t, w in zip(texts, whole)]
-        found = [(score, name) if score >= least else (0.0, None) for score, name in found]
+    def judge(texts: pa.Array) -> pa.Array:
+        found = [known.scan(t.as_py() or b"") for t in texts]
         return pa.StructArray.from_arrays(
             [pa.array([n for _, n in found], pa.string()), pa.array([s for s, _ in found], pa.float64())],
             ["licence", "cosine"],
         )
 
     name = fresh(files, out)
-    whole = F.coalesce(F.col(f"`{path}`").rlike(LICENCE_FILE), F.lit(False))
-    return files.withColumn(name, judge(raw(text), whole))
+    return files.withColumn(name, judge(raw(text)))
 
 
 def directory(path: Column) -> Column:
@@ -231,7 +209,7 @@ def scan(files: DataFrame, *, path: str = "path", text: str = "text", out: str =
     own = [c for c in files.columns if c != text]
     name, held = fresh(files, out), fresh(files, "declared")
     rows = stored(
-        declared(files, path=path, text=text, out=held).select(
+        declared(files, text=text, out=held).select(
             F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{path}`").alias("path"),
             F.col(held).alias("declared"),
         ),
