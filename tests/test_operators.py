@@ -301,6 +301,15 @@ def test_new_offsets_open_no_stored_row(spark):
     assert history.read_table(spark, root, table).count() == 903
 
 
+def test_buckets_of_a_range_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 1000)
+    rows = spark.range(30_000).select((F.col("id") * 7 % 30_000).alias("k"))
+    sizes = ordering.range_buckets(rows, "k").groupBy(ordering.BUCKET).count().collect()
+    assert len(sizes) == 30 and max(r["count"] for r in sizes) < 2500
+    placed = ordering.positions(ordering.range_buckets(rows, "k"), "k", "at")
+    assert placed.where("at != k").count() == 0
+
+
 def test_a_row_that_repeats_often_unfolds_in_many_tasks(spark):
     from weirgauge.operators import replay
 

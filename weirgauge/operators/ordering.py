@@ -16,6 +16,7 @@ from ..session import written
 
 BUCKET = "__bucket"
 GRID_CELLS = 4096
+BUCKET_ROWS = 500_000
 
 
 def grid_buckets(df: DataFrame, key: str, step_seconds: float) -> DataFrame:
@@ -32,10 +33,14 @@ def range_buckets(df: DataFrame, key: str, parts: int | None = None) -> DataFram
     """Buckets of about equal row count for a unique key, as a stored table.
 
     The rows are range-partitioned by the key and written once; a bucket is one
-    partition.  Adaptive execution sizes partitions by bytes, so their number
-    grows with the data and no bucket does.
+    partition.  They are counted first, and their number is the number of
+    buckets of about BUCKET_ROWS rows, or the session's shuffle partitions if
+    these are more: it grows with the data and no bucket does.
     """
-    sliced = df.repartitionByRange(ref(key)) if parts is None else df.repartitionByRange(parts, ref(key))
+    if parts is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(least, -(-df.count() // BUCKET_ROWS))
+    sliced = df.repartitionByRange(parts, ref(key))
     return written(sliced.withColumn(BUCKET, F.spark_partition_id().cast("bigint")), "ranges")
 
 

@@ -35,8 +35,8 @@ def cell_array(df: DataFrame, names) -> Column:
     return F.array(*[ref(n).cast("double" if numeric else "string") for n in names])
 
 
-def bad_cells(df: DataFrame, names) -> DataFrame:
-    """One row per bad cell: column_name and problem.
+def _found_cells(df: DataFrame, names, problem) -> DataFrame:
+    """One row per cell that has a problem: column_name and problem.
 
     Rows pass the cheap test first.  Where it fails, every cell is judged inside
     its row and only bad ones leave it, so what is counted grows with the faults
@@ -47,7 +47,7 @@ def bad_cells(df: DataFrame, names) -> DataFrame:
     """
     judged = F.transform(
         cell_array(df, names),
-        lambda cell, i: F.struct(i.alias("i"), cell_problem(cell).alias("problem")),
+        lambda cell, i: F.struct(i.alias("i"), problem(cell).alias("problem")),
     )
     bad = F.when(~all_finite(names), F.filter(judged, lambda c: c["problem"].isNotNull()))
     spelled = F.array(*[F.lit(n) for n in names])
@@ -55,6 +55,11 @@ def bad_cells(df: DataFrame, names) -> DataFrame:
     return rows.select(F.get(spelled, F.col("i")).alias("column_name"), "problem")
 
 
+def bad_cells(df: DataFrame, names) -> DataFrame:
+    """One row per bad cell: column_name and problem."""
+    return _found_cells(df, names, cell_problem)
+
+
 def issue_profile(df: DataFrame, names) -> DataFrame:
     """Bad cells per column and problem; columns without any are left out."""
     return (
@@ -108,20 +113,24 @@ def non_finite_counts(df: DataFrame, names) -> DataFrame:
 
 def text_number_quality(df: DataFrame, names) -> DataFrame:
     """How well text columns would read as numbers; blanks count as invalid."""
-    totals, cells = [], {}
-    for i, name in enumerate(names):
-        number = as_number(ref(name))
-        tests = {
-            "invalid_numeric": ref(name).isNotNull() & number.isNull(),
-            "nan": F.isnan(number),
-            "positive_inf": number == float("inf"),
-            "negative_inf": number == float("-inf"),
-        }
-        cells[name] = {}
-        for kind, test in tests.items():
-            totals.append(F.count_if(test).alias(f"t{i}_{kind}"))
-            cells[name][kind] = f"t{i}_{kind}"
-    return counts_to_rows(df.agg(*totals), cells, "column_name")
+    kinds = ("invalid_numeric", "nan", "positive_inf", "negative_inf")
+
+    def problem(cell: Column) -> Column:
+        number = as_number(cell)
+        return (
+            F.when(cell.isNull(), F.lit(None).cast("string"))
+            .when(number.isNull(), kinds[0])
+            .when(F.isnan(number), kinds[1])
+            .when(number == float("inf"), kinds[2])
+            .when(number == float("-inf"), kinds[3])
+        )
+
+    found = _found_cells(df, names, problem).groupBy("column_name")
+    counts = found.agg(*[F.count_if(F.col("problem") == k).alias(k) for k in kinds])
+    listed = df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+    return listed.join(counts, "column_name", "left").select(
+        "column_name", *[F.coalesce(F.col(k), F.lit(0)).alias(k) for k in kinds]
+    )
 
 
 def clean_report(cleaned: DataFrame, unlabelled: DataFrame, contract: FlowContract) -> DataFrame:
