@@ -5,6 +5,8 @@ import itertools
 import random
 import zlib
 
+import compare
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -95,10 +97,10 @@ def test_archives_come_back(spark, tmp_path):
     df = spark.createDataFrame(rows, PAGES).withColumn("payload", F.lit("x")).repartition(3)
     warc.write(df, str(tmp_path / "w"))
     captures = warc.assemble(warc.read(spark, str(tmp_path / "w"))).collect()
-    assert len(captures) == 9
+    assert len(captures) == 10 and len({c.record_id for c in captures}) == 10
     text = {k: (h or "").encode() for k, _, h in rows}
-    ids = {}
-    for c in captures:
+    ids, answered = {}, {x.response.refers_to for x in captures}
+    for c in sorted(captures, key=lambda c: c.record_id in answered):
         fields = c.metadata.fields
         page = int(fields.split(": ")[1]) if fields else None
         ids[page] = c
@@ -107,10 +109,36 @@ def test_archives_come_back(spark, tmp_path):
         assert c.response.kind == kind
         assert c.response.payload == (None if kind == "revisit" else text[page])
     assert ids[1].response.refers_to == ids[2].response.refers_to == ids[8].record_id
+    kinds = [c.response.kind for c in captures if c.metadata.fields == "page-id: 8\r\n"]
+    assert kinds == ["response"] * 2
     warc.write(df.where("false"), str(tmp_path / "none"))
     assert warc.assemble(warc.read(spark, str(tmp_path / "none"))).collect() == []
 
 
+def test_files_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 12 << 20)
+    page = F.concat(F.repeat(F.lit("<p>long page.</p>"), 300_000), F.col("id").cast("string"))
+    df = spark.range(0, 7, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://a").alias("url"), page.alias("html"))
+    warc.write(df, str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").glob("*.gz"))) == 4
+    captures = warc.assemble(warc.read(spark, str(tmp_path / "w"))).collect()
+    assert len(captures) == 7 and all(c.response.payload_bytes == 5_100_001 == len(c.response.payload) for c in captures)
+
+
+def test_repeated_rows_come_back_as_often(spark, sf_dir):
+    from weirgauge.llm.catalog import QUERIES
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    some = pages.orderBy("page_id").limit(5)
+    later = some.withColumn("page_id", F.col("page_id") + 1_000_000)
+    other = some.withColumn("url", F.concat("url", F.lit("/other")))
+    folder = warc.scratch(spark, "pages")
+    pages.unionByName(some).unionByName(later).unionByName(later).unionByName(other).write.parquet(f"{folder}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder.removeprefix('file:')}/pages.parquet/*.parquet'")
+    assert compare.compare(db, QUERIES["op4_warc"](spark, folder), warc.ORACLE) is None
+
+
 def test_archives_of_many_members_and_broken_ones():
     record = b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 6\r\n\r\na\r\n\r\nb\r\n\r\n"
     parts = gzip.compress(record) + gzip.compress(record * 3)

@@ -6,7 +6,8 @@ to; reading joins the three through these identifiers.
 
 Archives are written by Spark's text writer: a row is the bytes of one capture,
 and the line separator is the blank line that ends its last record.  They are
-read as whole files, so a file holds at most ``CAPTURES_PER_FILE`` captures.
+read as whole files, so a file holds about FILE_BYTES of payload, by the
+measured sizes, and at most CAPTURES_PER_FILE captures.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from .batches import discard, stored
+from .batches import discard, store, stored
 from .registry import query, table
 
 CAPTURES_PER_FILE = 4000
+#: Payload of a file, if its captures are of mean size, and if they are all as large as the largest.
+FILE_BYTES, MOST_BYTES = 256 << 20, 1 << 30
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
 BATCH_BYTES = 8 << 20
@@ -54,10 +57,28 @@ def _record(headers: list[tuple[str, Column | str]], block: Column) -> Column:
     return F.concat(F.lit(VERSION + LINE), F.concat_ws("", *lines), size, block)
 
 
+def _numbered(flat: DataFrame) -> DataFrame:
+    """With ``occurrence``: rows equal in page_id, url and payload are counted from 1."""
+    of = ["page_id", "url", "digest"]
+    same = F.lit(True)
+    twice = flat.groupBy(*of).count().where("count > 1").select(*[F.col(c).alias(f"t_{c}") for c in of])
+    if twice.isEmpty():
+        return flat.withColumn("occurrence", F.lit(1))
+    for c in of:
+        same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
+    alone = flat.join(twice, same, "left_anti").withColumn("occurrence", F.lit(1))
+    folded = flat.join(twice, same, "left_semi").groupBy(*of, "size").agg(
+        F.min("payload").alias("payload"), F.count(F.lit(1)).cast("int").alias("n")
+    )
+    again = folded.withColumn("occurrence", F.explode(F.sequence(F.lit(1), "n")))
+    return alone.unionByName(again.select(*alone.columns))
+
+
 def with_revisits(pages: DataFrame) -> DataFrame:
     """Pages with payload, digest, record ids and, for a repeated payload, its response.
 
-    Of equal payloads the one with the largest (page_id, url) is the response.
+    Of equal payloads the one with the largest (page_id, url) is the response;
+    rows with the same page_id are responses, too.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
@@ -71,17 +92,17 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         .where("copies > 1")
         .select("digest", "kept")
     )
-    own = F.struct("page_id", "url")
-    repeated = F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(own)
+    flat, later = _numbered(flat), F.when(F.col("occurrence") > 1, F.col("occurrence"))
+    repeated = F.col("kept").isNotNull() & ~F.col("kept.page_id").eqNullSafe(F.col("page_id"))
     return flat.join(copies, "digest", "left").select(
         "page_id",
         "url",
         "payload",
         "digest",
         "size",
-        _id("response", F.col("page_id"), F.col("url"), F.col("digest")).alias("response_id"),
+        _id("response", F.col("page_id"), F.col("url"), F.col("digest"), later).alias("response_id"),
         F.when(
-            repeated, _id("response", F.col("kept.page_id"), F.col("kept.url"), F.col("digest"))
+            repeated, _id("response", F.col("kept.page_id"), F.col("kept.url"), F.col("digest"), F.lit(None))
         ).alias("refers_to"),
     )
 
@@ -90,8 +111,11 @@ def write(pages: DataFrame, path: str, date: str | None = None) -> None:
     """Write one capture per row of (page_id, url, html) as gzipped archives.
 
     NULL html is an empty payload; a NULL url or page_id is left out.  Rows
-    equal in all three are one capture.
+    equal in all three are captures of their own.
     """
+    sizes = pages.agg(F.avg(F.octet_length("html")), F.max(F.octet_length("html"))).first()
+    mean, largest = (int(s or 0) + 1 for s in sizes)
+    per_file = max(1, min(CAPTURES_PER_FILE, FILE_BYTES // mean, MOST_BYTES // largest))
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     revisit, answer = F.col("refers_to").isNotNull(), F.col("response_id")
     about = [("WARC-Date", date), ("WARC-Target-URI", F.col("url"))]
@@ -129,7 +153,7 @@ def write(pages: DataFrame, path: str, date: str | None = None) -> None:
     capture = F.concat(request, F.lit(END), response, F.lit(END), metadata)
     writer = with_revisits(pages).select(capture.alias("value")).write
     writer.option("lineSep", END).option("compression", "gzip").option(
-        "maxRecordsPerFile", CAPTURES_PER_FILE
+        "maxRecordsPerFile", per_file
     ).text(path)
 
 
@@ -285,8 +309,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through an archive and back: what its records say."""
     path = scratch(spark, "warc")
     write(table(spark, sf_dir, "pages"), path)
-    captures = stored(assemble(read(spark, path, payloads=False)), "captures")
+    records = store(read(spark, path, payloads=False), "records")  # unpacked and parsed once
     discard(spark, path)
+    captures = stored(assemble(spark.read.parquet(records)), "captures")
+    discard(spark, records)
     flat = captures.select(
         "record_id", "response", F.expr("try_cast(nullif(regexp_extract(metadata.fields, 'page-id: (-?[0-9]+)', 1), '') AS bigint)").alias("page_id")
     )
