@@ -223,3 +223,51 @@ def test_rare_languages_keep_rows_beside_many_frequent_ones(spark):
     asked = df.where("doc_id is not null and lang >= 'l17'")
     judged = language.identify(asked, model).select("lang", F.col("language.lang").alias("found")).collect()
     assert all(r.lang == r.found for r in judged)
+
+
+def test_ordinal_fit_against_its_likelihood():
+    """The fitted model is near the best of the penalised likelihood, computed row by row."""
+    rng = np.random.default_rng(2)
+    count, dims = 400, 12
+    table = np.round(rng.random((count, dims)) * (rng.random((count, dims)) < 0.5), 3)
+    true = rng.standard_normal(dims) * 2
+    chance = lambda x: 1 / (1 + np.exp(-x))
+    grade = np.array([int(u < chance(s)) + int(u < chance(s - 1.5)) for u, s in zip(rng.random(count), table @ true)])
+    row, place = np.nonzero(table)
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for line, g in zip(table, grade):
+            tails = [1.0, *(1 - chance(t - line @ weights) for t in thresholds), 0.0]
+            total -= np.log(max(tails[g] - tails[g + 1], 1e-9))
+        return total / count + quality.RIDGE / 2 * (weights**2).sum()
+
+    model = quality.fit_rows(row, place, table[row, place], grade, rounds=600)
+    weights, thresholds = model.weights[:dims], model.thresholds
+    assert (model.weights[dims:] == 0).all() and thresholds[0] < thresholds[1]
+    best = loss(weights, thresholds)
+    assert best < loss(np.zeros(dims), np.array([-0.5, 0.5])) - 0.1
+    for _ in range(60):
+        step, shift = rng.standard_normal(dims) * 0.1, rng.standard_normal(2) * 0.1
+        assert loss(weights + step, np.sort(thresholds + shift)) > best - 2e-4
+    tails = model.tails([b"some text", b""])
+    assert (tails[:, 0] >= tails[:, 1]).all() and tails.shape == (2, 2)
+
+
+def test_nearest_centroid_and_rejection_at_a_real_distance(spark):
+    rng = random.Random(6)
+    sets = {"a": "abcdefg", "h": "hijklmn", "o": "opqrstu", "w": "vwxyzäö"}
+    line = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(20))
+    rows = [(k, line(sets[n]), n) for k, n in enumerate("aho" * 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(df.where("doc_id % 4 <> 2"), F.col("doc_id"))
+    unseen = [r for r in rows if r[0] % 4 == 2] + [(900 + k, line(sets["w"]), "w") for k in range(20)]
+    asked = spark.createDataFrame(unseen, "doc_id bigint, text string, lang string")
+    judged = {r.doc_id: r for r in language.identify(asked, model, min_cosine=0.3, out="found").collect()}
+    for key, text, lang in unseen:
+        vector = language.weigh(language.gram_counts([text.encode()]), model.rarity)[0]
+        cosines = [sum(float(a) * float(b) for a, b in zip(vector, centre)) for centre in model.centroids]
+        near = max(range(len(cosines)), key=lambda k: cosines[k])
+        assert abs(judged[key].found.score - cosines[near]) < 1e-4
+        want = model.names[near] if cosines[near] >= 0.3 else "und"
+        assert judged[key].found["lang"] == want == (lang if lang != "w" else "und")
