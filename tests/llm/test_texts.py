@@ -121,9 +121,9 @@ def test_languages(spark):
     assert all(found[k] == lang for k, _, lang in rows if k >= 160) and found[903] == "aa"
     assert [found[k] for k in (900, 901, 902)] == ["und"] * 3
     far = language.identify(df, model, min_cosine=1.1).collect()
-    assert {r.language.lang for r in far} == {"und"}
+    assert {r.language_.lang for r in far} == {"und"}  # the table has a column Language
     none = language.fit(learn.where("false"), F.col("doc_id"))
-    assert {r.language.lang for r in language.identify(df, none).collect()} == {"und"}
+    assert {r.language_.lang for r in language.identify(df, none).collect()} == {"und"}
 
 
 def test_licences_are_declared_and_inherited(spark):
