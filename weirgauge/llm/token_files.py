@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from .batches import raw, slices, stored
+from .batches import discard, raw, slices, store
 from .byte_words import byte_words
 from .hash_index import HashIndex
 from .registry import query, table
@@ -181,12 +181,14 @@ def _hashed(df: DataFrame, key: Column) -> DataFrame:
 
 
 def _write_index(spark: SparkSession, path: str) -> None:
-    rows = stored(read(spark, path), "token-rows")
+    rows_at = store(read(spark, path), "token-rows")
+    rows = spark.read.schema(ROWS).parquet(rows_at)
     shards = rows.groupBy("shard").agg(F.count("*").alias("docs"), F.sum("n").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards.select("*", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start")).write.parquet(f"{path}/starts")
     entries = rows.groupBy("key", "shard").agg(F.min("place").alias("place"), F.count("*").alias("copies"))
-    entries = stored(entries, "token-entries")
+    entries_at = store(entries, "token-entries")
+    entries = spark.read.schema(ENTRY).parquet(entries_at)
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
 
     def build(batch: pa.Table) -> pa.Table:
@@ -199,6 +201,8 @@ def _write_index(spark: SparkSession, path: str) -> None:
     dealt = _hashed(entries, F.col("key")).withColumn("bucket", F.pmod("h1", F.lit(buckets)))
     grouped = dealt.groupBy("bucket").applyInArrow(build, "bucket bigint, index binary")
     grouped.withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/index")
+    for place in (rows_at, entries_at):
+        discard(spark, place)
 
 
 def locate(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
