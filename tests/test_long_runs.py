@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirgauge.contracts import ContractError, FlowContract
-from weirgauge.operators import examples, sketches, windows
+from weirgauge.operators import clean, examples, forest, sketches, windows
 from weirgauge.session import put_once, scratch, set_times, stream_session
 from weirgauge.sources import example_store, files, records
 from weirgauge.streaming import chained, ledger, runner
@@ -151,3 +151,14 @@ def test_periods_of_closed_windows_agree_with_the_batch(spark):
     plan = windows.WindowPlan(600, 600, 60)
     got = chained.closed_stats(rows, plan, "1 hour").collect()
     assert [(r.windows, round(r.peak_event_rate * 600)) for r in got] == [(4, 3)]
+
+
+def test_a_training_task_reads_a_bounded_number_of_rows(spark):
+    contract = FlowContract(numeric=("a",), features=("a",), attacks=("X",))
+    rows = spark.range(0, 10_000, 1, 2).select(F.col("id").cast("double").alias("a"))
+    train = clean.add_vector(rows, contract).select("features", (F.col("a") >= 5000).cast("double").alias("binary_label"))
+    dealt = forest.in_tasks(train, scratch(spark, "training-rows"), 700)
+    held = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 10_000 and max(held) <= 700
+    model = forest.fit_forest(train, contract)
+    assert forest.score(train, model).where("prediction <> binary_label").count() == 0

@@ -48,28 +48,28 @@ SPLIT_SQL = f"""lines AS (SELECT *, {ATTACKS} AS attack, {MISTAKEN} AS mistaken,
 
 
 @lru_cache(maxsize=None)
-def _models(app_id: str, spark, sf: str) -> dict:
-    """A baseline taught a wrong rule and a class-weighted candidate; fitted once per session."""
+def _model(app_id: str, spark, sf: str, name: str):
+    rule = {"baseline": MISTAKEN, "candidate": ATTACKS}[name]
+    kept = ruled(spark, sf, rule).where(F.col("split") == "train")
+    if name == "baseline":
+        return forest.fit_forest(kept, RULED)
+    train = written(kept.select("binary_label", "features"), "train")
+    return forest.fit_forest(examples.add_class_weight(train, "binary_label"), RULED, "class_weight")
 
-    def train(rule):
-        kept = ruled(spark, sf, rule).where(F.col("split") == "train")
-        return written(kept.select("binary_label", "features"), "train")
 
-    weighted = examples.add_class_weight(train(ATTACKS), "binary_label")
-    return {
-        "baseline": forest.fit_forest(train(MISTAKEN), RULED),
-        "candidate": forest.fit_forest(weighted, RULED, "class_weight"),
-    }
+def model(spark, sf, name: str):
+    """A baseline taught a wrong rule, or a class-weighted candidate; each fitted once per session."""
+    return _model(spark.sparkContext.applicationId, spark, sf, name)
 
 
 def models(spark, sf) -> dict:
-    return _models(spark.sparkContext.applicationId, spark, sf)
+    return {name: model(spark, sf, name) for name in ("baseline", "candidate")}
 
 
 def judged(spark, sf, name: str):
     """Cells and rates of one model over validation and test."""
     rows = ruled(spark, sf, ATTACKS).where(F.col("split") != "train")
-    found = evaluate.evaluate(forest.score(rows, models(spark, sf)[name]), "binary_label")
+    found = evaluate.evaluate(forest.score(rows, model(spark, sf, name)), "binary_label")
     return i.shown(found.select("rows", *evaluate.CELLS, *evaluate.RATES))
 
 
@@ -106,7 +106,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Every row scored; probabilities and prediction agree."""
-    scored = forest.score(ruled(spark, sf, ATTACKS), models(spark, sf)["candidate"])
+    scored = forest.score(ruled(spark, sf, ATTACKS), model(spark, sf, "candidate"))
     normal, attack = F.col("probability")[0], F.col("probability")[1]
     likelier = F.when(attack > normal, 1.0).otherwise(0.0)
     return scored.select(
@@ -143,7 +143,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Importances of the candidate: the feature of its rule comes first."""
-    ranked = forest.importances(models(spark, sf)["candidate"], RULED)
+    ranked = forest.importances(model(spark, sf, "candidate"), RULED)
     values = [v for _, v in ranked]
     row = (ranked[0][0], len(ranked), values == sorted(values, reverse=True), abs(sum(values) - 1) < 1e-9)
     return spark.createDataFrame([row], "top_feature string, features bigint, descending boolean, sum_is_one boolean")
@@ -157,7 +157,7 @@ def _(spark, sf):
 def _(spark, sf):
     """A saved forest reloads; one that does not fit the contract is refused."""
     path = scratch(spark, "forest")
-    models(spark, sf)["baseline"].write().save(path)
+    model(spark, sf, "baseline").write().save(path)
     cases = {
         "saved forest": (path, RULED),
         "other contract": (path, FlowContract(("a", "b"), ("a", "b"), ("rest",))),

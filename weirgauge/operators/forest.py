@@ -8,12 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SPLIT_SEED, ContractError, FlowContract
+from ..functions.cells import ref
+from ..session import remove, scratch
 
 TREES, DEPTH, BINS = 20, 5, 32
+#: Rows of a training task; the fitting keeps about 200 bytes of each between its passes.
+TASK_ROWS = 250_000
+
+
+def in_tasks(train: DataFrame, path: str, rows: int = TASK_ROWS) -> DataFrame:
+    """Rows stored in files of at most that many, each of which is read by a task of its own.
+
+    Every pass of the fitting reads the kept rows of a partition in one task, and
+    a split of a table that packs well holds millions of them.
+    """
+    train.write.option("maxRecordsPerFile", rows).parquet(path)
+    spark = train.sparkSession
+    # Opening a file counts as much as a whole split, so no two files share one.
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    side = spark.newSession()
+    side.conf.set("spark.sql.files.maxPartitionBytes", split)
+    side.conf.set("spark.sql.files.openCostInBytes", split)
+    return side.read.schema(train.schema).parquet(path)
 
 
 def fit_forest(train: DataFrame, contract: FlowContract, weight: str | None = None):
-    """Fit on ``train``; with ``weight`` every row counts as much as that column says."""
+    """Fit on ``train``; with ``weight`` every row counts as much as that column says.
+
+    The rows are computed once and stored while the fitting reads them.
+    """
     forest = RandomForestClassifier(
         featuresCol=contract.vector,
         labelCol=contract.target,
@@ -24,7 +47,12 @@ def fit_forest(train: DataFrame, contract: FlowContract, weight: str | None = No
     )
     if weight:
         forest = forest.setWeightCol(weight)
-    return forest.fit(train)
+    used = [contract.vector, contract.target, *([weight] if weight else [])]
+    path = scratch(train.sparkSession, "training-rows")
+    try:
+        return forest.fit(in_tasks(train.select(*[ref(c) for c in used]), path))
+    finally:
+        remove(train.sparkSession, path)
 
 
 def importances(model: RandomForestClassificationModel, contract: FlowContract) -> list[tuple]:
