@@ -5,10 +5,12 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from weirgauge.catalog import models
+from weirgauge.catalog.registry import QUERIES
 from weirgauge.contracts import ContractError, FlowContract
 from weirgauge.operators import clean, examples, forest, sketches, windows
 from weirgauge.session import put_once, scratch, set_times, stream_session
-from weirgauge.sources import example_store, files, records
+from weirgauge.sources import example_store, files, history, records
 from weirgauge.streaming import chained, ledger, runner
 
 
@@ -162,3 +164,68 @@ def test_a_training_task_reads_a_bounded_number_of_rows(spark):
     assert sum(held) == 10_000 and max(held) <= 700
     model = forest.fit_forest(train, contract)
     assert forest.score(train, model).where("prediction <> binary_label").count() == 0
+
+
+def test_buckets_grow_with_the_rows():
+    assert example_store.buckets_for(1_000, 8) == 8
+    assert example_store.buckets_for(216_000_000, 8) * example_store.BUCKET_ROWS >= 216_000_000
+
+
+def test_first_lines_of_files_of_several_splits(spark):
+    path = scratch(spark, "lines")
+    spark.range(30_000).select(F.format_string("%07d", "id")).repartitionByRange(3, "format_string(%07d, id)").write.text(f"{path}")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        lines = spark.read.text(path).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+        )
+        assert lines.select("file", "block").distinct().count() > 3
+        got = files.first_lines(lines, 2500).select("file", "position", F.col("value").cast("int").alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    of = {}
+    for r in got:
+        of.setdefault(r.file, []).append((r.position, r.v))
+    assert len(of) == 3
+    for found in of.values():
+        first = min(v for _, v in found)
+        assert sorted(found) == [(k + 1, first + k) for k in range(2500)]
+
+
+def test_rows_to_be_inserted_are_computed_once(spark):
+    root, seen = scratch(spark, "history"), spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    from pyspark.sql.types import LongType
+
+    noted = F.udf(count, LongType()).asNondeterministic()
+    events = spark.createDataFrame([(k,) for k in range(100)], "k bigint").select(noted("k").alias("k"))
+    batch = events.select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("k").alias("offset"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("event_timestamp"),
+    )
+    missing = [f.split() for f in history.PREDICTIONS.schema.split(", ")]
+    batch = batch.select("*", *[F.lit(None).cast(t).alias(n) for n, t in missing if n not in batch.columns])
+    history.initialize(spark, root)
+    history.insert_absent(batch, root, history.PREDICTIONS, run="r", batch_id=0)
+    assert history.read_table(spark, root, history.PREDICTIONS).count() == 100
+    assert seen.value == 100
+
+
+def test_only_the_model_that_is_asked_for_is_fitted(spark, sf_dir, monkeypatch):
+    fitted, fit = [], models.forest.fit_forest
+    monkeypatch.setattr(models.forest, "fit_forest", lambda train, contract, weight=None: fitted.append(weight) or fit(train, contract, weight))
+    models._model.cache_clear()
+    models.model(spark, sf_dir, "baseline")
+    assert fitted == [None]
+
+
+def test_the_verification_job_stores_its_input_only(spark, sf_dir, monkeypatch):
+    stored, write = [], models.written
+    monkeypatch.setattr(models, "written", lambda df, purpose: stored.append(purpose) or write(df, purpose))
+    assert QUERIES["q_verify_job"](spark, sf_dir).count() == 7
+    assert stored == ["flows"]

@@ -184,10 +184,11 @@ def _(spark, sf):
 BUCKETED = 8
 
 
-def bucketed(spark, df, name):
-    """Rows with a fingerprint as a bucketed table of this session."""
+def bucketed(spark, df, name, rows: int):
+    """Rows with a fingerprint as a table of this session, in buckets for a table of ``rows``."""
     path = scratch(spark, name)
-    return example_store.save(df, path.rpartition("/")[2].replace("-", "_"), path, BUCKETED)
+    buckets = example_store.buckets_for(rows, BUCKETED)
+    return example_store.save(df, path.rpartition("/")[2].replace("-", "_"), path, buckets)
 
 
 @query(
@@ -200,7 +201,7 @@ def bucketed(spark, df, name):
 )
 def _(spark, sf):
     """The leak report over stored buckets: no exchange of rows."""
-    stored = bucketed(spark, split_by_row(spark, sf), "examples")
+    stored = bucketed(spark, split_by_row(spark, sf), "examples", i.table(spark, sf, "lineitem").count())
     return examples.leakage_report(stored, examples.PRINT, "split")
 
 
@@ -212,9 +213,9 @@ SELECT DISTINCT f AS example_key, q100, d100, t100, target FROM byrow WHERE l_su
 )
 def _(spark, sf):
     """A delivery against the stored examples, both in buckets: new ones only, once each."""
-    rows = split_by_row(spark, sf)
+    rows, count = split_by_row(spark, sf), i.table(spark, sf, "lineitem").count()
     stored, delivered = (
-        bucketed(spark, rows.where(F.col("l_suppkey") % 2 == part).select(examples.PRINT, *KEY).distinct(), name)
+        bucketed(spark, rows.where(F.col("l_suppkey") % 2 == part).select(examples.PRINT, *KEY).distinct(), name, count)
         for part, name in ((0, "examples"), (1, "delivery"))
     )
     return example_store.new_examples(delivered, stored)

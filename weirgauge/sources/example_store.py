@@ -14,6 +14,13 @@ from ..functions.cells import ref
 from ..operators.examples import PRINT
 
 BUCKETS = 32
+#: Rows of a bucket when their number is known.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = BUCKETS) -> int:
+    """Buckets for a table of that many rows: a bucket, which is one task, holds about BUCKET_ROWS."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def save(df: DataFrame, name: str, path: str, buckets: int = BUCKETS, key: str = PRINT) -> DataFrame:
