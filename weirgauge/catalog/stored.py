@@ -404,8 +404,7 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("position").alias("lo"), F.max("position").alias("hi")
     )
     # The same lines as text: line 1 is the header, so row n of the sample must be line n + 1.
-    text = files.csv_lines(spark, path).withColumn("line", F.monotonically_increasing_id())
-    prefix = first_per_group(text, "file", ("block", "line"), 21).where(F.col("position") > 1)
+    prefix = files.first_lines(files.csv_lines(spark, path), 21).where(F.col("position") > 1)
     cells = F.from_csv("value", ", ".join(f"`{c}` string" for c in i.LINES.columns))
     lines = prefix.select("file", (F.col("position") - 1).alias("position"), cells.alias("cells"))
     pairs = sampled.join(lines, ["file", "position"], "full_outer")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
+from ..operators.ordering import first_per_group
 from ..session import scratch
 
 #: Files whose first rows one job reads, and bytes of a split that no file exceeds.
@@ -52,6 +53,19 @@ def csv_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def first_lines(lines: DataFrame, count: int) -> DataFrame:
+    """The first lines of every file of ``csv_lines``, numbered from 1; every line is looked at.
+
+    A split of a file is read by one task in order, so a line's number among the
+    lines of its split follows from the first number of the split, which a small
+    aggregation finds.  Only the first lines of the splits are ranked.
+    """
+    lines = lines.withColumn("line", F.monotonically_increasing_id())
+    starts = lines.groupBy("file", "block").agg(F.min("line").alias("start"))
+    near = lines.join(F.broadcast(starts), ["file", "block"]).where(F.col("line") - F.col("start") < count)
+    return first_per_group(near.drop("start"), "file", ("block", "line"), count)
+
+
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """The CSV files of a folder and their sizes; a folder without any is an error.
 
