@@ -108,17 +108,25 @@ def _(spark, sf):
 
 @lru_cache(maxsize=None)
 def _history(app_id: str, spark, sf: str) -> str:
-    root, rows = scratch(spark, "history"), predictions(spark, sf)
+    root = scratch(spark, "history")
     history.initialize(spark, root)
-    history.insert_absent(rows, root, history.PREDICTIONS, run="first", batch_id=0)
-    history.insert_absent(alert_ops.alerts(rows), root, history.ALERTS, run="first", batch_id=0)
-    metrics = windows.window_metrics(rows, i.PLAN)
-    history.append_versions(metrics, root, run="first", batch_id=0)
     return root
 
 
-def full_history(spark, sf) -> str:
-    """A history with all predictions, windows and alerts; written once per session."""
+@lru_cache(maxsize=None)
+def _filled(app_id: str, spark, sf: str, table: history.HistoryTable) -> None:
+    root, rows = _history(app_id, spark, sf), predictions(spark, sf)
+    if table is history.METRICS:
+        history.append_versions(windows.window_metrics(rows, i.PLAN), root, run="first", batch_id=0)
+    else:
+        chosen = alert_ops.alerts(rows) if table is history.ALERTS else rows
+        history.insert_absent(chosen, root, table, run="first", batch_id=0)
+
+
+def full_history(spark, sf, *tables: history.HistoryTable) -> str:
+    """A history of all events, with the tables that are asked for; each written once per session."""
+    for table in tables:
+        _filled(spark.sparkContext.applicationId, spark, sf, table)
     return _history(spark.sparkContext.applicationId, spark, sf)
 
 
@@ -130,7 +138,7 @@ UNION ALL SELECT 'metrics', (SELECT count(*) FROM metrics)
 UNION ALL SELECT 'alerts', (SELECT count(*) FROM preds WHERE prediction = 1.0)""",
 )
 def _(spark, sf):
-    return history.table_counts(spark, full_history(spark, sf))
+    return history.table_counts(spark, full_history(spark, sf, *history.TABLES))
 
 
 ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
@@ -144,7 +152,7 @@ SELECT {ISO.format("window_end")} AS window_end, status, round(event_rate, 6) AS
 FROM metrics ORDER BY metrics.window_end DESC LIMIT 10""",
 )
 def _(spark, sf):
-    return i.shown(history.recent(spark, full_history(spark, sf), history.METRICS, 10))
+    return i.shown(history.recent(spark, full_history(spark, sf, history.METRICS), history.METRICS, 10))
 
 
 RECENT_RECORD = f"""SELECT {ISO.format("et")} AS event_timestamp, 'events' AS topic,
@@ -154,7 +162,7 @@ RECENT_RECORD = f"""SELECT {ISO.format("et")} AS event_timestamp, 'events' AS to
 
 @query("q_history_recent_predictions", f"WITH {PREDS} {RECENT_RECORD.format('')}")
 def _(spark, sf):
-    return history.recent(spark, full_history(spark, sf), history.PREDICTIONS, 10)
+    return history.recent(spark, full_history(spark, sf, history.PREDICTIONS), history.PREDICTIONS, 10)
 
 
 @query(
@@ -162,7 +170,7 @@ def _(spark, sf):
     f"WITH {PREDS} {RECENT_RECORD.format('WHERE prediction = 1.0')}",
 )
 def _(spark, sf):
-    return history.recent(spark, full_history(spark, sf), history.ALERTS, 10)
+    return history.recent(spark, full_history(spark, sf, history.ALERTS), history.ALERTS, 10)
 
 
 @query(

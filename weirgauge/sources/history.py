@@ -236,7 +236,8 @@ def _note_ranges(rows: DataFrame, root: str, table: HistoryTable) -> DataFrame:
     entries = noted.groupBy(*of, "topic", "partition", F.floor(F.col("at") / CELL).alias("cell")).agg(
         F.min("at").alias("low"), F.max("at").alias("high"), F.count(F.lit(1)).alias("rows")
     )
-    entries = entries.drop("cell").coalesce(1)
+    # Added up by many tasks, then gathered by span, which keeps the number of files small.
+    entries = entries.drop("cell").hint("rebalance", F.col("span"))
     path = _ranges_path(root, table)
     writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("span", "run", "batch").parquet(path)
@@ -284,14 +285,18 @@ def insert_absent(
     rows = _for_storage(batch, table, run, batch_id)
     rest = [c for c in rows.columns if c not in table.key]
     first = rows.groupBy(*table.key).agg(F.min(F.struct(*rest)).alias("v"))
-    rows = first.select(*table.key, "v.*").select(*rows.columns)
-    spark = batch.sparkSession
-    spans = [r.span for r in rows.select("span").distinct().collect()]
-    if not spans:
-        return
-    _note_ranges(rows, root, table)
-    stored = present_keys(spark, root, table, run=run, batch_id=batch_id, spans=spans)
-    _write(rows if stored is None else rows.join(stored, list(table.key), "left_anti"), root, table)
+    # Read for its spans, for the index and for storage; what leads to it runs once.
+    rows = first.select(*table.key, "v.*").select(*rows.columns).persist()
+    try:
+        spark = batch.sparkSession
+        spans = [r.span for r in rows.select("span").distinct().collect()]
+        if not spans:
+            return
+        _note_ranges(rows, root, table)
+        stored = present_keys(spark, root, table, run=run, batch_id=batch_id, spans=spans)
+        _write(rows if stored is None else rows.join(stored, list(table.key), "left_anti"), root, table)
+    finally:
+        rows.unpersist()
 
 
 def append_versions(
