@@ -5,10 +5,13 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from weirgauge.catalog import models
+from weirgauge.catalog import inputs as i
+from weirgauge.catalog import models, streams
 from weirgauge.catalog.registry import QUERIES
 from weirgauge.contracts import ContractError, FlowContract
+from weirgauge.functions import cells, keys
 from weirgauge.operators import clean, examples, forest, sketches, windows
+from weirgauge.plans import training
 from weirgauge.session import put_once, scratch, set_times, stream_session
 from weirgauge.sources import example_store, files, history, records
 from weirgauge.streaming import chained, ledger, runner
@@ -229,3 +232,41 @@ def test_the_verification_job_stores_its_input_only(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(models, "written", lambda df, purpose: stored.append(purpose) or write(df, purpose))
     assert QUERIES["q_verify_job"](spark, sf_dir).count() == 7
     assert stored == ["flows"]
+
+
+def test_runs_on_the_same_files_share_their_examples(spark, sf_dir, monkeypatch):
+    scans, scan = [], training.files.strict_scan
+    monkeypatch.setattr(training.files, "strict_scan", lambda s, path, contract: scans.append(path) or scan(s, path, contract))
+    got = {r.candidate: r.decision for r in QUERIES["q_training_candidate"](spark, sf_dir).collect()}
+    assert got == {"better": "promote", "no better": "keep_baseline"}
+    assert len(scans) == len(set(scans)) == 2
+
+
+def test_examples_are_fitted_where_they_are_stored(spark, monkeypatch):
+    contract = FlowContract(numeric=("a",), features=("a",), attacks=("X",))
+    monkeypatch.setattr(forest, "TASK_ROWS", 500)
+    raw = spark.range(0, 6000, 1, 2).select(
+        F.col("id").cast("string").alias("a"), F.when(F.col("id") >= 3000, "X").otherwise(" benign ").alias("Label")
+    )
+    path = training.store_examples(raw.unionByName(raw.limit(7)).unionByName(raw.limit(1).withColumn("a", F.lit("x"))), contract)
+    assert training.clean.funnel_counts(spark.read.parquet(path)).first().asDict() == {
+        "raw_rows": 6008, "ready_rows": 6007, "unique_rows": 6000
+    }
+    train = training.read_split(spark, path, "train", contract)
+    held = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(held) <= 500 and sum(held) == spark.read.parquet(path).where("split = 'train'").count()
+    monkeypatch.setattr(forest, "in_tasks", lambda *args: pytest.fail("stored twice"))
+    model = forest.fit_forest(train, contract, stored=True)
+    # The rule's threshold lies within one of 32 bins.
+    assert forest.score(train, model).where(f"prediction <> {contract.target}").count() < 6000 / 32
+
+
+def test_splits_follow_the_points_of_their_keys(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("k"))
+    for shares in (keys.SPLIT_SHARES, (("a", 0.3), ("b", 0.7), ("c", 0.0)), (("a", 0.0), ("b", 1.0))):
+        upper, want = 0.0, F.lit(None).cast("string")
+        for name, share in shares[:-1]:
+            upper += share
+            want = F.coalesce(want, F.when(keys.hash_point(["k"]) < int(round(upper, 9) * 2**32), name))
+        want = F.coalesce(want, F.lit(shares[-1][0]))
+        assert rows.where(keys.split_name(["k"], shares) != want).count() == 0

@@ -253,8 +253,10 @@ def _(spark, sf):
     wrong, right = threshold_files(spark, sf, TAX_RULE), threshold_files(spark, sf, DISC_RULE)
     paths = {n: scratch(spark, f"forest-{n}") for n in ("baseline", "better", "no-better")}
     training.train(spark, wrong, i.LINES, paths["baseline"])
-    better = training.train(spark, right, i.LINES, paths["better"], baseline_path=paths["baseline"])
-    equal = training.train(spark, right, i.LINES, paths["no-better"], baseline_path=paths["better"])
+    with training.stored_examples(spark, right, i.LINES) as table:
+        held = {"table": table}
+        better = training.train(spark, right, i.LINES, paths["better"], baseline_path=paths["baseline"], **held)
+        equal = training.train(spark, right, i.LINES, paths["no-better"], baseline_path=paths["better"], **held)
     rows = [
         {"candidate": "better", **outcome(better, paths["better"], spark), "unique_rows": better.counts["unique_rows"]},
         {"candidate": "no better", **outcome(equal, paths["no-better"], spark), "unique_rows": equal.counts["unique_rows"]},

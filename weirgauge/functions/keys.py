@@ -25,20 +25,35 @@ def fingerprint(columns) -> Column:
     return F.sha2(key_text(columns), 256)
 
 
-def hash_point(columns) -> Column:
-    """Integer in [0, 2**32) that depends on the key alone.
+def hash_word(columns) -> Column:
+    """Eight hex digits that depend on the key alone.
 
-    Unlike a random draw it does not change with partitioning, retries or lost
+    Unlike a random draw they do not change with partitioning, retries or lost
     executors, so rows with equal keys always land on the same side.
     """
-    return F.conv(F.substring(F.md5(key_text(columns)), 1, 8), 16, 10).cast("bigint")
+    return F.substring(F.md5(key_text(columns)), 1, 8)
 
 
-def split_name(columns, shares=SPLIT_SHARES) -> Column:
-    """Split chosen by cutting the hash space at the cumulative shares."""
-    point, upper, picks = hash_point(columns), 0.0, []
+def hash_point(columns) -> Column:
+    """The hash word as an integer in [0, 2**32)."""
+    return F.conv(hash_word(columns), 16, 10).cast("bigint")
+
+
+def split_at(word: Column, shares=SPLIT_SHARES) -> Column:
+    """Split of a hash word: the hash space is cut at the cumulative shares.
+
+    Words of one length order as the numbers they spell, so none is converted.
+    """
+    upper, picks = 0.0, []
     for name, share in shares[:-1]:
         upper += share
-        picks.append(F.when(point < int(round(upper, 9) * HASH_SPACE), F.lit(name)))
+        cut = int(round(upper, 9) * HASH_SPACE)
+        below = word < f"{cut:08x}" if cut < HASH_SPACE else F.lit(True)
+        picks.append(F.when(below, F.lit(name)))
     return F.coalesce(*picks, F.lit(shares[-1][0]))
 
+
+def split_name(columns, shares=SPLIT_SHARES) -> Column:
+    """Split chosen by the hash of a key."""
+    return split_at(hash_word(columns), shares)
+

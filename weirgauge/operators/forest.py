@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import SPLIT_SEED, ContractError, FlowContract
@@ -16,6 +16,16 @@ TREES, DEPTH, BINS = 20, 5, 32
 TASK_ROWS = 250_000
 
 
+def by_file(spark: SparkSession) -> SparkSession:
+    """A session in which every file is read by a task of its own."""
+    # Opening a file counts as much as a whole split, so no two files share one.
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    side = spark.newSession()
+    side.conf.set("spark.sql.files.maxPartitionBytes", split)
+    side.conf.set("spark.sql.files.openCostInBytes", split)
+    return side
+
+
 def in_tasks(train: DataFrame, path: str, rows: int = TASK_ROWS) -> DataFrame:
     """Rows stored in files of at most that many, each of which is read by a task of its own.
 
@@ -23,19 +33,14 @@ def in_tasks(train: DataFrame, path: str, rows: int = TASK_ROWS) -> DataFrame:
     a split of a table that packs well holds millions of them.
     """
     train.write.option("maxRecordsPerFile", rows).parquet(path)
-    spark = train.sparkSession
-    # Opening a file counts as much as a whole split, so no two files share one.
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    side = spark.newSession()
-    side.conf.set("spark.sql.files.maxPartitionBytes", split)
-    side.conf.set("spark.sql.files.openCostInBytes", split)
-    return side.read.schema(train.schema).parquet(path)
+    return by_file(train.sparkSession).read.schema(train.schema).parquet(path)
 
 
-def fit_forest(train: DataFrame, contract: FlowContract, weight: str | None = None):
+def fit_forest(train: DataFrame, contract: FlowContract, weight: str | None = None, *, stored: bool = False):
     """Fit on ``train``; with ``weight`` every row counts as much as that column says.
 
-    The rows are computed once and stored while the fitting reads them.
+    The rows are computed once and stored while the fitting reads them, unless
+    they are ``stored`` already in files of at most TASK_ROWS, read ``by_file``.
     """
     forest = RandomForestClassifier(
         featuresCol=contract.vector,
@@ -48,9 +53,12 @@ def fit_forest(train: DataFrame, contract: FlowContract, weight: str | None = No
     if weight:
         forest = forest.setWeightCol(weight)
     used = [contract.vector, contract.target, *([weight] if weight else [])]
+    rows = train.select(*[ref(c) for c in used])
+    if stored:
+        return forest.fit(rows)
     path = scratch(train.sparkSession, "training-rows")
     try:
-        return forest.fit(in_tasks(train.select(*[ref(c) for c in used]), path))
+        return forest.fit(in_tasks(rows, path))
     finally:
         remove(train.sparkSession, path)
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ContractError, FlowContract
-from ..functions.cells import ref
-from ..functions.keys import split_name
+from ..functions.cells import ref, settle
+from ..functions.keys import hash_word, split_at
 from ..operators import clean, evaluate, examples, forest
 from ..session import path_exists, remove, scratch
 from ..sources import files
@@ -40,17 +43,33 @@ def store_examples(raw: DataFrame, contract: FlowContract) -> str:
     deduplication, and each split is a partition-pruned scan.
     """
     folded = clean.fold_examples(raw, contract)
-    chosen = split_name((*contract.features, contract.target))
-    split = F.when(F.col("keep"), chosen).otherwise(REJECTED).alias("split")
+    # Every key is hashed once; a split looks at the hash more than once.
+    hashed = settle(folded, "__word", hash_word((*contract.features, contract.target)))
+    split = F.when(F.col("keep"), split_at(F.col("__word"))).otherwise(REJECTED)
+    # Kept rows hold finite numbers only; vectors are made once and read by every pass of the fitting.
+    vector = F.when(F.col("keep"), array_to_vector(F.array(*[ref(n) for n in contract.features])))
+    dealt = hashed.select(
+        "keep", "copies", ref(contract.target), vector.alias(contract.vector), split.alias("split")
+    )
     path = scratch(raw.sparkSession, "examples")
-    folded.select("*", split).write.partitionBy("split").parquet(path)
+    dealt.write.option("maxRecordsPerFile", forest.TASK_ROWS).partitionBy("split").parquet(path)
     return path
 
 
+@contextmanager
+def stored_examples(spark: SparkSession, csv_path: str, contract: FlowContract) -> Iterator[str]:
+    """The table of ``store_examples`` for files on which several runs are based; removed at the end."""
+    table = store_examples(files.strict_scan(spark, csv_path, contract), contract)
+    try:
+        yield table
+    finally:
+        remove(spark, table)
+
+
 def read_split(spark: SparkSession, path: str, name: str, contract: FlowContract) -> DataFrame:
-    """Vectors and targets of one split."""
-    rows = spark.read.parquet(path).where(F.col("split") == name)
-    return clean.add_vector(rows, contract).select(contract.vector, contract.target)
+    """Vectors and targets of one split, every file in a task of its own."""
+    rows = forest.by_file(spark).read.parquet(path).where(F.col("split") == name)
+    return rows.select(contract.vector, contract.target)
 
 
 def _guesses(rows: DataFrame, models: dict, contract: FlowContract) -> DataFrame:
@@ -85,6 +104,7 @@ def train(
     baseline_path: str | None = None,
     accept_trade_off: bool = False,
     expected: DataFrame | None = None,
+    table: str | None = None,
 ) -> TrainingReport:
     """Fit a baseline, or with ``baseline_path`` a class-weighted candidate.
 
@@ -94,16 +114,14 @@ def train(
     must reproduce: counts before anything is fitted; ``weight_*``,
     ``validation_*`` and ``promoted`` (1 or 0) before the test split is touched.
     The table of cleaned examples is removed when the run ends, however it ends.
+    ``table`` names one that ``stored_examples`` keeps for several runs on the same
+    files, which are then not scanned again.
     """
     refuse_existing(spark, model_path)
     weighted = baseline_path is not None
     baseline = forest.load_forest(baseline_path, contract) if weighted else None
-    raw = files.strict_scan(spark, csv_path, contract)
-    table = store_examples(raw, contract)
-    try:
-        return _fit_and_judge(spark, table, contract, model_path, baseline, accept_trade_off, expected)
-    finally:
-        remove(spark, table)
+    with nullcontext(table) if table else stored_examples(spark, csv_path, contract) as held:
+        return _fit_and_judge(spark, held, contract, model_path, baseline, accept_trade_off, expected)
 
 
 #: Recorded values that are known only when a model has been judged; all others are counts.
@@ -157,7 +175,7 @@ def _fit_and_judge(
                 report.weights["attack_weight"]
             ),
         )
-    model = forest.fit_forest(fit_on, contract, weight)
+    model = forest.fit_forest(fit_on, contract, weight, stored=True)
     models = {"baseline": baseline, "candidate": model} if weighted else {"baseline": model}
 
     validation = judge_models(rows["validation"], models, contract)
