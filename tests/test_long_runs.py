@@ -270,3 +270,9 @@ def test_splits_follow_the_points_of_their_keys(spark):
             want = F.coalesce(want, F.when(keys.hash_point(["k"]) < int(round(upper, 9) * 2**32), name))
         want = F.coalesce(want, F.lit(shares[-1][0]))
         assert rows.where(keys.split_name(["k"], shares) != want).count() == 0
+
+
+def test_vectors_are_made_of_the_rows_that_are_judged(spark, sf_dir):
+    plan = models.ruled(spark, sf_dir, models.ATTACKS, "validation")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    assert [k for k, x in enumerate(lines) if "Filter" in x][0] > [k for k, x in enumerate(lines) if "UDF" in x][0]

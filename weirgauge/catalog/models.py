@@ -23,11 +23,12 @@ RULED = FlowContract(
 LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
-def ruled(spark, sf, rule: str):
-    """lineitem as examples whose class is a threshold of one feature.
+def ruled(spark, sf, rule: str, *splits: str):
+    """lineitem as examples whose class is a threshold of one feature; of all splits or the named ones.
 
     A tree finds such a rule exactly, so every cell of a forest's confusion
-    matrix is known from the table alone.
+    matrix is known from the table alone.  Splits are chosen before the vectors
+    are made, because filters do not move below that step.
     """
     rows = i.table(spark, sf, "lineitem").select(
         *LINE,
@@ -37,7 +38,8 @@ def ruled(spark, sf, rule: str):
         F.col("l_extendedprice").alias("price"),
         F.expr(f"CASE WHEN {rule} THEN 1.0D ELSE 0.0D END").alias("binary_label"),
     )
-    return examples.hash_split(clean.add_vector(rows, RULED), LINE[:1])
+    split = examples.hash_split(rows, LINE[:1])
+    return clean.add_vector(split.where(F.col("split").isin(*splits)) if splits else split, RULED)
 
 
 ATTACKS, MISTAKEN = "l_discount >= 0.05", "l_tax >= 0.04"
@@ -50,7 +52,7 @@ SPLIT_SQL = f"""lines AS (SELECT *, {ATTACKS} AS attack, {MISTAKEN} AS mistaken,
 @lru_cache(maxsize=None)
 def _model(app_id: str, spark, sf: str, name: str):
     rule = {"baseline": MISTAKEN, "candidate": ATTACKS}[name]
-    kept = ruled(spark, sf, rule).where(F.col("split") == "train")
+    kept = ruled(spark, sf, rule, "train")
     if name == "baseline":
         return forest.fit_forest(kept, RULED)
     train = written(kept.select("binary_label", "features"), "train")
@@ -68,7 +70,7 @@ def models(spark, sf) -> dict:
 
 def judged(spark, sf, name: str):
     """Cells and rates of one model over validation and test."""
-    rows = ruled(spark, sf, ATTACKS).where(F.col("split") != "train")
+    rows = ruled(spark, sf, ATTACKS, "validation", "test")
     found = evaluate.evaluate(forest.score(rows, model(spark, sf, name)), "binary_label")
     return i.shown(found.select("rows", *evaluate.CELLS, *evaluate.RATES))
 
@@ -128,7 +130,7 @@ FROM v""",
 )
 def _(spark, sf):
     """Both forests on the same validation rows, in one scan, and the decision."""
-    rows = ruled(spark, sf, ATTACKS).where(F.col("split") == "validation")
+    rows = ruled(spark, sf, ATTACKS, "validation")
     found = training.judge_models(rows, models(spark, sf), RULED)
     decided = evaluate.promotion(evaluate.compare(found, "baseline", "candidate"))
     total = found.agg(F.max("rows").alias("n")).scalar()
