@@ -276,3 +276,18 @@ def test_vectors_are_made_of_the_rows_that_are_judged(spark, sf_dir):
     plan = models.ruled(spark, sf_dir, models.ATTACKS, "validation")._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
     assert [k for k, x in enumerate(lines) if "Filter" in x][0] > [k for k, x in enumerate(lines) if "UDF" in x][0]
+
+
+def test_few_cells_are_judged_like_many(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("1", "2"), ("1", None), ("x", "2"), ("NaN", "1"), (None, "x"), ("1", "-Infinity"), ("NaN", None)], "a string, b string"
+    )
+    few = [r.v for r in rows.select(cells.all_finite(["a", "b"]).alias("v")).collect()]
+    monkeypatch.setattr(cells, "FEW", 1)
+    assert few == [r.v for r in rows.select(cells.all_finite(["a", "b"]).alias("v")).collect()] == [True] + [False] * 6
+
+
+def test_records_are_judged_in_generated_code(spark, sf_dir):
+    plan = streams.ingest.judge(i.log_records(i.table(spark, sf_dir, "events")), i.EVENTS)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert any("invalid_reason" in x and "Generate explode" in x and "*(" in x for x in text.splitlines())

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PROBLEMS
 
 INFINITY = float("inf")
+#: Columns or names that are tested one by one.
+FEW = 8
 
 
 def ref(name: str) -> Column:
@@ -53,10 +58,14 @@ def is_finite_cell(cell: Column) -> Column:
 def all_finite(names) -> Column:
     """Every one of the columns holds a finite number.
 
-    They are tested as one array: dozens of comparisons one by one would make
-    the generated code too long for the JVM to compile.
+    A FEW are compared one by one, in code that Spark generates for the whole
+    step.  More are tested as one array: dozens of comparisons one by one would
+    make the generated code too long for the JVM to compile.
     """
-    numbers = F.array(*[as_number(ref(n)) for n in names]).cast("array<double>")
+    cells = [as_number(ref(n)) for n in names]
+    if len(cells) <= FEW:
+        return F.coalesce(reduce(and_, (F.abs(c) < INFINITY for c in cells), F.lit(True)), F.lit(False))
+    numbers = F.array(*cells).cast("array<double>")
     return F.coalesce(F.forall(numbers, lambda n: F.abs(n) < INFINITY), F.lit(False))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from ..contracts import (
     EventContract,
     require_columns,
 )
-from ..functions.cells import all_finite, ref, settle
+from ..functions.cells import FEW, all_finite, ref, settle
 
 RECORD = ("topic", "partition", "offset", "kafka_timestamp")
 
@@ -64,14 +67,18 @@ def metadata_agrees(contract: EventContract) -> Column:
 def rejection_rules(contract: EventContract) -> dict[str, Column]:
     """What each reason means, in the order in which reasons take precedence."""
     given, when = F.col("__given"), F.col("event_time")
-    names = F.array(*[F.lit(n) for n in contract.required])
+
+    def absent(names):
+        if len(names) <= FEW:
+            return reduce(or_, (F.try_element_at(given, F.lit(n)).isNull() for n in names))
+        return F.exists(F.array(*[F.lit(n) for n in names]), lambda n: F.try_element_at(given, n).isNull())
 
     def outside(name, allowed):
         return ~F.coalesce(F.col(name).isin(list(allowed)), F.lit(False))
 
     tests = (
         given.isNull(),
-        F.exists(names, lambda n: F.try_element_at(given, n).isNull()),
+        absent(contract.required),
         F.col("event_timestamp").isNull()
         | ~F.coalesce(when.rlike(EVENT_TIME_SHAPE), F.lit(False)),
         ~all_finite(contract.features),
