@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from weirgauge.llm import neighbours, simhash, substrings
+from weirgauge.llm import neighbours, run_hashes, simhash, substrings
 from weirgauge.llm.components import connected
 from weirgauge.llm.fm_index import FMIndex
 
@@ -111,6 +112,94 @@ def test_near_copies_are_those_of_brute_force(spark, monkeypatch, shingles):
     assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == sorted(set(roots))
 
 
+@pytest.mark.parametrize("crowd", [2, 20])
+def test_crowded_shingles_are_compared_in_blocks(spark, monkeypatch, crowd):
+    for name, value in (("CROWD", crowd), ("BLOCK_ROWS", 7), ("BUCKET_SHINGLES", 300)):
+        monkeypatch.setattr(simhash, name, value)
+    # Near copies of one text, and texts that are mostly a passage they share.
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, shared = words(200), words(200)
+    texts = [" ".join(at_similarity(rng, base, 0.9)) for _ in range(40)]
+    texts += [" ".join(shared + words(n)) for n in range(20, 140, 3)] + ["few words", "few words more", ""]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    kept = sorted(r.doc_id for r in simhash.keep_one(df).collect())
+    assert kept == sorted(set(groups_of(len(texts), pairs))) and len(kept) < 60
+
+
+def test_unrelated_texts_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 20)
+    counts, stored = {}, simhash.stored
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        counts[purpose] = max(counts.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", counted)
+    rng = random.Random(4)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))) for k in range(400)]
+    assert simhash.keep_one(spark.createDataFrame(rows, DOCS)).count() == 400
+    assert max(counts.values()) <= 400, counts
+
+
+def test_sets_and_majorities_of_many_texts(monkeypatch):
+    monkeypatch.setattr(run_hashes, "AT_ONCE", 50)
+    texts = [t.encode() for t in near_texts(6)] + [b"", b" \n", b"One", b"a b c d e", b"x" * 700 + b" y z Y Z x y"]
+    expected = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    sets = simhash.shingle_sets(texts, 5)
+    assert [s.tolist() for s in sets] == [e.tolist() for e in expected]
+    sets.append(np.random.default_rng(1).integers(0, 1 << 63, 70_000, dtype=np.uint64))
+    sizes = np.array([len(s) for s in sets])
+    assert simhash.majorities(np.concatenate(sets), sizes).tolist() == [simhash.majority(s) for s in sets]
+
+
+def test_hashes_of_runs():
+    rng = np.random.default_rng(3)
+    text = rng.bytes(9000)
+    begin = np.sort(rng.integers(0, 8700, 12_000))
+    end = begin + rng.integers(0, 300, 12_000)
+    expected = [xxhash.xxh64_intdigest(text[a:b], 42) for a, b in zip(begin.tolist(), end.tolist())]
+    assert run_hashes.xxh64(text, begin, end, 42).tolist() == expected
+
+
+@pytest.mark.parametrize("known", [0, 30, 120])
+def test_similar_sets_share_one_of_their_rarest(known):
+    rng = np.random.default_rng(known)
+    common = (np.sort(rng.choice(200, known, replace=False)).astype(np.uint64), rng.permutation(known) + 1)
+    seen = 0
+    for _ in range(4000):
+        one = np.sort(rng.choice(200, rng.integers(1, 30), replace=False)).astype(np.uint64)
+        some = one[rng.random(len(one)) > 0.1]
+        other = np.unique(np.append(some, rng.integers(0, 200, rng.integers(0, 3)).astype(np.uint64)))
+        shared = len(np.intersect1d(one, other))
+        if shared / (len(one) + len(other) - shared) >= 0.8 and one.tolist() != other.tolist():
+            seen += 1
+            a, b = (simhash.rarest(s, 0.8, common) for s in (one, other))
+            assert len(np.intersect1d(a, b))
+    assert seen > 300
+
+
+def test_links_of_shared_shingles_span_the_near_values(monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRED", 5)
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 1 << 63, 20, dtype=np.uint64).repeat(6) ^ (np.uint64(1) << rng.integers(0, 64, 120).astype(np.uint64))
+    shingle, node = rng.integers(0, 40, 900), rng.integers(0, 120, 900)
+    shingle, node = np.unique(np.stack([shingle, node]), axis=1)
+    a, b, left = simhash.sharing(shingle.view(np.uint64), values[node], values[node], node, 2, 4, 25)
+    crowded = {s for s in range(40) if (shingle == s).sum() > 25}
+    assert {*shingle[left].tolist()} == crowded and 0 < len(crowded) < 40
+    pairs = [
+        (x, y)
+        for s in set(range(40)) - crowded
+        for x in node[shingle == s].tolist()
+        for y in node[shingle == s].tolist()
+        if (values[x] ^ values[y]).bit_count() <= 2
+    ]
+    assert groups_of(120, zip(a.tolist(), b.tolist())) == groups_of(120, pairs) and len(a) < 120
+
+
 def test_a_component_is_linked_through_its_similar_pairs_alone():
     sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 11, 22, 60, 500)]
     same = np.zeros(5, np.uint64)

@@ -15,7 +15,12 @@ with each other and with its visitors, and returns a spanning forest of links.
 
 ``keep_one`` uses fingerprints only to propose: documents of one component of
 proposed links are compared by their sets of shingles, and the Jaccard
-similarity of a pair decides whether it is linked.
+similarity of a pair decides whether it is linked.  It allows so many bits that
+a tree would exclude next to nothing.  But two sets of similarity t have at
+least a share t of either in common; so whatever order all shingles are put in,
+of n shingles the first n - ceil(t n) + 1 hold one that is also among those of
+the other set.  Fingerprints are therefore compared only where documents share
+such a shingle.  The order begins with the shingles few documents hold.
 """
 
 from __future__ import annotations
@@ -26,14 +31,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .batches import fresh, raw, spans, stored
+from .batches import discard, fresh, raw, slices, spans, store, stored
 from .components import connected
 from .registry import query, table
-from .substrings import in_order
+from .run_hashes import xxh64
+from .substrings import in_order, release
 
 SEED = 42
 #: Trees are planned on a sample of at most so many fingerprints, those with the smallest hashes.
@@ -48,6 +55,16 @@ WORK_CELLS = 1 << 22
 #: Shingles and documents of a proposed component after which its sets are compared in blocks.
 SET_SHINGLES = 4_000_000
 SET_ROWS = 20_000
+#: Shingles are counted in so many documents, or in one of so many, to put the common ones last; how many must hold a common one, and the most of these.
+COMMON_DOCS = 8192
+COMMON_EVERY = 128
+COMMON_LEAST = 3
+COMMON_MOST = 50_000
+#: Shingles a bucket should hold; values with one shingle up to which all are paired at once, and after which they are dealt to tasks of their own.
+BUCKET_SHINGLES = 250_000
+PAIRED = 64
+CROWD = 4096
+ENTRY = ("shingle", "first", "second", "node")
 LOW = np.uint64(0xFFFFFFFF)
 HALVES = (LOW, LOW << np.uint64(32))
 
@@ -72,6 +89,30 @@ def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
     return np.fromiter((digest(p, seed) for p in pieces), np.uint64, count)
 
 
+def shingle_sets(texts: list[bytes], width: int, seed: int = SEED) -> list[np.ndarray]:
+    """The sorted distinct ``shingle_hashes`` of every text."""
+    words: list[bytes] = []
+    counts = np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        own = text.lower().split()
+        words += own
+        counts[k] = len(own)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    first, _ = spans(counts)
+    sizes = np.where(counts > width, counts - width + 1, np.minimum(counts, 1))
+    begin, end = spans(sizes)
+    at = np.arange(int(sizes.sum())) + np.repeat(first - begin, sizes)
+    last = at + np.repeat(np.minimum(counts, width), sizes) - 1
+    hashes = xxh64(b" ".join(words), (ends - lengths)[at], ends[last], seed)
+    return [distinct(hashes[a:b]) for a, b in zip(begin.tolist(), end.tolist())]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    ordered = np.sort(values)
+    return ordered[np.append(np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])]
+
+
 def majority(hashes: np.ndarray) -> int:
     """The bits that more than half of the hashes have, as a signed number."""
     if not len(hashes):
@@ -85,6 +126,26 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def majorities(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ``majority`` of every run of ``flat``, of which ``sizes`` has the lengths."""
+    out = np.zeros(len(sizes), np.int64)
+    begin, end = spans(sizes)
+    few = np.flatnonzero((sizes > 0) & (sizes < 1 << 16))
+    for k in np.flatnonzero(sizes >= 1 << 16).tolist():
+        out[k] = majority(flat[begin[k] : end[k]])
+    if len(few):
+        # Every 16th bit is counted at once, in the four quarters of a number.
+        own = flat[np.repeat((sizes > 0) & (sizes < 1 << 16), sizes)]
+        starts, _ = spans(sizes[few])
+        votes = np.empty((len(few), 64), np.int64)
+        for bit in range(16):
+            ones = (own >> np.uint64(bit)) & np.uint64(0x0001000100010001)
+            votes[:, bit::16] = np.add.reduceat(ones, starts).view(np.uint16).reshape(-1, 4)
+        bits = np.packbits(votes * 2 > sizes[few][:, None], axis=1, bitorder="little")
+        out[few] = bits.view(np.int64)[:, 0]
+    return out
+
+
 def remix(hashes: np.ndarray) -> np.ndarray:
     """A second, independent 64 bits from each hash."""
     mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
@@ -276,6 +337,11 @@ def link(values: DataFrame, bits: int, both_bits: int | None = None) -> DataFram
         ),
         "shards",
     )
+    return in_blocks(routed, bits, both_bits)
+
+
+def in_blocks(routed: DataFrame, bits: int, both_bits: int | None) -> DataFrame:
+    """Links (a, b) that span the components of every shard of ``routed``: shard, home, first, second, node."""
     # A shard's residents and guests are cut into blocks of bounded size; each block of residents
     # meets each other block of residents and each block of guests in a group of its own.
     sizes = routed.groupBy("shard").agg(
@@ -323,30 +389,190 @@ def near_duplicates(rows: DataFrame, bits: int, both_bits: int | None = None) ->
     return values.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def sketch(width: int):
-    """Column function: text bytes to two fingerprints, a hash and the size of the shingle set."""
+def common_shingles(rows: DataFrame, text: str, number: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that many documents hold, and their places from the least to the most common.
+
+    Counted in some documents only.  This orders shingles; links are the same in any order.
+    """
+    every = max(1, min(COMMON_EVERY, rows.count() // COMMON_DOCS))
+    some = rows.where(F.pmod(F.xxhash64(number), F.lit(every)) == 0).select(raw(text).alias("text"))
+
+    def counted(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch["text"]):
+                shingle, documents = np.unique(np.concatenate(shingle_sets(texts, width)), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingle.view(np.int64)), pa.array(documents.astype(np.int64))], ["shingle", "documents"]
+                )
+
+    counts = some.mapInArrow(counted, "shingle bigint, documents bigint").groupBy("shingle")
+    most = (
+        counts.agg(F.sum("documents").alias("documents"))
+        .where(F.col("documents") >= COMMON_LEAST)
+        .orderBy(F.desc("documents"), "shingle")
+        .limit(COMMON_MOST)
+        .select("shingle")
+        .toPandas()
+    )
+    shingles = most["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], len(shingles) - order
 
-    @arrow_udf("struct<first:bigint,second:bigint,content:bigint,shingles:bigint>")
+
+def rarest(held: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a sorted set, in an order with the common ones last.
+
+    So many that two sets of Jaccard similarity ``least`` or more have one of them in common.
+    None if the set is so small that only its equal is similar.
+    """
+    if len(held) / (len(held) + 1) < least - 1e-9:
+        return held[:0]
+    count = len(held) + 1 - max(1, int(np.ceil(least * len(held) - 1e-6)))
+    shingles, places = common
+    if not len(shingles):
+        return held[:count]
+    at = np.minimum(np.searchsorted(shingles, held), len(shingles) - 1)
+    known = shingles[at] == held
+    first = held[~known][:count]
+    if len(first) == count:
+        return first
+    late = at[known][np.argsort(places[at[known]])]
+    return np.concatenate([first, shingles[late[: count - len(first)]]])
+
+
+def sketch(width: int, least: float, common: Broadcast):
+    """Column function: text bytes to two fingerprints, a hash and the size of the shingle set, and its rarest shingles."""
+
+    @arrow_udf("struct<first:bigint,second:bigint,content:bigint,shingles:bigint,rare:binary>")
     def of(texts: pa.Array) -> pa.Array:
-        rows = []
-        for text in texts:
-            held = np.unique(shingle_hashes(text.as_py() or b"", width))
-            content = np.uint64(xxhash.xxh64_intdigest(held.tobytes(), SEED)).astype(np.int64)
-            rows.append((majority(held), majority(remix(held)), int(content), len(held)))
-        columns = zip(*rows) if rows else [()] * 4
+        first, second, content, sizes, rare = [], [], [], [], []
+        for _, some in slices(texts):
+            sets = shingle_sets(some, width)
+            flat, lengths = np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
+            first.append(majorities(flat, lengths))
+            second.append(majorities(remix(flat), lengths))
+            sizes.append(lengths)
+            digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
+            content.append(digests.view(np.int64))
+            rare += [rarest(s, least, common.value).tobytes() for s in sets]
+        numbers = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (first, second, content, sizes)]
         return pa.StructArray.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["first", "second", "content", "shingles"]
+            [*map(pa.array, numbers), pa.array(rare, pa.binary())], ["first", "second", "content", "shingles", "rare"]
         )
 
     return of
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of every node to the smallest node of its component, but for that node."""
+    names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, other = place[: len(a)], place[len(a) :]
+    root = np.arange(len(names))
+    while True:
+        low = root.copy()
+        np.minimum.at(low, root[one], root[other])
+        np.minimum.at(low, root[other], root[one])
+        low = low[low]
+        if (low == root).all():
+            break
+        root = low
+    hung = np.flatnonzero(root != np.arange(len(names)))
+    return names[hung], names[root[hung]]
+
+
+def sharing(
+    shingle: np.ndarray, first: np.ndarray, second: np.ndarray, node: np.ndarray, bits: int, both_bits: int, crowd: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, crowded): links that span the near values with one shingle, and the entries left to others.
+
+    An entry is a shingle and a value that holds it.  Those of a shingle with more than ``crowd`` values are left.
+    """
+    order = np.argsort(shingle, kind="stable")
+    edge = np.flatnonzero(np.diff(shingle[order], prepend=~shingle[order[:1]]))
+    sizes = np.diff(np.append(edge, len(order)))
+    crowded = order[np.repeat(sizes > crowd, sizes)]
+    few = (sizes > 1) & (sizes <= min(PAIRED, crowd))
+    small = order[np.repeat(few, sizes)]
+    begin, end = spans(sizes[few])
+    end = np.repeat(end, sizes[few])
+    one, other = first[small], second[small]
+    a, b = [], []
+    at, step = np.arange(len(small)), 0
+    while len(at):
+        step += 1
+        at = at[at + step < end[at]]
+        apart = np.bitwise_count(one[at] ^ one[at + step])
+        both = apart + np.bitwise_count(other[at] ^ other[at + step])
+        hit = at[(apart <= bits) & (both <= both_bits)]
+        a.append(node[small[hit]])
+        b.append(node[small[hit + step]])
+    for k in np.flatnonzero((sizes > PAIRED) & (sizes <= crowd)):
+        here = order[edge[k] : edge[k] + sizes[k]]
+        links = spanning_links(first[here], second[here], node[here], np.ones(len(here), bool), bits, both_bits)
+        for held, found in zip((a, b), links):
+            held.append(np.array(found, np.int64))
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return *forest(join(a), join(b)), crowded
+
+
+def shared(values: DataFrame, bits: int, both_bits: int) -> DataFrame:
+    """Links (a, b) that span the components of near values with a rare shingle in common.
+
+    ``values``: distinct sets by first, second, a bigint ``node`` and ``rare``, their rarest shingles.
+    Entries of shingle and value meet in buckets by shingle; a shingle with very many values is
+    compared in blocks, in tasks of its own.
+    """
+    total = values.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    buckets, crowd = total // 8 // BUCKET_SHINGLES + 1, CROWD
+
+    def dealt(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.fromiter((len(r.as_py()) // 8 for r in batch["rare"]), np.int64, batch.num_rows)
+            # Long texts have many shingles: a few rows are dealt at a time.
+            runs = np.cumsum(sizes) // (1 << 20)
+            for some in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(runs)) + 1):
+                part = batch.slice(some[0], len(some)) if len(some) else batch
+                shingle = np.frombuffer(b"".join(r.as_py() for r in part["rare"]), np.uint64)
+                bucket = (shingle % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                there, begin = np.unique(bucket[order], return_index=True)
+                owner = np.repeat(np.arange(len(some)), sizes[some])[order]
+                held = [shingle[order], *(part[c].to_numpy(zero_copy_only=False)[owner] for c in ENTRY[1:])]
+                cuts = np.append(begin, len(order)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(there, pa.int32()),
+                        *(pa.array([h[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()) for h in held),
+                    ],
+                    ["bucket", *ENTRY],
+                )
+
+    def meet(group: pa.Table) -> pa.Table:
+        held = [np.frombuffer(b"".join(r.as_py() for r in group[c]), np.int64) for c in ENTRY]
+        shingle, first, second = (h.view(np.uint64) for h in held[:3])
+        a, b, crowded = sharing(shingle, first, second, held[3], bits, both_bits, crowd)
+        blank = pa.nulls(len(a), pa.int64())
+        links = pa.table([blank, blank, blank, pa.array(a), pa.array(b)], [*ENTRY, "other"])
+        rest = pa.table([*(pa.array(h[crowded]) for h in held), pa.nulls(len(crowded), pa.int64())], [*ENTRY, "other"])
+        return pa.concat_tables([links, rest])
+
+    blobs = values.select(*ENTRY[1:], "rare").mapInArrow(dealt, "bucket int, " + ", ".join(f"{c} binary" for c in ENTRY))
+    found = ", ".join(f"{c} bigint" for c in (*ENTRY, "other"))
+    met = stored(blobs.groupBy("bucket").applyInArrow(meet, found), "met")
+    links = met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    crowded = met.where("other IS NULL")
+    if crowded.isEmpty():
+        return links
+    routed = crowded.select(F.col("shingle").alias("shard"), F.lit(True).alias("home"), "first", "second", "node")
+    return links.unionByName(in_blocks(routed, bits, both_bits))
+
+
 def shingle_set(width: int):
     """Column function: text bytes to the sorted distinct shingle hashes, 8 bytes each."""
 
     @arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
-        sets = (np.unique(shingle_hashes(t.as_py() or b"", width)).tobytes() for t in texts)
+        sets = (s.tobytes() for _, some in slices(texts) for s in shingle_sets(some, width))
         return pa.array(sets, pa.binary())
 
     return of
@@ -434,7 +660,8 @@ def keep_one(
     Two documents are linked if the Jaccard similarity of their sets of
     five-word shingles is ``least`` or more.  Pairs are proposed by
     fingerprints of the sets, which must agree in all but ``bits`` places of
-    one and all but ``both_bits`` of two, and only those are compared.  Groups
+    one and all but ``both_bits`` of two, and only those are compared, where
+    the sets have one of their rarest shingles in common.  Groups
     are connected components of links; the row with the smallest key stays, of
     equal keys the shortest text, then that with the smallest hash; NULL keys
     come last.  Equal sets are one value; wordless texts are one group.
@@ -442,14 +669,28 @@ def keep_one(
     """
     number = fresh(docs, "row")
     rows = stored(in_order(docs, key, text, number), "documents")
-    prints = rows.select(F.col(number).alias("row"), sketch(width)(raw(text)).alias("f"))
-    flat = stored(prints.select("row", "f.*"), "prints")
-    sets = flat.groupBy("first", "second", "content").agg(F.min("row").alias("node"), F.min("shingles").alias("shingles"))
-    values = stored(sets, "fingerprints")
-    proposed = stored(values.join(connected(link(values, bits, both_bits)), "node"), "proposed")
+    spark = rows.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(rows, text, number, width))
+    prints = rows.select(F.col(number).alias("row"), sketch(width, least, common)(raw(text)).alias("f")).select("row", "f.*")
+    paths = [store(prints, "prints")]
+    sets = spark.read.schema(prints.schema).parquet(paths[0]).groupBy("first", "second", "content").agg(
+        F.min("row").alias("node"), F.min("shingles").alias("shingles"), F.min_by("rare", "row").alias("rare")
+    )
+    paths.append(store(sets, "sets"))
+    entries = spark.read.schema(sets.schema).parquet(paths[1])
+    values = stored(entries.drop("rare"), "fingerprints")
+    discard(spark, paths[0])
+    release(spark)
+    proposed = stored(values.join(connected(shared(entries, bits, both_bits)), "node"), "proposed")
+    discard(spark, paths[1])
+    release(spark)
     texts = rows.select(F.col(number).alias("node"), raw(text).alias("text"))
     held = proposed.join(texts, "node").withColumn("held", shingle_set(width)(F.col("text"))).drop("text")
-    copies = connected(verified(stored(held, "sets"), bits, both_bits, least)).where("node <> root")
+    paths.append(store(held, "members"))
+    members = spark.read.schema(held.schema).parquet(paths[2])
+    copies = connected(verified(members, bits, both_bits, least)).where("node <> root")
+    discard(spark, paths[2])
+    release(spark)
     kept = values.join(copies, "node", "left_anti").select(F.col("node").alias(number))
     return rows.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
